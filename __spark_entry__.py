@@ -253,7 +253,7 @@ def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """One entry per query or operator; each takes (spark, sf_dir)."""
     return {
-        "decode_events": _on_bronze(lambda bronze: bronze),
+        "decode_events": lambda spark, sf: _without_zone(adapters.decoded_bronze(spark, sf)),
         "encode_events": _encoded,
         "bronze_stream": _bronze_stream,
         "quality_report": _on_bronze(quality.quality_report),

@@ -61,6 +61,25 @@ def records(events: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Bronze table the records decode to, as its readers find it in storage:
+    plain columns, no JSON left to parse."""
+    events = raw_events(source_events(spark, sf_dir))
+    return events.select(
+        F.col("user_id").cast("string").alias("kafka_key"),
+        "user_id",
+        "product_id",
+        "event_type",
+        "price",
+        F.col("timestamp").alias("event_timestamp"),
+        "topic",
+        "partition",
+        "offset",
+        F.col("arrival").alias("kafka_timestamp"),
+    )
+
+
+def decoded_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of Kafka records: encoded, then decoded."""
     return decode_records(records(source_events(spark, sf_dir)))
 
 

@@ -18,11 +18,13 @@ def drop_duplicates(bronze: DataFrame) -> DataFrame:
 
     A grouped aggregate rather than a ranking window: copies are merged before the
     shuffle, so a key that holds a large share of all rows moves as one row per task.
+    The other columns follow the arrival in the compared struct, so that the result
+    is the same even where two rows arrived together.
     """
-    payload = [c for c in bronze.columns if c not in DUPLICATE_KEY]
+    rest = [c for c in bronze.columns if c not in DUPLICATE_KEY + ARRIVAL]
     return (
         bronze.groupBy(*DUPLICATE_KEY)
-        .agg(F.min_by(F.struct(*payload), F.struct(*ARRIVAL)).alias("first"))
+        .agg(F.min(F.struct(*ARRIVAL, *rest)).alias("first"))
         .select(*[F.col(c if c in DUPLICATE_KEY else f"first.{c}") for c in bronze.columns])
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,36 +107,25 @@ def _summary(df: DataFrame, columns: list[str], whole: bool = False) -> DataFram
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], SUMMARY)
-    measures = []
-    for c in columns:
-        value = quantiles.number(c)
-        measures += [
-            *quantiles.range_measures(c),
-            F.avg(F.col(c).cast("decimal(20,0)") if whole else value)
-            .cast("double")
-            .alias(f"{c}.mean"),
-            F.stddev_samp(value).alias(f"{c}.std"),
-            F.min(value).alias(f"{c}.min"),
-            F.max(value).alias(f"{c}.max"),
-        ]
-    row = df.agg(*measures).first()
-    ranges = {c: quantiles.column_range(row, c) for c in columns}
-    quartiles = quantiles.exact_quantiles(df, QUARTILES, ranges)
-    return spark.createDataFrame(
-        [
-            (
-                c,
-                ranges[c].count,
-                row[f"{c}.mean"],
-                row[f"{c}.std"],
-                row[f"{c}.min"],
-                *quartiles[c],
-                row[f"{c}.max"],
-            )
-            for c in columns
-        ],
-        SUMMARY,
+    value = F.col("value")
+    measured = quantiles.pairs(df, columns).groupBy("column").agg(
+        *quantiles.range_measures(),
+        F.avg(value.cast("decimal(20,0)") if whole else value).cast("double").alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
+    rows = {columns[row["column"]]: row for row in measured.collect()}
+    ranges = {c: quantiles.column_range(rows.get(c)) for c in columns}
+    quartiles = quantiles.exact_quantiles(df, columns, QUARTILES, ranges)
+    no_values = Row(mean=None, std=None, min=None, max=None)
+    described = []
+    for c in columns:
+        row = rows.get(c, no_values)
+        described.append(
+            (c, ranges[c].count, row.mean, row.std, row.min, *quartiles[c], row.max)
+        )
+    return spark.createDataFrame(described, SUMMARY)
 
 
 def time_summary(df: DataFrame) -> DataFrame:

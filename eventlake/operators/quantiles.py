@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,7 +33,7 @@ class Interval:
 
 @dataclass(frozen=True)
 class ColumnRange:
-    """Counts and finite extent of a column; NULL and NaN are no values."""
+    """Count and finite extent of a column; NULL and NaN are no values."""
 
     count: int
     low: float | None
@@ -42,42 +42,48 @@ class ColumnRange:
     infinities: int
 
 
-def number(column: str) -> Column:
-    """The column as double with NaN read as missing."""
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+def pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column number, value) of every value that is neither NULL nor NaN. The plan of
+    a pass stays small, however many columns there are."""
+    cells = [
+        F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    return df.select(F.inline(F.array(*cells))).filter(~F.isnan("value"))
 
 
-def range_measures(column: str) -> list[Column]:
-    """Aggregates a :class:`ColumnRange` is read from."""
-    value = number(column)
+def range_measures() -> list[Column]:
+    """Aggregates over pairs a :class:`ColumnRange` is read from."""
+    value = F.col("value")
     finite = F.when(F.abs(value) < math.inf, value)
     return [
-        F.count(value).alias(f"{column}.count"),
-        F.min(finite).alias(f"{column}.low"),
-        F.max(finite).alias(f"{column}.high"),
-        F.count_if(value == -math.inf).alias(f"{column}.minus_infinities"),
-        F.count_if(value == math.inf).alias(f"{column}.infinities"),
+        F.count(value).alias("count"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+        F.count_if(value == -math.inf).alias("minus_infinities"),
+        F.count_if(value == math.inf).alias("infinities"),
     ]
 
 
-def column_range(row, column: str) -> ColumnRange:
-    fields = ("count", "low", "high", "minus_infinities", "infinities")
-    return ColumnRange(*(row[f"{column}.{field}"] for field in fields))
+def column_range(row: Row | None) -> ColumnRange:
+    """The range in an aggregate row; a column without values has no row."""
+    if row is None:
+        return ColumnRange(0, None, None, 0, 0)
+    return ColumnRange(row["count"], row.low, row.high, row.minus_infinities, row.infinities)
 
 
 def exact_quantiles(
     df: DataFrame,
+    columns: list[str],
     probabilities: list[float],
     ranges: dict[str, ColumnRange] | None = None,
-    columns: list[str] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns, None for a column without
     values. ``ranges`` saves the first pass to a caller who has them."""
     if ranges is None:
-        measures = [m for c in columns for m in range_measures(c)]
-        row = df.agg(*measures).first()
-        ranges = {c: column_range(row, c) for c in columns}
+        rows = pairs(df, columns).groupBy("column").agg(*range_measures()).collect()
+        by_number = {row["column"]: row for row in rows}
+        ranges = {c: column_range(by_number.get(i)) for i, c in enumerate(columns)}
     ranks = {
         (c, rank)
         for c, r in ranges.items()
@@ -108,88 +114,66 @@ def _ranks(count: int, probability: float) -> tuple:
 
 def _values_at(df, ranges, ranks) -> dict[tuple[str, int], float]:
     """The value at each (column, rank), ranks counted from 0."""
-    found, open_ranks = {}, {}
+    found, searched = {}, {}
     for column, rank in ranks:
         r = ranges[column]
         if rank < r.minus_infinities:
             found[column, rank] = -math.inf
         elif rank >= r.count - r.infinities:
             found[column, rank] = math.inf
-        elif r.low == r.high:
-            found[column, rank] = r.low
         else:
-            interval = Interval(column, r.low, r.high, r.minus_infinities)
-            open_ranks[column, rank] = interval
-    while open_ranks:
-        narrowed = _narrow(df, open_ranks)
-        open_ranks = {}
-        for key, interval in narrowed.items():
-            if interval.low == interval.high:
-                found[key] = interval.low
-            else:
-                open_ranks[key] = interval
+            searched[column, rank] = Interval(column, r.low, r.high, r.minus_infinities)
+    while searched:
+        found |= {key: i.low for key, i in searched.items() if i.low == i.high}
+        searched = {key: i for key, i in searched.items() if i.low < i.high}
+        if searched:
+            searched = _narrow(df, searched)
     return found
 
 
-def _bin(value: Column, interval: Interval) -> Column:
-    """Bin number, rising with the value: 0 at ``low``, the last at ``high``. Halved
-    before subtracting, so the width of the widest interval stays finite."""
-    low, high = F.lit(interval.low / 2), F.lit(interval.high / 2)
-    bin_number = F.floor((value / 2 - low) / (high - low) * BINS)
-    return F.least(bin_number, F.lit(BINS - 1))
-
-
-def _narrow(df, open_ranks) -> dict[tuple[str, int], Interval]:
-    """One pass: for each open rank, the bin of its interval that holds it."""
-    intervals = sorted(set(open_ranks.values()), key=lambda i: (i.column, i.low))
-    slot_of = {interval: slot for slot, interval in enumerate(intervals)}
-    wanted = [(slot_of[i], rank, i.below) for (_, rank), i in open_ranks.items()]
-    per_column = {}
-    for interval in intervals:
-        value = number(interval.column)
-        hit = F.when(
-            value.between(interval.low, interval.high),
-            F.struct(
-                F.lit(slot_of[interval]).alias("slot"),
-                _bin(value, interval).alias("bin"),
-                value.alias("value"),
-            ),
-        )
-        per_column.setdefault(interval.column, []).append(hit)
-    # Intervals of one column do not overlap, so a row has one hit per column at most.
-    hits = F.array_compact(F.array(*[F.coalesce(*h) for h in per_column.values()]))
+def _narrow(df, searched) -> dict[tuple[str, int], Interval]:
+    """One pass: for each searched rank, the bin of its interval that holds it.
+
+    Rows become (column, value) pairs and meet the intervals in a broadcast join:
+    there are at most two intervals per column and quantile. Intervals of one column
+    are equal or apart, so a value falls into one at most.
+    """
+    spark = df.sparkSession
+    columns = sorted({interval.column for interval in searched.values()})
+    slots = {interval: slot for slot, interval in enumerate(dict.fromkeys(searched.values()))}
+    intervals = spark.createDataFrame(
+        [(slot, columns.index(i.column), i.low, i.high) for i, slot in slots.items()],
+        "slot int, column int, low double, high double",
+    )
+    wanted = spark.createDataFrame(
+        [(slots[i], rank, rank - i.below) for (_, rank), i in searched.items()],
+        "slot int, rank bigint, inside bigint",
+    )
+    # Halved before subtracting, so that the width of the widest interval is finite.
+    low, high, value = F.col("low") / 2, F.col("high") / 2, F.col("value") / 2
+    bin_number = F.least(F.floor((value - low) / (high - low) * BINS), F.lit(BINS - 1))
     bins = (
-        df.select(F.inline(hits))
-        .groupBy("slot", "bin")
+        pairs(df, columns)
+        .join(F.broadcast(intervals), "column")
+        .filter(F.col("value").between(F.col("low"), F.col("high")))
+        .groupBy("slot", bin_number.alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("value").alias("low"),
             F.max("value").alias("high"),
         )
     )
-    # At most BINS rows per slot.
+    # A window over the bins of a slot, BINS rows at most.
     earlier = Window.partitionBy("slot").orderBy("bin").rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = bins.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    holds = F.lit(False)
-    for slot, rank, below in wanted:
-        inside = rank - below
-        holds = holds | (
-            (F.col("slot") == slot)
-            & (F.col("before") <= inside)
-            & (F.col("before") + F.col("n") > inside)
-        )
-    rows = placed.filter(holds).collect()
+    holding = placed.join(F.broadcast(wanted), "slot").filter(
+        "before <= inside AND inside < before + n"
+    )
+    found = {(row.slot, row.rank): row for row in holding.collect()}
     narrowed = {}
-    for (column, rank), interval in open_ranks.items():
-        inside = rank - interval.below
-        row = next(
-            r
-            for r in rows
-            if r.slot == slot_of[interval] and r.before <= inside < r.before + r.n
-        )
-        narrowed[column, rank] = Interval(
-            column, row.low, row.high, interval.below + row.before
-        )
+    for (column, rank), interval in searched.items():
+        row = found[slots[interval], rank]
+        narrowed[column, rank] = Interval(column, row.low, row.high, interval.below + row.before)
     return narrowed

@@ -6,10 +6,11 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventlake.errors import AmbiguousTableError, EventLakeError, TableNotFoundError
 from eventlake.operators import profile
-from eventlake.sources.tables import read_table
+from eventlake.sources.tables import read_table, union_tables
 
 TABLE_NAMES = ["revenue_per_hour", "active_users_per_hour", "conversion_rate", "user_features"]
 
@@ -74,15 +75,20 @@ class TableRegistry:
         return result if n is None or OWN_LIMIT.search(text) else result.limit(n)
 
     def schemas(self) -> DataFrame:
-        """(table, position, column, type, rows) of every table."""
-        described = [
-            (name, i, field.name, field.dataType.simpleString(), table.count())
-            for name, table in self.tables.items()
-            for i, field in enumerate(table.schema)
+        """(table, position, column, type, rows) of every table, counted in one query."""
+        return union_tables([self._described(name) for name in self.tables])
+
+    def _described(self, name: str) -> DataFrame:
+        columns = [
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(field.name).alias("column"),
+                F.lit(field.dataType.simpleString()).alias("type"),
+            )
+            for i, field in enumerate(self.tables[name].schema)
         ]
-        return self.spark.createDataFrame(
-            described, "table string, position int, column string, type string, rows bigint"
-        )
+        rows = self.tables[name].agg(F.count(F.lit(1)).alias("rows"))
+        return rows.select(F.lit(name).alias("table"), "rows", F.inline(F.array(*columns)))
 
     def preview(self, name: str, n: int = 10) -> DataFrame:
         return profile.preview(self.table(name), n)
