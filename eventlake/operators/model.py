@@ -8,15 +8,16 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas
 from eventlake.errors import SingleClassError
+from eventlake.session import scratch_dir
 
 LABEL = schemas.LABEL_COLUMN
 HASH_DIGITS = 8  # hexadecimal digits of the hash that places a user in the split
@@ -130,7 +131,16 @@ def fit(train: DataFrame, names: list[str], c: float = 1.0, max_iter: int = 1000
         maxIter=max_iter,
         tol=1e-9,
     ).fit(weighted)
-    return PipelineModel([scaling, assembler, regression]), rows
+    return PipelineModel([scaling, assembler, _without_summary(regression)]), rows
+
+
+def _without_summary(fitted: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as a later run would load it. A freshly fitted one holds its training
+    summary and through it the session, which cannot be sent to the executors once a
+    row count has been observed."""
+    path = scratch_dir(SparkSession.active(), "fitted-model")
+    fitted.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def predict(pipeline: PipelineModel, features: DataFrame) -> DataFrame:

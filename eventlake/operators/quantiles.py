@@ -100,7 +100,7 @@ def exact_quantiles(
                 continue
             lower, upper, weight = _ranks(r.count, p)
             a, b = values[c, lower], values[c, upper]
-            result[c].append(a if a == b else a + (b - a) * weight)
+            result[c].append(a if a == b or weight == 0 else a + (b - a) * weight)
     return result
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake import schemas
 from eventlake.operators import cleaning, features, hourly, model, quality
 from eventlake.session import checkpointed
 from eventlake.sources import artifacts
@@ -91,7 +92,7 @@ def run_silver(
     the rest. ``by_date`` lays Silver out in daily partitions, which lets readers of
     a period skip the other days.
     """
-    bronze = read_table(spark, paths.bronze, paths.fmt)
+    bronze = read_table(spark, paths.bronze, paths.fmt, schemas.BRONZE)
     counts = {}
     if on_violation == "quarantine":
         tagged = quality.tag_violations(bronze)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -9,29 +10,44 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.errors import TableNotFoundError
+from eventlake.errors import EventLakeError, TableNotFoundError
 from eventlake.functions import times
 
 # What Spark names a path that holds nothing to read.
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's view of ``path`` and of the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def is_delta(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` keeps a Delta log. Only the log tells live files from stale
     ones, so such a path must never be read as plain Parquet."""
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_delta_log/*.json")
-    except AnalysisException:
-        return False
-    return True
+    log, files = _file_system(spark, f"{path}/_delta_log")
+    return files.exists(log)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    schema: T.StructType | None = None,
+    merge_schema: bool = False,
+) -> DataFrame:
     """The live snapshot of a table: its Delta version, else all its Parquet files
-    together, columns merged by name. Lazy: nothing is counted."""
+    together. Lazy: nothing is counted.
+
+    The schema of Parquet files is taken from one of them. For a table whose files
+    differ, give the ``schema``, or ask to merge theirs, which opens every file.
+    """
     fmt = fmt or ("delta" if is_delta(spark, path) else "parquet")
     reader = spark.read.format(fmt)
-    if fmt == "parquet":
+    if schema is not None and fmt != "delta":
+        reader = reader.schema(schema)
+    if merge_schema:
         reader = reader.option("mergeSchema", "true")
     try:
         return reader.load(path)
@@ -56,6 +72,11 @@ def write_table(
     """Replace the table at ``path``, schema included, and return ``rows_written``,
     counted on the way: no second job counts.
 
+    Spark empties the target of a file overwrite before it writes. So files are
+    written beside the table and take its place when they are complete: a failed job
+    leaves the table as it was, and a table may be rebuilt from itself. Delta does
+    this by its log.
+
     ``partition_by`` lays the files out by a column; rows are rebalanced on it first,
     so a partition gets few files and a large one is still written by many tasks.
     ``only_touched`` then replaces just the partitions ``df`` holds.
@@ -68,13 +89,33 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if only_touched:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
     elif fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
+        writer.option("overwriteSchema", "true").save(path)
+    else:
+        staged = _beside(path, "new")
+        writer.save(staged)
+        _take_place(df.sparkSession, staged, path)
     return counting.get
 
 
+def _beside(path: str, purpose: str) -> str:
+    """A hidden sibling of ``path``."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}-{purpose}-{uuid.uuid4().hex}"
+
+
+def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+    new, files = _file_system(spark, staged)
+    target, _ = _file_system(spark, path)
+    old, _ = _file_system(spark, _beside(path, "old"))
+    if files.exists(target) and not files.rename(target, old):
+        raise EventLakeError(f"cannot move {path} aside")
+    if not files.rename(new, target):
+        raise EventLakeError(f"cannot move {staged} to {path}")
+    files.delete(old, True)
+
+
 def layer_status(
     spark: SparkSession, layers: dict[str, str], fmt: str | None = None
 ) -> DataFrame:

@@ -20,7 +20,7 @@ def append_stream(
 
     Without ``interval`` the query drains what is there and ends; with one, for
     instance ``"30 seconds"``, it runs until stopped. New columns are kept: Delta
-    merges them on write, Parquet tables are merged by their reader.
+    merges them on write, Parquet tables where they are read (``merge_schema``).
     """
     writer = (
         stream.writeStream.format(fmt)

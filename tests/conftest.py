@@ -108,4 +108,6 @@ def make_silver(spark):
 
 
 def rows(df) -> list[tuple]:
-    return sorted((tuple(row) for row in df.collect()), key=repr)
+    """Rows in a fixed order; NaN as text, so that it equals itself."""
+    found = [tuple("NaN" if value != value else value for value in row) for row in df.collect()]
+    return sorted(found, key=repr)
