@@ -133,6 +133,15 @@ def _minutes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(tables.read_table(spark, f"{folder}/table", "parquet"))
 
 
+def _decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of which every second one is spelt backwards, and so is no JSON."""
+    records = adapters.records(adapters.source_events(spark, sf_dir))
+    backwards = F.reverse(F.col("value").cast("string")).cast("binary")
+    value = F.when(F.col("offset") % 2 == 0, backwards).otherwise(F.col("value"))
+    decoded = decode_records(records.withColumn("value", value), keep_raw=True)
+    return decoded.select("offset", "user_id", "product_id", "event_type", "raw_value")
+
+
 def _registry(spark: SparkSession, sf_dir: str) -> TableRegistry:
     user_features = _user_features(adapters.silver(spark, sf_dir))
     return TableRegistry(spark, {**_gold(spark, sf_dir), "user_features": user_features})
@@ -247,13 +256,14 @@ def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = {name: f"{sf_dir}/{name}.parquet" for name in ("events", "orders", "absent")}
     status = tables.layer_status(spark, layers, "parquet")
-    return status.select("layer", "exists", "files", "rows")
+    return _without_zone(status.select("layer", "exists", "files", "rows", "newest"))
 
 
 def queries() -> dict[str, Query]:
     """One entry per query or operator; each takes (spark, sf_dir)."""
     return {
         "decode_events": lambda spark, sf: _without_zone(adapters.decoded_bronze(spark, sf)),
+        "decode_malformed": _decode_malformed,
         "encode_events": _encoded,
         "bronze_stream": _bronze_stream,
         "quality_report": _on_bronze(quality.quality_report),
@@ -300,6 +310,9 @@ def queries() -> dict[str, Query]:
         "union_tables": _union,
         "layer_status": _layer_status,
         "train_test_split": _on_silver(_split),
+        "prepared_features": _on_silver(
+            lambda s: model.prepare(_user_features(s), schemas.FEATURE_COLUMNS)
+        ),
         "feature_scaling": _on_silver(_scaling),
         "train_metrics": _train_metrics,
         "confusion_matrix": _confusion,

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.errors import EventLakeError, TableNotFoundError
-from eventlake.functions import times
+
+# Columns a layer's newest event may be read from, the first that fits.
+NEWEST_BY = ["event_timestamp", "kafka_timestamp", "hour", "last_activity", "ts"]
+TIMES = (T.TimestampType(), T.TimestampNTZType())
 
 # What Spark names a path that holds nothing to read.
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -143,9 +146,9 @@ def layer_status(
 
 
 def _status(name: str, table: DataFrame) -> DataFrame:
-    wanted = ("event_timestamp", "hour", "last_activity")
-    column = next((c for c in wanted if c in table.columns), None)
-    newest = F.lit(None) if column is None else F.max(times.parsed(table, column))
+    """Times kept as text are passed over: parsing them would cost more than the rest."""
+    typed = [c for c in NEWEST_BY if c in table.columns and table.schema[c].dataType in TIMES]
+    newest = F.max(typed[0]) if typed else F.lit(None)
     return table.select("*", "_metadata").agg(
         F.lit(name).alias("layer"),
         F.countDistinct("_metadata.file_path").alias("files"),

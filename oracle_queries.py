@@ -195,7 +195,67 @@ PLACE = "('0x' || substr(md5('42:' || user_id::VARCHAR), 1, 8))::BIGINT"
 IN_TEST = f"{PLACE} < {int(0.2 * 16**8)}"
 LINEITEM = {
     "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
+    "l_linenumber": "int",
+    "l_quantity": "double",
+    "l_extendedprice": "double",
+    "l_discount": "double",
+    "l_tax": "double",
+    "l_returnflag": "string",
+    "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
 }
+JSON = """'{"user_id":' || user_id || ',"product_id":' || product_id || ',"event_type":"'
+    || event_type || '","price":' || price || ',"timestamp":"' || event_timestamp || '"}'"""
+GOLD_TYPES = {
+    "revenue_per_hour": {
+        "hour": "timestamp_ntz",
+        "total_revenue": "double",
+        "purchase_count": "bigint",
+        "avg_order_value": "double",
+    },
+    "active_users_per_hour": {
+        "hour": "timestamp_ntz",
+        "active_users": "bigint",
+        "total_events": "bigint",
+        "unique_products_viewed": "bigint",
+    },
+    "conversion_rate": {
+        "hour": "timestamp_ntz",
+        "view_count": "bigint",
+        "cart_count": "bigint",
+        "purchase_count": "bigint",
+        "unique_users": "bigint",
+        "view_to_cart_rate": "double",
+        "cart_to_purchase_rate": "double",
+        "overall_conversion_rate": "double",
+    },
+}
+WHOLE_FEATURES = [
+    "purchases_last_24h",
+    "total_purchases",
+    "total_events",
+    "view_count",
+    "cart_count",
+    "unique_products",
+]
+FEATURE_TYPES = {
+    "user_id": "bigint",
+    **{c: "bigint" if c in WHOLE_FEATURES else "double" for c in FEATURES},
+    "first_activity": "timestamp_ntz",
+    "last_activity": "timestamp_ntz",
+    "feature_timestamp": "timestamp_ntz",
+    "is_purchaser": "int",
+}
+
+
+def described(name: str, types: dict[str, str], rows: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", {i} AS "position", '{c}' AS "column", '{kind}' AS type,
+            ({rows}) AS rows"""
+        for i, (c, kind) in enumerate(types.items())
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -210,6 +270,14 @@ def oracle_sql() -> dict[str, str]:
     return {
         "decode_events": bronze_rows,
         "bronze_stream": bronze_rows,
+        "encode_events": f"""{bronze} SELECT kafka_key AS key, {JSON} AS value, topic, partition,
+            "offset" FROM bronze""",
+        "decode_malformed": f"""{bronze} SELECT "offset",
+            CASE WHEN odd THEN user_id END AS user_id,
+            CASE WHEN odd THEN product_id END AS product_id,
+            CASE WHEN odd THEN event_type END AS event_type,
+            CASE WHEN odd THEN {JSON} ELSE reverse({JSON}) END AS raw_value
+            FROM (SELECT *, "offset" % 2 = 1 AS odd FROM bronze)""",
         "quality_report": f"""{bronze} SELECT *, greatest({', '.join(RULES)}) = 0 AS passed
             FROM ({REPORT})""",
         "quality_issues": bronze
@@ -284,6 +352,10 @@ def oracle_sql() -> dict[str, str]:
                 "event_timestamp": "timestamp_ntz",
             },
         ),
+        "lineitem_column_profile": column_profile("lineitem", LINEITEM),
+        "lineitem_summary_stats": summary(
+            "lineitem", [c for c, kind in LINEITEM.items() if kind in ("bigint", "int", "double")]
+        ),
         "summary_stats": features
         + summary("user_features", FEATURES + ["is_purchaser"]),
         "time_summary": f"""{silver}, t AS (SELECT epoch_us(event_timestamp) AS us FROM silver)
@@ -308,9 +380,22 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN {BOUGHT} THEN price END AS price, event_timestamp
             FROM silver WHERE event_type IN ('view', 'purchase')""",
         "layer_status": """SELECT 'events' AS layer, true AS exists, 1::BIGINT AS files,
-              (SELECT count(*) FROM events) AS rows
-            UNION ALL SELECT 'orders', true, 1, (SELECT count(*) FROM orders)
-            UNION ALL SELECT 'absent', false, NULL, NULL""",
+              (SELECT count(*) FROM events) AS rows, (SELECT max(ts) FROM events) AS newest
+            UNION ALL SELECT 'orders', true, 1, (SELECT count(*) FROM orders), NULL
+            UNION ALL SELECT 'absent', false, NULL, NULL, NULL""",
+        "table_schemas": gold
+        + " UNION ALL ".join(
+            described(
+                name,
+                types,
+                "SELECT count(*) FROM hourly" + (" WHERE buys > 0" if "revenue" in name else ""),
+            )
+            for name, types in GOLD_TYPES.items()
+        )
+        + " UNION ALL "
+        + described("user_features", FEATURE_TYPES, "SELECT count(DISTINCT user_id) FROM silver"),
+        "prepared_features": f"""{features} SELECT user_id,
+            {', '.join(f"{c}::DOUBLE AS {c}" for c in FEATURES)}, is_purchaser FROM user_features""",
         "train_test_split": f"""{users} SELECT user_id,
             CASE WHEN {IN_TEST} THEN 'test' ELSE 'train' END AS part FROM users""",
         "feature_scaling": features
