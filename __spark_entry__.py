@@ -199,7 +199,7 @@ def _time_summary(silver: DataFrame) -> DataFrame:
 
 def _scaling(silver: DataFrame) -> DataFrame:
     names = schemas.FEATURE_COLUMNS
-    train, _ = model.split(model.prepare(_user_features(silver), names))
+    train, _ = model.split(_user_features(silver))
     stats = train.agg(*model.scaling_measures(names))
     parts = [
         F.struct(
@@ -213,10 +213,10 @@ def _scaling(silver: DataFrame) -> DataFrame:
 
 
 def _split(silver: DataFrame) -> DataFrame:
-    prepared = model.prepare(_user_features(silver), ["total_events"])
+    parts = model.split(_user_features(silver))
     train, test = (
         part.select("user_id", F.lit(name).alias("part"))
-        for part, name in zip(model.split(prepared), ("train", "test"))
+        for part, name in zip(parts, ("train", "test"))
     )
     return train.unionByName(test)
 

@@ -111,24 +111,21 @@ def event_distribution(events: DataFrame) -> DataFrame:
 
 def hourly_activity(events: DataFrame, column: str = "event_timestamp") -> DataFrame:
     """Rows per hour of day; rows without a valid time are left out."""
-    return (
-        events.select(F.hour(times.parsed(events, column)).alias("hour_of_day"))
-        .filter(F.col("hour_of_day").isNotNull())
-        .groupBy("hour_of_day")
-        .agg(F.count(F.lit(1)).alias("event_count"))
-        .orderBy("hour_of_day")
-    )
+    hours = events.select(F.hour(times.parsed(events, column)).alias("hour_of_day"))
+    return _counted(hours, F.col("hour_of_day")).orderBy("hour_of_day")
 
 
 def events_per_minute(bronze: DataFrame, column: str = "event_timestamp") -> DataFrame:
     """Rows per minute in time order; rows without a valid time are left out."""
     timed = bronze.select(times.parsed(bronze, column).alias("at"))
-    return (
-        timed.filter(F.col("at").isNotNull())
-        .groupBy(times.bucket(timed, "at", "minute").alias("minute"))
-        .agg(F.count(F.lit(1)).alias("event_count"))
-        .orderBy("minute")
-    )
+    return _counted(timed, times.bucket(timed, "at", "minute").alias("minute")).orderBy("minute")
+
+
+def _counted(rows: DataFrame, key: Column) -> DataFrame:
+    """Rows per non-NULL key. The NULL group is dropped by its count, after the
+    aggregate: a filter on the key would be pushed down and parse every time twice."""
+    counts = rows.groupBy(key).agg(F.count(key).alias("event_count"))
+    return counts.filter("event_count > 0")
 
 
 def stream_kpis(bronze: DataFrame, approx: bool = False) -> DataFrame:

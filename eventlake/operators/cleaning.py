@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -29,57 +29,71 @@ def drop_duplicates(bronze: DataFrame) -> DataFrame:
     )
 
 
-def row_checks(bronze: DataFrame) -> dict[str, Column]:
-    """What cleaning asks of a row, by the name its failure is reported under."""
-    return {
-        "no_user": F.col("user_id").isNotNull(),
-        "unknown_type": normalised_type().isin(schemas.EVENT_TYPES),
-        "bad_time": times.parsed(bronze, "event_timestamp").isNotNull(),
-    }
+class DropCounts:
+    """Row counts taken while :func:`clean` runs: rows read, rows without user or with
+    an unknown type, and, once duplicates are gone, rows without a valid time."""
 
+    def __init__(self) -> None:
+        self.reading = Observation()
+        self.timing = Observation()
 
-def clean(bronze: DataFrame, normalize_first: bool = False) -> DataFrame:
+    def of_read(self, bronze: DataFrame) -> DataFrame:
+        no_user = F.col("user_id").isNull()
+        known = F.coalesce(_known_type(), F.lit(False))
+        return bronze.observe(
+            self.reading,
+            F.count(F.lit(1)).alias("rows_read"),
+            F.count_if(no_user).alias("no_user"),
+            F.count_if(~no_user & ~known).alias("unknown_type"),
+        )
+
+    def of_timed(self, rows: DataFrame) -> DataFrame:
+        bad = F.count_if(F.col("event_time").isNull())
+        return rows.observe(self.timing, bad.alias("bad_time"))
+
+    def get(self) -> dict[str, int]:
+        """The counts, once an action has run."""
+        return {**self.reading.get, **self.timing.get}
+
+
+def _known_type() -> Column:
+    return normalised_type().isin(schemas.EVENT_TYPES)
+
+
+def clean(
+    bronze: DataFrame, normalize_first: bool = False, counts: DropCounts | None = None
+) -> DataFrame:
     """Silver rows of ``bronze``.
 
-    The filters look at key columns only, so they give the same rows before or after
-    deduplication; they come first to keep dropped rows out of the shuffle.
     Duplicates are found on the raw type and time: ``View`` and ``view`` at one
     instant both survive. ``normalize_first`` compares the normalised values instead.
+
+    User and type are tested before deduplication, which gives the same rows as
+    testing after it, since they belong to the key, and keeps dropped rows out of the
+    shuffle. Times are parsed once per row and travel with it; parsing is the dearest
+    step, and a test on the parsed time ahead of the shuffle would repeat it.
     """
-    usable = bronze.select(*DUPLICATE_KEY, "price", *ARRIVAL)
-    for check in row_checks(bronze).values():
-        usable = usable.filter(check)
+    if counts:
+        bronze = counts.of_read(bronze)
+    usable = bronze.filter(F.col("user_id").isNotNull()).filter(_known_type())
+    timed = usable.select(
+        *DUPLICATE_KEY,
+        "price",
+        *ARRIVAL,
+        times.parsed(bronze, "event_timestamp").alias("event_time"),
+    )
     if normalize_first:
-        usable = _normalise(usable)
-    kept = drop_duplicates(usable)
-    if not normalize_first:
-        kept = _normalise(kept)
-    return kept.select(
+        timed = timed.withColumns(
+            {"event_type": normalised_type(), "event_timestamp": F.col("event_time")}
+        )
+    kept = drop_duplicates(timed)
+    if counts:
+        kept = counts.of_timed(kept)
+    return kept.filter(F.col("event_time").isNotNull()).select(
         "user_id",
         "product_id",
-        "event_type",
+        normalised_type().alias("event_type"),
         "price",
-        "event_timestamp",
+        F.col("event_time").alias("event_timestamp"),
         F.col("kafka_timestamp").alias("ingestion_timestamp"),
     )
-
-
-def _normalise(rows: DataFrame) -> DataFrame:
-    return rows.withColumns(
-        {
-            "event_type": normalised_type(),
-            "event_timestamp": times.parsed(rows, "event_timestamp"),
-        }
-    )
-
-
-def drop_report(bronze: DataFrame) -> list[Column]:
-    """Aggregates for ``observe``: rows read and rows each check turns away, each row
-    counted under the first check it fails."""
-    passed_so_far = F.lit(True)
-    counts = [F.count(F.lit(1)).alias("rows_read")]
-    for name, check in row_checks(bronze).items():
-        check = F.coalesce(check, F.lit(False))
-        counts.append(F.count_if(passed_so_far & ~check).alias(name))
-        passed_so_far = passed_so_far & check
-    return counts

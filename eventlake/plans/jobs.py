@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -104,15 +104,14 @@ def run_silver(
         quality.check_quality(bronze)
     else:
         raise ValueError(f"on_violation: {on_violation}")
-    dropped = Observation()
-    observed = bronze.observe(dropped, *cleaning.drop_report(bronze))
-    silver = cleaning.clean(observed, normalize_first)
+    dropped = cleaning.DropCounts()
+    silver = cleaning.clean(bronze, normalize_first, dropped)
     if by_date:
         silver = silver.withColumn("event_date", F.to_date("event_timestamp"))
     written = write_table(
         silver, paths.silver, paths.fmt, partition_by="event_date" if by_date else None
     )
-    return {**counts, **dropped.get, **written}
+    return {**counts, **dropped.get(), **written}
 
 
 def run_gold(spark: SparkSession, paths: LakePaths, approx: bool = False) -> dict[str, int]:

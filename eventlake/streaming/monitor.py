@@ -11,11 +11,11 @@ from eventlake.functions import times
 def events_per_minute(bronze: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     """Events per minute of a Bronze stream. A minute is emitted once, when no event
     ``lateness`` behind the newest can still change it; state is one count per open
-    minute. On a batch table this is the full count."""
+    minute. Rows without a valid time fall into no window. On a batch table this is
+    the full count."""
     timed = bronze.select(times.parsed(bronze, "event_timestamp").alias("at"))
     return (
-        timed.filter(F.col("at").isNotNull())
-        .withWatermark("at", lateness)
+        timed.withWatermark("at", lateness)
         .groupBy(F.window("at", "1 minute"))
         .agg(F.count(F.lit(1)).alias("event_count"))
         .select(F.col("window.start").alias("minute"), "event_count")

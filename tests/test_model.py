@@ -44,7 +44,7 @@ def newton(x, y, weight, penalty=1.0, steps=50):
 
 
 def test_coefficients_are_those_of_a_direct_solution(features, trained):
-    train, _ = model.split(model.prepare(features, NAMES))
+    train, _ = model.split(features)
     data = train.toPandas()
     x, y = data[NAMES].to_numpy(), data["is_purchaser"].to_numpy()
     x = (x - x.mean(axis=0)) / x.std(axis=0)
@@ -56,7 +56,7 @@ def test_coefficients_are_those_of_a_direct_solution(features, trained):
 
 
 def test_metrics_follow_from_the_predictions(features, trained):
-    _, test = model.split(model.prepare(features, NAMES))
+    _, test = model.split(features)
     scored = model.predict(trained.pipeline, test).toPandas()
     y, p = scored["is_purchaser"].to_numpy(), scored["predicted"].to_numpy()
     score = scored["purchase_probability"].to_numpy()
@@ -75,9 +75,9 @@ def test_metrics_follow_from_the_predictions(features, trained):
 
 
 def test_split_is_stable_and_near_its_fraction(spark, features):
-    train, test = model.split(model.prepare(features, NAMES))
+    train, test = model.split(features)
     assert train.join(test, "user_id").isEmpty()
-    again = model.split(model.prepare(features.repartition(7), NAMES))[1]
+    again = model.split(features.repartition(7))[1]
     assert sorted(r.user_id for r in again.collect()) == sorted(r.user_id for r in test.collect())
     share = spark.range(50_000).select(F.avg(model.is_test(F.col("id")).cast("int"))).first()[0]
     assert abs(share - 0.2) < 0.01
@@ -130,12 +130,12 @@ def test_metrics_history_and_gate(spark, trained, tmp_path):
 
 def test_one_class_cannot_be_fitted(features):
     with pytest.raises(SingleClassError):
-        model.fit(model.prepare(features.filter("is_purchaser = 1"), NAMES), NAMES)
+        model.fit(features.filter("is_purchaser = 1"), NAMES)
 
 
 def test_a_feature_without_variance_is_only_centred(features):
     constant = features.withColumn("cart_count", F.lit(7.0))
-    pipeline, _ = model.fit(model.prepare(constant, NAMES), NAMES)
+    pipeline, _ = model.fit(constant, NAMES)
     assert pipeline.stages[-1].coefficients[2] == 0.0
 
 

@@ -72,6 +72,16 @@ def test_cleaning_filters_before_its_only_shuffle(stored):
     assert "partial_min" in text and "IsNotNull(user_id)" in text
 
 
+def test_times_are_parsed_once(stored):
+    for table in (
+        cleaning.clean(stored["bronze"]),
+        analytics.events_per_minute(stored["bronze"]),
+        analytics.hourly_activity(stored["bronze"]),
+        analytics.latest_events(stored["bronze"]),
+    ):
+        assert plan(table).count("cast(event_timestamp") == 1
+
+
 def test_money_is_summed_in_hash_aggregates(stored):
     for table in (
         hourly.hourly_rollup(stored["silver"]),
