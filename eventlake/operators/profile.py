@@ -11,9 +11,18 @@ from eventlake.operators import quantiles
 QUARTILES = [0.25, 0.5, 0.75]
 
 
+def present_value(df: DataFrame, column: str) -> Column:
+    """The column with NaN read as missing, as in every profile here."""
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def table_profile(df: DataFrame) -> DataFrame:
-    """One row: rows, columns and the percent of NULL cells."""
-    nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), start=F.lit(0))
+    """One row: rows, columns and the percent of missing cells."""
+    missing = [F.count_if(present_value(df, c).isNull()) for c in df.columns]
+    nulls = sum(missing, start=F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("null_cells")).select(
         "rows",
         F.lit(len(df.columns)).alias("columns"),
@@ -26,14 +35,29 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _as_text(df: DataFrame, column: str) -> Column:
-    """Distinct values keep distinct texts; the two zeros of a double become one."""
-    value = F.col(column)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        value = value + F.lit(0.0)
-    if isinstance(df.schema[column].dataType, T.BinaryType):
-        return F.hex(value)
-    return value.cast("string")
+def _cell(df: DataFrame, column: str, number: int) -> Column:
+    """A value in the field of its kind. Numbers and times stay numbers, which compare
+    and travel faster than their texts; grouping makes one value of both zeros."""
+    kind, value = df.schema[column].dataType, present_value(df, column)
+    whole = real = text = F.lit(None)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        whole = value
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(value)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.unix_micros(value.cast("timestamp"))
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        real = value
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(value)
+    else:
+        text = value
+    return F.struct(
+        F.lit(number).alias("number"),
+        whole.cast("bigint").alias("whole"),
+        real.cast("double").alias("real"),
+        text.cast("string").alias("text"),
+    )
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -45,38 +69,41 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     values spread over all tasks. ``approx`` needs a sketch per column and no
     shuffle of values.
     """
-    types = F.create_map(
-        *[F.lit(x) for c in df.columns for x in (c, df.schema[c].dataType.simpleString())]
+    counts = _approx_counts(df) if approx else _exact_counts(df)
+    described = [
+        F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type")) for c, kind in df.dtypes
+    ]
+    return counts.orderBy("number").select(
+        F.array(*described)[F.col("number")].alias("described"), "*"
+    ).select("described.*", "null_count", "non_null_count", "distinct_count")
+
+
+def _exact_counts(df: DataFrame) -> DataFrame:
+    cells = F.array(*[_cell(df, c, i) for i, c in enumerate(df.columns)])
+    values = (
+        df.select(F.inline(cells))
+        .groupBy("number", "whole", "real", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    order = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (c, i)])
-    if approx:
-        counts = _approx_counts(df)
-    else:
-        cells = F.array(
-            *[F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value")) for c in df.columns]
-        )
-        values = df.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        counts = values.groupBy("column").agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null_count"),
-            F.count("value").alias("distinct_count"),
-        )
-    return (
-        counts.withColumn("type", types[F.col("column")])
-        .orderBy(order[F.col("column")])
-        .select("column", "type", "null_count", "non_null_count", "distinct_count")
+    present = F.lit(False)
+    for field in ("whole", "real", "text"):
+        present = present | F.col(field).isNotNull()
+    return values.groupBy("number").agg(
+        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("non_null_count"),
+        F.count_if(present).alias("distinct_count"),
     )
 
 
 def _approx_counts(df: DataFrame) -> DataFrame:
     per_column = [
         F.struct(
-            F.lit(c).alias("column"),
-            F.count_if(F.col(c).isNull()).alias("null_count"),
-            F.count(c).alias("non_null_count"),
-            F.approx_count_distinct(c).alias("distinct_count"),
+            F.lit(i).alias("number"),
+            F.count_if(present_value(df, c).isNull()).alias("null_count"),
+            F.count(present_value(df, c)).alias("non_null_count"),
+            F.approx_count_distinct(present_value(df, c)).alias("distinct_count"),
         )
-        for c in df.columns
+        for i, c in enumerate(df.columns)
     ]
     return df.agg(F.array(*per_column).alias("profile")).select(F.inline("profile"))
 
