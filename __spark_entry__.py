@@ -174,6 +174,7 @@ def _schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases, and views that lack the price column."""
     silver = adapters.silver(spark, sf_dir)
     views = silver.filter("event_type = 'view'").drop("price")
     return tables.union_tables([silver.filter("event_type = 'purchase'"), views])
@@ -292,8 +293,8 @@ def queries() -> dict[str, Query]:
         "events_per_minute_stream": _minutes_stream,
         "stream_kpis": _on_bronze(analytics.stream_kpis),
         "latest_events": _on_bronze(analytics.latest_events),
-        "table_profile": _on_bronze(profile.table_profile),
-        "column_profile": _on_silver(profile.column_profile),
+        "table_profile": lambda spark, sf: profile.table_profile(_union(spark, sf)),
+        "column_profile": lambda spark, sf: profile.column_profile(_union(spark, sf)),
         "lineitem_column_profile": _of_table("lineitem", profile.column_profile),
         "summary_stats": _summary,
         "lineitem_summary_stats": _of_table(

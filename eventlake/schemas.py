@@ -57,7 +57,7 @@ SILVER = T.StructType(
     ]
 )
 
-# Model inputs, in the order of the coefficient vector.
+# The model inputs, in the order of the coefficient vector.
 FEATURE_COLUMNS = [
     "purchases_last_24h",
     "total_purchases",

@@ -61,6 +61,11 @@ def micros(price: str = "price") -> str:
 
 
 BOUGHT = "event_type = 'purchase'"
+SILVER_COLUMNS = ["user_id", "product_id", "event_type", "price", "event_timestamp"]
+UNITED = f"""united AS (
+  SELECT user_id, product_id, event_type, CASE WHEN {BOUGHT} THEN price END AS price,
+         event_timestamp
+  FROM silver WHERE event_type IN ('view', 'purchase'))"""
 S6 = f"sum({micros()}) FILTER ({BOUGHT})"
 BUYS = f"count(*) FILTER ({BOUGHT})"
 VIEWS = "count(*) FILTER (event_type = 'view')"
@@ -262,6 +267,7 @@ def oracle_sql() -> dict[str, str]:
     silver, bronze = with_(SILVER), with_(BRONZE)
     gold, users = with_(SILVER, HOURLY), with_(SILVER, USERS)
     features = with_(SILVER, USERS, USER_FEATURES)
+    united = with_(SILVER, UNITED)
     bronze_rows = f"{bronze} SELECT * EXCLUDE (ts) FROM bronze"
     cleaned = f"""{bronze} SELECT user_id, product_id, event_type, price,
         ts AS event_timestamp, kafka_timestamp AS ingestion_timestamp
@@ -339,11 +345,12 @@ def oracle_sql() -> dict[str, str]:
             FROM bronze""",
         "latest_events": f"""{bronze} SELECT * EXCLUDE (ts) REPLACE (ts AS event_timestamp)
             FROM bronze ORDER BY ts DESC, "offset" DESC LIMIT 20""",
-        "table_profile": f"""{bronze} SELECT count(*) AS rows, 10 AS columns,
-            0.0::DOUBLE AS null_percent FROM bronze""",
-        "column_profile": silver
+        "table_profile": f"""{united} SELECT count(*) AS rows, 5 AS columns,
+            {half_up(f"100 * ({' + '.join(f'count(*) - count({c})' for c in SILVER_COLUMNS)})", "count(*) * 5", 1)}
+              AS null_percent FROM united""",
+        "column_profile": united
         + column_profile(
-            "silver",
+            "united",
             {
                 "user_id": "bigint",
                 "product_id": "int",
@@ -376,9 +383,7 @@ def oracle_sql() -> dict[str, str]:
         "grouped_query": f"""{features} SELECT is_purchaser, count(*) AS users,
             sum(total_events)::BIGINT AS events, max(last_activity) AS newest
             FROM user_features GROUP BY 1""",
-        "union_tables": f"""{silver} SELECT user_id, product_id, event_type,
-            CASE WHEN {BOUGHT} THEN price END AS price, event_timestamp
-            FROM silver WHERE event_type IN ('view', 'purchase')""",
+        "union_tables": f"{united} SELECT * FROM united",
         "layer_status": """SELECT 'events' AS layer, true AS exists, 1::BIGINT AS files,
               (SELECT count(*) FROM events) AS rows, (SELECT max(ts) FROM events) AS newest
             UNION ALL SELECT 'orders', true, 1, (SELECT count(*) FROM orders), NULL
