@@ -29,6 +29,12 @@ from eventlake.sources import tables
 from eventlake.sources.registry import TableRegistry
 from eventlake.streaming import ingest, monitor
 
+try:
+    import corpus_pipeline
+    from eventlake.llm import queries as corpus_queries
+except ImportError:
+    corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 30, 12)
 
@@ -262,7 +268,11 @@ def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per query or operator; each takes (spark, sf_dir)."""
+    corpus = {}
+    if corpus_queries is not None:
+        corpus = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
     return {
+        **corpus,
         "decode_events": lambda spark, sf: _without_zone(adapters.decoded_bronze(spark, sf)),
         "decode_malformed": _decode_malformed,
         "encode_events": _encoded,
@@ -324,7 +334,12 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL, where SQL can express them."""
-    return oracle_queries.oracle_sql()
+    corpus = {}
+    if corpus_queries is not None:
+        corpus = dict(corpus_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**corpus, **oracle_queries.oracle_sql()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
