@@ -21,6 +21,8 @@ LENGTHS = (3, 4, 5, 6)
 BITS = 20
 #: Bytes hashed at once.
 BLOCK = 1 << 20
+#: Texts whose n-grams a worker holds at once; they take more memory than the texts.
+AT_ONCE = 100
 
 
 def grams_of(text: str | None) -> Iterator[np.ndarray]:
@@ -94,8 +96,10 @@ def fit(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            grams = [distinct_grams(t).astype(np.int32) for t in batch["text"]]
-            yield pd.DataFrame({"label": batch["label"], "grams": grams})
+            for i in range(0, len(batch), AT_ONCE):
+                part = batch.iloc[i : i + AT_ONCE]
+                grams = [distinct_grams(t).astype(np.int32) for t in part["text"]]
+                yield pd.DataFrame({"label": part["label"].to_numpy(), "grams": grams})
 
     rows = sampled_texts(docs, sample).select("text", "label")
     rows = settle(rows.mapInPandas(features, "label int, grams array<int>"), "grams")
