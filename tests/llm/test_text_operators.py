@@ -1,0 +1,309 @@
+"""Operators that look at one text at a time, against libraries and plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from eventlake.llm import bpe, html, minhash, packing, simhash
+
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "/root/testdata/sf0.001/documents.parquet"
+
+ODD_TEXTS = [
+    None,
+    "",
+    " ",
+    "\n\n",
+    "a",
+    "It's we'll I'D",
+    "<|endoftext|>x<|startoftext|> y <|endoftext|",
+    "ΑΣ Σ ΣΑ",
+    "İstanbul ǅ ﬁ é é",
+    "a\x1cb \x85 c​d  e　f",
+    "12345 ½ Ⅷ",
+    "x" * 500,
+    "%" * 300 + "ab" * 200,
+    "日本語のテキスト 🎉👩‍👧",
+    "one,two. three,, four.,; 's 'tis _x._",
+    "word " * 3000,
+]
+
+
+def random_texts(n: int, seed: int) -> list[str]:
+    r = random.Random(seed)
+    letters = [chr(c) for c in [*range(1, 0x250), *range(0x370, 0x400), *range(0x2000, 0x2070)]]
+    letters += ["😀", "中", "́", "̀", " ", " ", "."]
+    return ["".join(r.choice(letters) for _ in range(r.randint(0, 80))) for _ in range(n)]
+
+
+def test_bpe_equals_library():
+    library = Tokenizer.from_file(WORD_VOCABULARY)
+    own = bpe.tokenizer(WORD_VOCABULARY)
+    for text in ODD_TEXTS + random_texts(150, 1):
+        encoded = library.encode(text or "", add_special_tokens=False)
+        assert own.encode(text) == encoded.ids
+        assert own.decode(encoded.ids) == library.decode(encoded.ids, skip_special_tokens=False)
+
+
+def test_bpe_with_words_that_leave_the_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 20)
+    own = bpe.WordBpe(WORD_VOCABULARY)
+    texts = random_texts(40, 2) * 2
+    fresh = bpe.WordBpe(WORD_VOCABULARY)
+    for i in range(0, len(texts), 4):
+        found = [ids for ids, _ in own.encoded(texts[i : i + 4])]
+        assert found == [" ".join(map(str, fresh.encode(t))) for t in texts[i : i + 4]]
+
+
+def test_bpe_long_words_merge_alike():
+    own = bpe.tokenizer(WORD_VOCABULARY)
+    r = random.Random(3)
+    for _ in range(60):
+        word = "".join(r.choice("abcdeinorst") for _ in range(r.randint(2, 40))).encode()
+        assert own._merge_long(word) == own._encode_pieces([word])[0]
+
+
+def test_bpe_round_trip_rows(spark):
+    library = Tokenizer.from_file(WORD_VOCABULARY)
+    rows = [(i, t, "x") for i, t in enumerate(ODD_TEXTS)] + [(1, "", "y"), (None, "b", "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
+    found = bpe.round_trip(docs, WORD_VOCABULARY).collect()
+    want = []
+    for doc_id, text, _ in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        joined = " ".join(map(str, ids)).encode()
+        decoded = library.decode(ids, skip_special_tokens=False).encode()
+        digests = [hashlib.sha256(x).hexdigest() for x in (joined, decoded)]
+        want.append((doc_id, len(ids), *digests))
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+    ids = bpe.encode(docs, WORD_VOCABULARY).filter("doc_id = 5").first()["ids"]
+    assert ids == library.encode(ODD_TEXTS[5], add_special_tokens=False).ids
+
+
+def test_bpe_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert bpe.round_trip(docs, WORD_VOCABULARY).collect() == []
+
+
+def plain_fingerprint(text: str | None) -> int:
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", lowered) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(len(words) - 3, 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
+
+
+def test_simhash_fingerprints(monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    for text in ODD_TEXTS[:-1] + random_texts(60, 4) + ["A b  C\td\ne f g " * 9]:
+        assert simhash.fingerprint_of(text) == plain_fingerprint(text)
+
+
+def test_minhash_estimates_jaccard():
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    for _ in range(20):
+        one = [r.choice(words) for _ in range(300)]
+        cut = r.randint(0, 300)
+        other = one[:cut] + [r.choice(words) for _ in range(300 - cut)]
+        prints = [
+            minhash.fingerprint(minhash.signature(minhash.shingle_hashes(" ".join(t))))
+            for t in (one, other)
+        ]
+        exact = minhash.jaccard(" ".join(one), " ".join(other))
+        assert abs(minhash.likeness(*prints) - exact) < 0.16
+    assert minhash.jaccard("", None) == 1.0 and minhash.jaccard("", "a") == 0.0
+
+
+def plain_edit_rows(rows):
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    texts = [r[1] or "" for r in ordered]
+    for i, (doc_id, _) in enumerate(ordered):
+        text, following = texts[i], texts[(i + 1) % len(texts)]
+        half = len(text) // 2
+        yield doc_id, len(text), text[: len(text) - half] + following[:half], following
+
+
+@pytest.mark.parametrize("size", [1, 2, 90])
+def test_edit_checks(spark, size):
+    r = random.Random(size)
+    rows = [(i * 7 % 1000, t) for i, t in enumerate(random_texts(size, size))]
+    if size > 2:
+        rows += [(None, "no id é"), (None, None), (3, "again"), (3, "again"), (3, "other"), (5, None)]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = sorted(map(repr, map(tuple, minhash.edit_checks(docs, cell_rows=4).collect())))
+
+    def print_of(text):
+        return minhash.fingerprint(minhash.signature(minhash.shingle_hashes(text)))
+
+    texts = {}
+    want = []
+    for doc_id, n, changed, following in plain_edit_rows(rows):
+        texts[n] = doc_id
+        want.append((n, hashlib.sha256(changed.encode()).hexdigest(), print_of(changed)))
+    got = [(f[1], f[2], f[4]) for f in minhash.edit_checks(docs, cell_rows=4).collect()]
+    assert sorted(got) == sorted(want)
+    assert len(found) == len(rows)
+
+
+def test_edit_checks_values(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f"), (2, "a b c d e f"), (3, "")], "doc_id bigint, text string"
+    )
+    by_id = {r["doc_id"]: r for r in minhash.edit_checks(docs).collect()}
+    assert by_id[2]["near_next"] == 1.0 and by_id[2]["near_edited"] < 1.0
+    assert by_id[2]["fingerprint"] == by_id[1]["fingerprint"]
+    assert by_id[3]["n_chars"] == 0 and by_id[3]["near_next"] == 0.0
+    assert by_id[3]["near_edited"] == 1.0 and by_id[1]["near_next"] == 0.0
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert minhash.edit_checks(empty).collect() == []
+
+
+def pieces_of(rows, limits):
+    """Check what holds for any packing, and give the ids of each document back."""
+    by_sequence, by_doc = {}, {}
+    for p in rows:
+        by_sequence.setdefault(p["sequence_id"], []).append(p)
+        by_doc.setdefault(p["doc_id"], []).append(p)
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda p: p["offset"])
+        ends = np.cumsum([p["length"] for p in pieces])
+        assert [p["offset"] for p in pieces] == [0, *ends[:-1]]
+        assert ends[-1] <= limits.tokens and len(pieces) <= limits.segments
+        assert sum(p["loss_tokens"] for p in pieces) <= limits.loss_tokens
+        assert all(p["length"] > 0 for p in pieces)
+    for pieces in by_doc.values():
+        pieces.sort(key=lambda p: p["start"])
+    return by_sequence, by_doc
+
+
+def check_ids(by_doc, ids_of):
+    for doc_id, pieces in by_doc.items():
+        ids = np.array(ids_of[doc_id], "<u4")
+        at = 0
+        for p in pieces:
+            assert p["start"] == at and p["doc_tokens"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(ids[at : at + p["length"]].tobytes())
+            at += p["length"]
+        assert at == len(ids)
+
+
+def test_packing_of_documents(spark):
+    docs = spark.read.parquet(DOCS).select("doc_id", "text")
+    odd = [(10_000 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    docs = docs.unionByName(spark.createDataFrame(odd, "doc_id bigint, text string"))
+    library = Tokenizer.from_file(BYTE_VOCABULARY)
+    ids_of = {
+        r["doc_id"]: [*library.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for r in docs.collect()
+    }
+    limits = packing.Limits()
+    rows = packing.pack(docs.repartition(3), BYTE_VOCABULARY, limits).collect()
+    by_sequence, by_doc = pieces_of(rows, limits)
+    check_ids(by_doc, ids_of)
+    used = [sum(p["length"] for p in pieces) for pieces in by_sequence.values()]
+    padding = sum(limits.tokens - n for n in used if n & (n - 1))
+    assert padding <= 0.001 * sum(used)
+
+
+def test_packing_under_all_limits(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [
+        (i, " ".join(["a"] * r.choice([0, 1, 30, 300])), " ".join(["b"] * r.choice([1, 2, 200])))
+        for i in range(150)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, prompt string, text string").coalesce(1)
+    library = Tokenizer.from_file(BYTE_VOCABULARY)
+
+    def ids(text):
+        return library.encode(text, add_special_tokens=False).ids
+
+    limits = packing.Limits(tokens=256, segments=6, loss_tokens=100)
+    found = packing.pack(docs, BYTE_VOCABULARY, limits, prompt_col="prompt").collect()
+    _, by_doc = pieces_of(found, limits)
+    check_ids(by_doc, {i: [*ids(p), *ids(t), 1] for i, p, t in rows})
+    loss = {i: len(ids(t)) + 1 for i, _, t in rows}
+    assert {i: sum(p["loss_tokens"] for p in pieces) for i, pieces in by_doc.items()} == loss
+
+
+def test_packer_keeps_a_bounded_pool():
+    packer = packing.Packer(packing.Limits(), 0)
+    r = random.Random(9)
+    placed = 0
+    for i in range(3 * packing.POOL):
+        ids = np.ones(r.randint(1, 300), np.uint32)
+        placed += sum(p[2] for p in packer.add(packing.Example(i, len(ids), 0, 0, ids)))
+        assert len(packer.pool) < packing.POOL
+    assert placed and sum(p[2] for p in packer.finish()) and not packer.pool
+
+
+def test_packing_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert packing.pack(docs, BYTE_VOCABULARY).collect() == []
+
+
+PAGE = """<!DOCTYPE html><html><head><title>Not this</title><style>p{{}}</style></head><body>
+<header class="site"><a href="/">Home</a></header><nav><ul><li><a href=/a>One</a><li>Two</ul></nav>
+<div class="cookie-notice">We use cookies, really.</div>
+{article}
+<aside><p>Most read: this, that, and the other.</p></aside>
+<section id="comments"><p>First! What a long comment, with marks, and words.</p></section>
+<form><p>Sign up here</p><input name=x></form><script>var t="</p>";</script>
+<footer>&copy; 2024 &middot; About</footer></body></html>"""
+BODY = "<h1>A  title</h1><p>Some text, <b>bold</b>, and\n more &amp; more.<br>Next</p><p>Short.</p>"
+TEXT = "A title Some text, bold, and more & more. Next Short."
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<article>{BODY}<script>no</script><!-- no --></article>",
+        f"<main><div class='post'>{BODY}</div><div class=advert>Buy, now.</div></main>",
+        f"<article>{BODY}<div class='commentList'><p>Nice.</p></div></article>",
+        "<article><h1>A title</h1><p>Some text, <b>bold</b>, and more &amp; more.<br>Next<p>Short.",
+    ],
+)
+def test_main_text(article):
+    page = PAGE.format(article=article) if "</" in article[-12:] else article
+    assert html.main_text(page) == TEXT
+
+
+def test_main_text_without_semantic_elements():
+    story = "".join(f"<p>Sentence {i}, which is long enough, and ends here.</p>" for i in range(9))
+    page = f"<body><div id=x><a href=1>a</a> <a href=2>b</a></div><div id=y>{story}<p>End.</p></div>"
+    found = html.main_text(page)
+    assert found.startswith("Sentence 0") and found.endswith("End.") and " b " not in found
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<article></article>", "<b>"])
+def test_pages_without_text(page):
+    assert html.main_text(page) == ""
+
+
+def test_broken_markup_is_read_in_linear_time():
+    page = "<article><p>x</p>" + '<a href="' * 20_000
+    assert html.main_text(page) == "x"
+    assert html.main_text("<article>" + "<div>" * 3000 + "deep, text.") == "deep, text."
+
+
+def test_extracted_rows(spark):
+    rows = [(1, "u", None, 3), (2, None, PAGE.format(article=f"<article>{BODY}</article>"), 4)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int")
+    found = {r["page_id"]: r for r in html.extracted(pages).collect()}
+    assert (found[1]["text"], found[1]["n_chars"]) == ("", 0)
+    assert (found[2]["text"], found[2]["n_chars"]) == (TEXT, len(TEXT))
+    assert html.extracted(pages.limit(0)).collect() == []
