@@ -118,36 +118,50 @@ def repeated_spans(
     """(unit, spans): for every unit with repeated bytes, spans of them as start * 2**32 +
     end, in bytes; they may overlap. ``texts`` is (unit, text); units are in order of age.
     """
+    if length - gram > 255:
+        raise ValueError("the strings of an anchor are numbered in a byte")
     places = Places.of(texts, "unit")
     anchors = _anchors(texts, places, length, gram)
     cells = _cells(texts, anchors.filter("NOT covered"), places, length, gram, cell)
     strings = _strings(texts, cells.filter("NOT covered"), places, length)
     spans = [
-        found.filter("covered").select("unit", _span(F.col("first"), F.col("last") + length))
+        found.filter("covered").select("unit", _span(length))
         for found in (anchors, cells, strings)
     ]
     every = spans[0].unionByName(spans[1]).unionByName(spans[2])
     return settle(every.groupBy("unit").agg(F.collect_list("span").alias("spans")), "spans")
 
 
-def _span(start: Column, end: Column) -> Column:
-    return (start.cast("long") * F.lit(2**32) + end).alias("span")
+def _spots(first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The strings that start at ``first`` to ``last``, and their anchor, as one number."""
+    return (first << 16) | ((last - first) << 8) | (at - first)
+
+
+def _unpacked(spots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    first = spots >> 16
+    return first, first + ((spots >> 8) & 255), first + (spots & 255)
+
+
+def _first() -> Column:
+    return F.shiftright("spot", 16)
+
+
+def _span(length: int) -> Column:
+    """All bytes of a spot's strings."""
+    last = _first() + F.shiftright("spot", 8).bitwiseAND(F.lit(255))
+    return (F.shiftleft(_first(), 32) + last + length).alias("span")
 
 
 def _compared(rows: DataFrame, places: Places, name: str) -> DataFrame:
-    """``rows`` (key, whole, unit, at, ..., covered) of keys that meet another text, with
+    """``rows`` (key, whole, spot, unit, covered) of keys that meet another text, with
     ``covered`` set where the whole text stands earlier; others that share their key
     with no other text are left out unless covered.
 
     Rows covered from the start are never compared, so they are dealt by their place.
     """
-    place = places.at(F.col("unit"), F.col("at"))
-    dealt = rows.withColumns(
-        {
-            "place": place,
-            "key": F.when(F.col("covered"), F.xxhash64(place)).otherwise(F.col("key")),
-        }
-    ).repartition("key")
+    apart = F.when(F.col("covered"), F.xxhash64("unit", "spot")).otherwise(F.col("key"))
+    dealt = rows.withColumn("key", apart).repartition("key")
+    dealt = dealt.withColumn("place", places.at(F.col("unit"), _first()))
     same = Window.partitionBy("key", "covered", "whole")
     near = Window.partitionBy("key", "covered")
     compared = dealt.withColumns({"earliest": F.min("place").over(same)}).withColumns(
@@ -155,40 +169,40 @@ def _compared(rows: DataFrame, places: Places, name: str) -> DataFrame:
     )
     covered = F.col("covered") | (F.col("place") > F.col("earliest"))
     kept = compared.withColumn("covered", covered).filter("covered OR least <> most")
-    return settle(kept.drop("place", "earliest", "least", "most"), name)
+    return settle(kept.select("unit", "spot", "covered"), name)
 
 
-def _stands_earlier(table: np.ndarray, unit: np.ndarray, at: np.ndarray) -> np.ndarray:
+#: What is compared: the hash that rows meet by, the hash of all the bytes, and the spot.
+COLUMNS = ["key", "whole", "spot"]
+SCHEMA = "key bigint, whole bigint, spot bigint, unit bigint, covered boolean"
+
+
+def _stands_earlier(table: np.ndarray, unit: np.ndarray) -> np.ndarray:
     """Whether a row equal to each row in key and whole has an earlier place."""
-    order = np.lexsort((at, unit, table[:, 1], table[:, 0]))
+    key, whole, spot = table.T
+    order = np.lexsort((spot, unit, whole, key))
     equal = (table[order[1:], :2] == table[order[:-1], :2]).all(axis=1)
-    group = np.maximum.accumulate(np.where(np.concatenate(([False], equal)), 0, np.arange(len(order))))
-    first = order[group]
+    group = np.where(np.concatenate(([False], equal)), 0, np.arange(len(order)))
+    first = order[np.maximum.accumulate(group)]
     covered = np.zeros(len(order), bool)
-    covered[order] = (unit[order] != unit[first]) | (at[order] != at[first])
+    covered[order] = (unit[order] != unit[first]) | (spot[order] != spot[first])
     return covered
 
 
-def _table(rows: list[np.ndarray], units: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """A batch of ``names`` with the unit, and covered: whether an equal row of the batch
-    has an earlier place."""
-    table = np.vstack(rows) if rows else np.empty((0, len(names)), np.int64)
+def _table(rows: list[np.ndarray], units: list[np.ndarray]) -> pa.RecordBatch:
+    """A batch with the unit and, in covered, whether an equal row of the batch has an
+    earlier place."""
+    table = np.vstack(rows) if rows else np.empty((0, len(COLUMNS)), np.int64)
     unit = np.concatenate(units) if units else np.empty(0, np.int64)
-    covered = np.zeros(0, bool)
-    if len(table):
-        covered = _stands_earlier(table, unit, table[:, names.index("at")])
-    columns = [pa.array(table[:, i]) for i in range(len(names))]
+    covered = _stands_earlier(table, unit) if len(table) else np.zeros(0, bool)
+    columns = [pa.array(column) for column in table.T]
     return pa.RecordBatch.from_arrays(
-        [*columns, pa.array(unit), pa.array(covered)], names=[*names, "unit", "covered"]
+        [*columns, pa.array(unit), pa.array(covered)], names=[*COLUMNS, "unit", "covered"]
     )
 
 
-def _schema(names: list[str]) -> str:
-    return ", ".join(f"{n} bigint" for n in [*names, "unit"]) + ", covered boolean"
-
-
 def _per_text(
-    names: list[str], table_of: Callable[[np.ndarray, np.ndarray | None], np.ndarray]
+    table_of: Callable[[np.ndarray, np.ndarray | None], np.ndarray],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Apply ``table_of`` to each text, and its list of numbers if it has one."""
 
@@ -202,7 +216,7 @@ def _per_text(
                 table = table_of(raw, chosen)
                 rows.append(table)
                 owners.append(np.full(len(table), units[i]))
-            yield _table(rows, owners, names)
+            yield _table(rows, owners)
 
     return run
 
@@ -217,72 +231,63 @@ def _digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds) -> np
 
 
 def _anchors(texts: DataFrame, places: Places, length: int, gram: int) -> DataFrame:
-    """Step 2: (key gram hash, whole hash of the text covered, at anchor, first, last)."""
-    names = ["key", "whole", "at", "first", "last"]
+    """Step 2: rows meet by the anchor's gram; whole is the text its strings cover."""
 
     def table_of(raw: np.ndarray, _: object) -> np.ndarray:
-        found = anchors_of(raw, length, gram)
-        at, first, last, hashes = found.T
-        seeds = (at - first) * 2**16 + (at - last)
+        at, first, last, hashes = anchors_of(raw, length, gram).T
+        seeds = ((at - first) << 8) | (last - first)
         whole = _digests(raw, first, last + length, seeds)
-        return np.column_stack([hashes, whole, at, first, last])
+        return np.column_stack([hashes, whole, _spots(first, last, at)])
 
-    rows = texts.select("unit", "text").mapInArrow(_per_text(names, table_of), _schema(names))
+    rows = texts.select("unit", "text").mapInArrow(_per_text(table_of), SCHEMA)
     return _compared(rows, places, "anchors")
 
 
-def _chosen(texts: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """(unit, text, chosen): the texts that have rows, with these rows' numbers in turn."""
-    lists = rows.groupBy("unit").agg(
-        F.flatten(F.collect_list(F.array(*columns))).alias("chosen")
-    )
+def _chosen(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(unit, text, chosen): the texts that have rows, with the spots of these."""
+    lists = rows.groupBy("unit").agg(F.collect_list("spot").alias("chosen"))
     return texts.select("unit", "text").join(lists, "unit")
 
 
 def _cells(
     texts: DataFrame, anchors: DataFrame, places: Places, length: int, gram: int, cell: int
 ) -> DataFrame:
-    """Step 3: (key name, whole hash of the text covered, at, first, last). Cells are cut
-    by the distance from the anchor, so equal strings are in equal cells."""
-    names = ["key", "whole", "at", "first", "last"]
+    """Step 3: rows meet by the cell's name; whole is the text its strings cover. Cells
+    are cut by the distance from the anchor, so equal strings are in equal cells."""
 
     def table_of(raw: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        at, first, last = np.unique(chosen.reshape(-1, 3), axis=0).T
+        first, last, at = _unpacked(np.unique(chosen))
         parts = []
         for number in range((length - gram) // cell + 1):
             near, far = at - number * cell, at - (number + 1) * cell + 1
             begin, end = np.maximum(first, far), np.minimum(last, near)
             held = begin <= end
-            a, f, n, b, e = (x[held] for x in (at, far, near, begin, end))
-            numbers = np.full(len(a), number)
+            f, n, b, e = (x[held] for x in (far, near, begin, end))
             # Every string of a whole cell holds the bytes from its last start to the end
             # of its first string, whichever of them the anchor has.
-            key = _digests(raw, n, f + length, numbers)
-            whole = _digests(raw, b, e + length, (n - b) * 2**16 + (n - e))
-            parts.append(np.column_stack([key, whole, b, b, e]))
+            key = _digests(raw, n, f + length, np.full(len(n), number))
+            whole = _digests(raw, b, e + length, ((n - b) << 8) | (n - e))
+            parts.append(np.column_stack([key, whole, _spots(b, e, b)]))
         return np.vstack(parts)
 
-    rows = _chosen(texts, anchors, ["at", "first", "last"])
-    rows = rows.mapInArrow(_per_text(names, table_of), _schema(names))
+    rows = _chosen(texts, anchors).mapInArrow(_per_text(table_of), SCHEMA)
     return _compared(rows, places, "cells")
 
 
 def _strings(texts: DataFrame, cells: DataFrame, places: Places, length: int) -> DataFrame:
-    """Step 4: (key, whole, at, first, last), a row for each string of the cells; key and
-    whole are two hashes of the same bytes."""
-    names = ["key", "whole", "at", "first", "last"]
+    """Step 4: a row for each string of the cells; key and whole are two hashes of its
+    bytes."""
 
     def table_of(raw: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        first, last = chosen.reshape(-1, 2).T
+        first, last, _ = _unpacked(chosen)
         sizes = last - first + 1
         at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         at = np.unique(at)
         key = _digests(raw, at, at + length, np.zeros(len(at), np.int64))
         whole = _digests(raw, at, at + length, np.ones(len(at), np.int64))
-        return np.column_stack([key, whole, at, at, at])
+        return np.column_stack([key, whole, _spots(at, at, at)])
 
-    rows = _chosen(texts, cells, ["first", "last"])
-    rows = rows.mapInArrow(_per_text(names, table_of), _schema(names))
+    rows = _chosen(texts, cells).mapInArrow(_per_text(table_of), SCHEMA)
     return _compared(rows, places, "strings")
 
 
