@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from eventlake.llm.common import Places, free_name, settle, with_units
 
 
+#: Times that equal halves are taken off two lines before their characters are compared.
+HALVINGS = 3
+
+
 def without_repeated_lines(
     docs: DataFrame,
     max_edits: int = 2,
@@ -35,7 +39,9 @@ def without_repeated_lines(
     places = Places.of(texts, "unit")
     lines = _lines(texts, places, least_chars)
     distinct = settle(
-        lines.groupBy("line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")),
+        lines.groupBy("line", "chars").agg(
+            F.min("place").alias("first"), F.count(F.lit(1)).alias("n")
+        ),
         "lines",
     )
     links = settle(linked_lines(distinct, max_edits, least_chars), "line-links")
@@ -54,14 +60,15 @@ def without_repeated_lines(
     per_unit = per_unit.select(
         F.col("unit").alias(key), F.col("removed").alias(removed), F.col("n_links").alias(n_links)
     )
-    joined = numbered.join(per_unit, F.col(unit) == F.col(key), "left")
+    joined = numbered.join(per_unit.hint("merge"), F.col(unit) == F.col(key), "left")
     gone = F.coalesce(F.col(removed), F.array().cast("array<int>"))
     parts = F.split(text_col, "\n")
+    breaks = F.octet_length(text_col) - F.octet_length(F.replace(text_col, F.lit("\n"), F.lit("")))
     every = F.sequence(F.lit(0), F.size(parts) - 1)
     left = F.transform(F.array_except(every, gone), lambda i: F.get(parts, i))
     return joined.withColumns(
         {
-            "n_lines": F.coalesce(F.when(F.isnotnull(text_col), F.size(parts)), F.lit(0)).cast("long"),
+            "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
             "n_removed": F.size(gone).cast("long"),
             "n_links": F.coalesce(F.col(n_links), F.lit(0)).cast("long"),
             text_col: F.when(F.size(gone) > 0, F.array_join(left, "\n")).otherwise(F.col(text_col)),
@@ -70,11 +77,11 @@ def without_repeated_lines(
 
 
 def _lines(texts: DataFrame, places: Places, least_chars: int) -> DataFrame:
-    """(unit, at, place, line) of the lines that may go."""
+    """(unit, at, place, line, chars) of the lines that may go."""
     parts = texts.select("unit", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    long_ones = parts.filter(F.length("line") >= least_chars)
+    long_ones = parts.withColumn("chars", F.length("line")).filter(F.col("chars") >= least_chars)
     return long_ones.select(
-        "unit", "at", places.at(F.col("unit"), F.col("at")).alias("place"), "line"
+        "unit", "at", places.at(F.col("unit"), F.col("at")).alias("place"), "line", "chars"
     )
 
 
@@ -106,7 +113,7 @@ def _verdicts(distinct: DataFrame, links: DataFrame) -> DataFrame:
 def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataFrame:
     """(earlier, later): places of two different lines within ``max_edits`` edits.
 
-    ``distinct`` holds each line once: (line, first). A line is cut into one segment more
+    ``distinct`` holds each line once: (line, chars, first). A line is cut into one segment more
     than the edits allowed, so a line within reach has one of them unchanged. Each line is
     indexed by its segments, and probes the segments of lines as long or up to
     ``max_edits`` shorter with its own substrings, at the few places where a shared
@@ -126,8 +133,9 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
     )
     met = settle(probes.join(shared, "key"), "shared-segments")
     involved = met.select("first").distinct()
-    texts = distinct.join(involved, "first", "left_semi").select(
-        "first", "line", F.length("line").alias("chars"), _parity("line").alias("parity")
+    # Which lines are involved grows with the corpus: that side is never broadcast.
+    texts = distinct.join(involved.hint("merge"), "first", "left_semi").select(
+        "first", "line", "chars", _parity("line").alias("parity")
     )
     keyed = settle(met.join(texts, "first"), "candidates")
     short = keyed.filter("indexed").select(
@@ -155,14 +163,15 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
 
 
 def _probes(max_edits: int, least_chars: int) -> list[Column]:
-    """(key, indexed) for every substring of ``line`` that may be a segment of a line of
-    ``shorter`` characters less; its own segments are those it is indexed by.
+    """(key, indexed) for every substring of ``line``, of ``chars`` characters, that may be
+    a segment of a line of ``shorter`` characters less; its own segments are those it is
+    indexed by.
 
     With d edits allowed, segment s (from 1) of the shorter line lies at most s - 1 places
     away in the longer one, and at most d + 1 - s places away when counted from the end.
     """
     found = []
-    chars = F.length("line")
+    chars = F.col("chars")
     segments = max_edits + 1
     for shorter in range(max_edits + 1):
         length = chars - shorter
@@ -244,8 +253,31 @@ def edits_within(one: Column, other: Column, max_edits: int) -> Column:
         inside = F.abs(F.size(texts["one"]) - F.size(texts["other"])) <= max_edits
         return inside & (reached.bitwiseAND(F.lit(1)) == 1)
 
-    texts = F.struct(_chars(one).alias("one"), _chars(other).alias("other"))
-    return F.transform(F.array(texts), last)[0]
+    texts = F.struct(one.alias("one"), other.alias("other"))
+    for _ in range(HALVINGS):
+        texts = F.transform(F.array(texts), _without_equal_ends)[0]
+    split = F.transform(
+        F.array(texts),
+        lambda t: F.struct(_chars(t["one"]).alias("one"), _chars(t["other"]).alias("other")),
+    )
+    return F.transform(split, last)[0]
+
+
+def _without_equal_ends(texts: Column) -> Column:
+    """Two texts without their first halves if these are equal, and their last halves if
+    those are: what edits they need is the same."""
+    one, other = texts["one"], texts["other"]
+    half = F.floor(F.least(F.length(one), F.length(other)) / 2).cast("int")
+    front = F.when(F.left(one, half) == F.left(other, half), half).otherwise(0)
+    back = F.when(F.right(one, half) == F.right(other, half), half).otherwise(0)
+    ends = F.array(F.struct(front.alias("front"), back.alias("back")))
+
+    def cut(text: Column) -> Column:
+        return F.transform(
+            ends, lambda e: F.substr(text, e["front"] + 1, F.length(text) - e["front"] - e["back"])
+        )[0]
+
+    return F.struct(cut(one).alias("one"), cut(other).alias("other"))
 
 
 def _chars(text: Column) -> Column:
