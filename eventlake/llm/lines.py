@@ -122,7 +122,7 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
     that no more rows leave it than there are links.
     """
     probes = distinct.select(
-        "first", F.inline(F.array(*_probes(max_edits, least_chars))).alias("key", "indexed")
+        "first", F.inline(_probes(max_edits, least_chars)).alias("key", "indexed")
     )
     probes = probes.filter("key IS NOT NULL").repartition("key")
     shared = (
@@ -162,39 +162,44 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
     ).distinct()
 
 
-def _probes(max_edits: int, least_chars: int) -> list[Column]:
+def _probes(max_edits: int, least_chars: int) -> Column:
     """(key, indexed) for every substring of ``line``, of ``chars`` characters, that may be
     a segment of a line of ``shorter`` characters less; its own segments are those it is
     indexed by.
 
     With d edits allowed, segment s (from 1) of the shorter line lies at most s - 1 places
     away in the longer one, and at most d + 1 - s places away when counted from the end.
+    The moves are a list that one small expression goes through: written out, they make
+    more code than the JVM compiles.
     """
-    found = []
-    chars = F.col("chars")
     segments = max_edits + 1
+    moves = []
     for shorter in range(max_edits + 1):
-        length = chars - shorter
-        base = F.floor(length / segments).cast("int")
-        longer_from = segments - length % segments
         for s in range(segments):
-            begin = base * s + F.greatest(F.lit(s) - longer_from, F.lit(0))
-            size = base + F.when(F.lit(s) >= longer_from, 1).otherwise(0)
             low = max(-s, shorter - (max_edits - s))
             high = min(s, shorter + (max_edits - s))
             for move in range(low, high + 1):
-                start = (begin + move).cast("int")
-                key = F.xxhash64(
-                    length, F.lit(s), F.col("line").substr(start + 1, size.cast("int"))
-                )
-                fits = (length >= least_chars) & (start >= 0) & (start + size <= chars)
-                found.append(
-                    F.struct(
-                        F.when(fits, key).alias("key"),
-                        F.lit(shorter == 0 and move == 0).alias("indexed"),
-                    )
-                )
-    return found
+                moves.append((shorter, s, move))
+    names = ("shorter", "s", "move")
+    listed = F.array(
+        *(F.struct(*(F.lit(x).alias(n) for x, n in zip(m, names))) for m in moves)
+    )
+
+    def probe(move: Column) -> Column:
+        length = F.col("chars") - move["shorter"]
+        base = F.call_function("div", length, F.lit(segments)).cast("int")
+        longer_from = segments - length % segments
+        begin = base * move["s"] + F.greatest(move["s"] - longer_from, F.lit(0))
+        size = base + F.when(move["s"] >= longer_from, 1).otherwise(0)
+        start = begin + move["move"]
+        key = F.xxhash64(length, move["s"], F.substr("line", start + 1, size))
+        fits = (length >= least_chars) & (start >= 0) & (start + size <= F.col("chars"))
+        return F.struct(
+            F.when(fits, key).alias("key"),
+            ((move["shorter"] == 0) & (move["move"] == 0)).alias("indexed"),
+        )
+
+    return F.transform(listed, probe)
 
 
 def _parity(column: str) -> Column:
