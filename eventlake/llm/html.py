@@ -182,7 +182,8 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
     Every path from the root has a text ratio (text outside links per block) and a
     punctuation ratio (marks per block). Each block takes its path's ratios; these are
     smoothed over the blocks in page order and fused, and paths whose blocks' mean lies
-    below the threshold, a part of the deviation, are left out. The element that holds
+    below the threshold, a part of the deviation, are left out, as are paths whose text
+    is mostly links. The element that holds
     most of what is left gives back its other blocks: headings and short paragraphs.
     """
     open_blocks = [b for b in blocks if not b.apart]
@@ -190,18 +191,22 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
         open_blocks = [b for b in open_blocks if MAIN & {part.split(".")[0] for part in b.path}]
     if not open_blocks:
         return []
-    totals: dict[tuple, np.ndarray] = defaultdict(lambda: np.zeros(3))
+    totals: dict[tuple, np.ndarray] = defaultdict(lambda: np.zeros(4))
     for b in open_blocks:
         marks = len(PUNCTUATION.findall(b.text))
-        totals[b.path] += [1, max(len(b.text) - b.linked, 0), marks]
-    ratios = np.array([totals[b.path][1:] / totals[b.path][0] for b in open_blocks])
+        totals[b.path] += [1, max(len(b.text) - b.linked, 0), marks, len(b.text)]
+    ratios = np.array([totals[b.path][1:3] / totals[b.path][0] for b in open_blocks])
     smooth = np.column_stack([_smoothed(ratios[:, 0]), _smoothed(ratios[:, 1])])
     fused = smooth[:, 0] * (1.0 + smooth[:, 1])
     by_path: dict[tuple, list[float]] = defaultdict(list)
     for b, value in zip(open_blocks, fused):
         by_path[b.path].append(value)
     threshold = CUT * fused.std()
-    chosen = {p for p, values in by_path.items() if np.mean(values) >= threshold and totals[p][1]}
+    chosen = {
+        path
+        for path, values in by_path.items()
+        if np.mean(values) >= threshold and 2 * totals[path][1] >= totals[path][3]
+    }
     if not chosen:
         return []
     held: dict[tuple, float] = defaultdict(float)
