@@ -37,6 +37,9 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2024, 1, 30, 12)
+SPENDER = oracle_queries.SPENDER
+GIVEN_WEIGHTS = oracle_queries.GIVEN_WEIGHTS
+GIVEN_INTERCEPT = oracle_queries.GIVEN_INTERCEPT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,8 +65,8 @@ def _user_features(silver: DataFrame) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    rollup = hourly.hourly_rollup(adapters.silver(spark, sf_dir))
-    return hourly.gold_tables(checkpointed(rollup))
+    """Lazy: the tables share the shuffles of their rollup where a query reads several."""
+    return hourly.gold_tables(hourly.hourly_rollup(adapters.silver(spark, sf_dir)))
 
 
 def _joined_features(silver: DataFrame) -> DataFrame:
@@ -136,7 +139,9 @@ def _minutes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = monitor.events_per_minute(bronze)
     query = ingest.append_stream(minutes, f"{folder}/table", f"{folder}/checkpoint")
     ingest.run_until_stopped(query)
-    return _without_zone(tables.read_table(spark, f"{folder}/table", "parquet"))
+    emitted = tables.read_table(spark, f"{folder}/table", "parquet")
+    bronze = adapters.bronze(spark, sf_dir)
+    return _without_zone(monitor.complete_minutes(emitted, bronze))
 
 
 def _decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,13 +171,44 @@ def _grouped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = """
         SELECT is_purchaser, count(*) AS users, sum(total_events) AS events,
                max(last_activity) AS newest
-        FROM user_features GROUP BY is_purchaser ORDER BY is_purchaser LIMIT 50
+        FROM user_features GROUP BY is_purchaser ORDER BY is_purchaser
     """
     return _registry(spark, sf_dir).run_query(text)
 
 
+def _grouped_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = """
+        WITH days AS (SELECT hour(hour) AS hour_of_day, * FROM Active_Users_Per_Hour)
+        SELECT hour_of_day, sum(total_events) AS events, max(active_users) AS most_users
+        FROM days GROUP BY hour_of_day -- limit 5
+    """
+    return _registry(spark, sf_dir).execute(text)
+
+
 def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _registry(spark, sf_dir).execute("what does user_features look like")
+    return _registry(spark, sf_dir).execute("what does user_features look like", n=10)
+
+
+def _clean_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = adapters.redelivered(adapters.dirty_bronze(spark, sf_dir))
+    return _without_zone(cleaning.clean(dirty))
+
+
+def _on_dirty(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(adapters.dirty_bronze(spark, sf_dir))
+
+
+def _features_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _user_features(adapters.unsold_silver(spark, sf_dir))
+
+
+def _prepared_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of which some are missing, no number or infinite."""
+    user = F.col("user_id")
+    odd = F.when(user % 7 == 0, F.lit(float("nan"))).when(user % 11 == 0, F.lit(float("inf")))
+    odd = odd.when(user % 13 == 0, F.lit(None)).otherwise(F.col("total_revenue"))
+    table = _features_dirty(spark, sf_dir).withColumn("total_revenue", odd)
+    return model.prepare(table, schemas.FEATURE_COLUMNS)
 
 
 def _schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,10 +216,10 @@ def _schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases, and views that lack the price column."""
+    """Purchases, and all other rows, which lack the price column."""
     silver = adapters.silver(spark, sf_dir)
-    views = silver.filter("event_type = 'view'").drop("price")
-    return tables.union_tables([silver.filter("event_type = 'purchase'"), views])
+    others = silver.filter("event_type <> 'purchase'").drop("price")
+    return tables.union_tables([silver.filter("event_type = 'purchase'"), others])
 
 
 def _rounded_summary(summary: DataFrame) -> DataFrame:
@@ -228,16 +264,41 @@ def _split(silver: DataFrame) -> DataFrame:
     return train.unionByName(test)
 
 
-def _label_by_activity(silver: DataFrame) -> DataFrame:
-    """The features labelled by recent purchases: at test size every user has bought
-    something at some time, and a model needs both classes."""
+def _label_by_spend(silver: DataFrame) -> DataFrame:
+    """The features labelled by a large average order: at test size every user has bought
+    something at some time, a model needs both classes, and no model input may restate
+    the label."""
     table = _user_features(silver)
-    return table.withColumn("is_purchaser", (F.col("purchases_last_24h") > 0).cast("int"))
+    return table.withColumn("is_purchaser", (F.col("avg_order_value") > SPENDER).cast("int"))
 
 
 def _trained(spark: SparkSession, sf_dir: str):
-    table = checkpointed(_label_by_activity(adapters.silver(spark, sf_dir)))
-    return table, model.train(table)
+    table = checkpointed(_label_by_spend(adapters.silver(spark, sf_dir)))
+    return table, model.train(table, exclude_leaky=True)
+
+
+def _given_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _label_by_spend(adapters.silver(spark, sf_dir))
+    return model.linear_scores(table, GIVEN_WEIGHTS, GIVEN_INTERCEPT)
+
+
+def _given_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = model.with_messages(_given_scores(spark, sf_dir))
+    return scored.withColumn("confidence", F.round("confidence", 6))
+
+
+def _given_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = model.confusion(_given_scores(spark, sf_dir))
+    shares = model.classification_metrics(cells)
+    return shares.select(*[F.round(c, 9).alias(c) for c in shares.columns])
+
+
+def _given_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = checkpointed(_given_scores(spark, sf_dir))
+    area = model.roc_auc(scored.withColumn("rawPrediction", F.col("purchase_probability")))
+    return scored.agg(
+        F.count(F.lit(1)).alias("users"), F.round(F.lit(area), 9).alias("roc_auc")
+    )
 
 
 def _train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +343,11 @@ def queries() -> dict[str, Query]:
         "quality_violations": _on_bronze(_tagged),
         "silver_clean": _silver_clean,
         "silver_normalized": _silver_normalized,
+        "quality_report_dirty": _on_dirty(quality.quality_report),
+        "quality_violations_dirty": _on_dirty(_tagged),
+        "silver_clean_dirty": _clean_dirty,
+        "user_features_dirty": _features_dirty,
+        "prepared_features_dirty": _prepared_dirty,
         "revenue_per_hour": _on_silver(lambda s: hourly.latest_first(hourly.revenue_per_hour(s))),
         "active_users_per_hour": _on_silver(hourly.active_users_per_hour),
         "conversion_rate": _on_silver(hourly.conversion_rate),
@@ -312,10 +378,11 @@ def queries() -> dict[str, Query]:
         ),
         "time_summary": _on_silver(_time_summary),
         "class_distribution": _on_silver(
-            lambda s: analytics.class_distribution(_label_by_activity(s))
+            lambda s: analytics.class_distribution(_label_by_spend(s))
         ),
         "run_query": _run_query,
         "grouped_query": _grouped_query,
+        "grouped_by_hour": _grouped_by_hour,
         "table_preview": _preview,
         "table_schemas": _schemas,
         "union_tables": _union,
@@ -329,6 +396,10 @@ def queries() -> dict[str, Query]:
         "confusion_matrix": _confusion,
         "top_coefficients": _coefficients,
         "score_users": _score_users,
+        "given_scores": _given_messages,
+        "given_confusion": lambda spark, sf: model.confusion(_given_scores(spark, sf)),
+        "given_metrics": _given_metrics,
+        "given_roc_auc": _given_auc,
     }
 
 

@@ -86,7 +86,10 @@ def decoded_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redelivered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record delivered twice, the second time an hour later and, for a purchase,
     at another price: the first delivery must win."""
-    first = bronze(spark, sf_dir)
+    return redelivered(bronze(spark, sf_dir))
+
+
+def redelivered(first: DataFrame) -> DataFrame:
     again = first.withColumns(
         {
             "offset": F.col("offset") + 1_000_000_000,
@@ -97,6 +100,28 @@ def redelivered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze with every fault the rules and the cleaning look for, by place in the topic."""
+    place, nan = F.col("offset"), F.lit(float("nan"))
+    price = F.when(place % 83 == 0, -1.0).when(place % 79 == 0, nan).when(place % 73 == 0, 0.0)
+    price = price.when(place % 67 == 0, F.lit(None)).otherwise(F.col("price"))
+    return bronze(spark, sf_dir).withColumns(
+        {
+            "user_id": F.when(place % 97 != 0, F.col("user_id")),
+            "product_id": F.when(place % 89 != 0, F.col("product_id")),
+            "price": price,
+            "event_timestamp": F.when(place % 71 == 0, "yesterday").otherwise(
+                F.col("event_timestamp")
+            ),
+        }
+    )
+
+
+def unsold_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver without the purchases of every fifth user."""
+    return silver(spark, sf_dir).filter("user_id % 5 <> 0 OR event_type <> 'purchase'")
+
+
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream of Kafka records."""
     stream = (

@@ -5,6 +5,8 @@ Summing ``decimal`` columns is exact but several times slower, because a wide
 decimal leaves the fixed-width fast path. So a price is split into two bigints,
 whole units and millionths, each summed on the fast path, and put together as a
 decimal once per group. A group total beyond 9e18 units raises an overflow error.
+What a price has beyond its millionths is summed as a double beside them, so that
+nothing is dropped; prices in whole millionths have none of it.
 
 Prices outside ``+-EXACT_LIMIT`` (NaN and the infinities included) cannot be split.
 They are summed as doubles beside the exact part and reach the result the way
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 
 EXACT_LIMIT = 9.0e12
 MILLIONTHS = 1_000_000
+# Parts of a double that are rounding, not value.
+RESOLUTION = 1e-15
 
 
 def _is_exact(value: Column) -> Column:
@@ -40,10 +44,22 @@ def _loose_sum(value: Column) -> Column:
     return F.sum(F.when(~_is_exact(value), value))
 
 
+def _dust_sum(value: Column) -> Column:
+    """Aggregate: sum of what is left of the splittable values beyond their millionths,
+    NULL when nothing is. A rest that a double of that size cannot hold is none."""
+    millionths = F.floor(value * float(MILLIONTHS) + F.lit(0.5))
+    rest = value - millionths / float(MILLIONTHS)
+    held = _is_exact(value) & (F.abs(rest) > F.abs(value) * RESOLUTION)
+    return F.sum(F.when(held, rest))
+
+
 def total(value: Column, places: int = 6) -> Column:
     """Aggregate: ``round(sum(value), places)`` as double; NULL over no values."""
-    exact = F.round(exact_sum(value), places).cast("double")
-    return F.coalesce(_loose_sum(value) + F.coalesce(exact, F.lit(0.0)), exact)
+    exact, dust = exact_sum(value), _dust_sum(value)
+    split = F.coalesce(
+        F.round(exact.cast("double") + dust, places), F.round(exact, places).cast("double")
+    )
+    return F.coalesce(_loose_sum(value) + F.coalesce(split, F.lit(0.0)), split)
 
 
 def mean(value: Column, rows: Column, places: int) -> Column:
@@ -52,12 +68,14 @@ def mean(value: Column, rows: Column, places: int) -> Column:
     ``rows`` is the aggregate to divide by: ``count(*)`` counts NULL values too,
     ``count(value)`` does not. NULL over no values.
     """
-    exact = exact_sum(value)
-    loose = _loose_sum(value) + F.coalesce(exact.cast("double"), F.lit(0.0))
+    exact, dust = exact_sum(value), _dust_sum(value)
+    fine = exact.cast("double") + dust
+    loose = _loose_sum(value) + F.coalesce(fine, exact.cast("double"), F.lit(0.0))
     return F.when(
         rows > 0,
         F.coalesce(
             F.round(loose / rows, places),
+            F.round(fine / rows, places),
             F.round(exact / rows.cast("decimal(20,0)"), places).cast("double"),
         ),
     )

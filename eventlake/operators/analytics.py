@@ -154,14 +154,8 @@ def latest_events(bronze: DataFrame, n: int = 20, column: str = "event_timestamp
 
 
 def class_distribution(features: DataFrame, label: str = "is_purchaser") -> DataFrame:
-    """Rows and percent share per label. The total is the sum of the class counts, of
-    which there are two, so the table is scanned once."""
+    """Rows and percent share per label, of which there may be any number. The total is
+    a subquery of one figure, so no task gathers the classes."""
     counts = features.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    return (
-        counts.agg(
-            F.sum("count").alias("rows"),
-            F.array_agg(F.struct(label, "count")).alias("classes"),
-        )
-        .select("rows", F.inline("classes"))
-        .select(label, "count", exact.ratio(F.col("count"), F.col("rows"), 1, 100).alias("percent"))
-    )
+    rows = features.agg(F.count(F.lit(1))).scalar()
+    return counts.select(label, "count", exact.ratio(F.col("count"), rows, 1, 100).alias("percent"))

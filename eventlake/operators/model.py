@@ -60,21 +60,34 @@ def prepare(features: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def is_test(user: Column, test_fraction: float = 0.2, seed: int = 42) -> Column:
-    """Whether a user belongs to the test set: a hash of seed and id under a threshold.
-
-    Each label is cut at the same fraction, in expectation, and a user keeps their
-    side on every run. Needs no shuffle and no row order.
-    """
+def hash_place(user: Column, seed: int = 42) -> Column:
+    """A number by the hash of seed and id, the same on every run."""
     digest = F.md5(F.concat_ws(":", F.lit(seed), user.cast("string")))
-    place = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
-    return place < int(test_fraction * 16**HASH_DIGITS)
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
+
+
+def is_test(features: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> Column:
+    """Whether a user belongs to the test set: ``test_fraction`` of each label, those of
+    the smallest hashes. The cut of each of the two labels is a quantile of its hashes,
+    exact up to 10,000 users and to one in 10,000 beyond; it takes one aggregate."""
+    place = hash_place(F.col("user_id"), seed)
+    cuts = (
+        features.groupBy(F.col(LABEL).alias("label"))
+        .agg(F.percentile_approx(place, test_fraction, 10_000).alias("cut"))
+        .filter("label IN (0, 1)")
+        .collect()
+    )
+    test = F.lit(False)
+    for row in cuts:
+        test |= (F.col(LABEL) == row.label) & (place <= row.cut)
+    return test
 
 
 def split(
     features: DataFrame, test_fraction: float = 0.2, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    test = is_test(F.col("user_id"), test_fraction, seed)
+    """Train and test rows, with the same share of each label."""
+    test = is_test(features, test_fraction, seed)
     return features.filter(~test), features.filter(test)
 
 
@@ -260,14 +273,36 @@ def train(
     return TrainedModel(pipeline, metrics, coefficient_table, confusion_table)
 
 
+def linear_scores(
+    features: DataFrame, weights: dict[str, float], intercept: float = 0.0
+) -> DataFrame:
+    """``features`` plus ``predicted`` and ``purchase_probability`` of a logistic model of
+    given coefficients, as plain expressions: a model from elsewhere needs no file."""
+    score = F.lit(intercept)
+    for name, weight in weights.items():
+        score = score + finite(F.col(name)) * F.lit(weight)
+    return features.withColumns(
+        {
+            "purchase_probability": 1 / (1 + F.exp(-score)),
+            "predicted": (score > 0).cast("int"),
+        }
+    )
+
+
 def score_users(
     pipeline: PipelineModel, features: DataFrame, user_ids: list[int] | None = None
 ) -> DataFrame:
     """Class, confidence in percent and message class for all users, or for some."""
     if user_ids is not None:
         features = features.filter(F.col("user_id").isin(user_ids))
+    return with_messages(predict(pipeline, features))
+
+
+def with_messages(predictions: DataFrame) -> DataFrame:
+    """User, class, confidence in percent and message class of predictions."""
     probability = F.col("purchase_probability")
-    return predict(pipeline, features).select(
+    # The two message texts.
+    return predictions.select(
         "user_id",
         "predicted",
         (F.greatest(probability, 1 - probability) * 100).alias("confidence"),

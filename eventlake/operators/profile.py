@@ -170,19 +170,19 @@ def time_summary(df: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:
-    """Some ``n`` rows, reading no more partitions than it takes."""
-    return df.limit(n)
+    """The first ``n`` rows in the order of the columns, the same on every run; each
+    task keeps its best ``n``."""
+    ordered = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return (df.orderBy(*ordered) if ordered else df).limit(n)
 
 
-def table_context(df: DataFrame, whole_up_to: int = 50, sample: int = 20) -> dict:
-    """What a reader needs to know of a table: its columns, and either all rows of a
-    small table or the row count, the summaries and a sample of a large one."""
-    columns = df.columns
-    if df.limit(whole_up_to + 1).count() <= whole_up_to:
-        return {"columns": columns, "data": df}
+def table_context(df: DataFrame, sample: int = 20) -> dict:
+    """What a reader needs to know of a table, whatever its size: columns, row count and
+    missing cells, a profile and a summary of each column, and the first rows."""
     return {
-        "columns": columns,
-        "rows": df.count(),
+        "columns": df.columns,
+        "profile": table_profile(df),
+        "column_profile": column_profile(df),
         "summary": summary_stats(df),
         "time_summary": time_summary(df),
         "sample": preview(df, sample),

@@ -1,12 +1,12 @@
 """Exact quantiles without sorting a column into one task.
 
 ``percentile`` gathers every distinct value of a column in one buffer, and
-``percentile_approx`` is not exact. Here each pass cuts the interval known to hold a
-wanted rank into ``BINS`` bins, counts the rows per bin (a small aggregate, combined
-before the shuffle) and goes on inside the bin that holds the rank, shrunk to the
-values really found in it. A bin with a single value is the answer. Money columns take
-two or three passes, microsecond times four; what each pass returns to the driver is
-two rows per quantile, whatever the size of the data.
+``percentile_approx`` is not exact. Here its sketch only brackets each wanted rank: a
+pass asks it for the values a little below and a little above the rank, and counts what
+lies between. The next pass looks at those rows alone. A bracket holds a small share of
+the rows before it, however the values are spread, so the passes follow the logarithm of
+the row count: two or three, never more for odd values. When few rows are left they are
+grouped by value, and the driver gets the groups around the ranks.
 """
 
 from __future__ import annotations
@@ -16,60 +16,50 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-BINS = 4096
-
-
-@dataclass(frozen=True)
-class Interval:
-    """Values of one column between ``low`` and ``high``; ``below`` are smaller."""
-
-    column: str
-    low: float
-    high: float
-    below: int
+# Accuracy of the sketch: a bracket reaches this part of the rows to either side.
+ACCURACY = 1000
+# Rows in a bracket from which its distinct values are counted one by one.
+FEW = 20_000
+# Whole numbers up to here are doubles of their own.
+TOLD_APART = 2**53
 
 
 @dataclass(frozen=True)
 class ColumnRange:
-    """Count and finite extent of a column; NULL and NaN are no values."""
+    """Count of a column's values; NULL and NaN are none."""
 
     count: int
-    low: float | None
-    high: float | None
-    minus_infinities: int
-    infinities: int
 
 
 def pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column number, value) of every value that is neither NULL nor NaN. The plan of
-    a pass stays small, however many columns there are."""
-    cells = [
-        F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value"))
-        for i, c in enumerate(columns)
-    ]
+    """(column number, value, exact) of every value that is neither NULL nor NaN. The plan
+    of a pass stays small, however many columns there are. ``exact`` keeps whole numbers,
+    which a double may not."""
+    cells = []
+    for i, c in enumerate(columns):
+        whole = isinstance(df.schema[c].dataType, T.IntegralType)
+        exact = F.col(c) if whole else F.lit(None)
+        cells.append(
+            F.struct(
+                F.lit(i).alias("column"),
+                F.col(c).cast("double").alias("value"),
+                exact.cast("bigint").alias("whole"),
+            )
+        )
     return df.select(F.inline(F.array(*cells))).filter(~F.isnan("value"))
 
 
 def range_measures() -> list[Column]:
     """Aggregates over pairs a :class:`ColumnRange` is read from."""
-    value = F.col("value")
-    finite = F.when(F.abs(value) < math.inf, value)
-    return [
-        F.count(value).alias("count"),
-        F.min(finite).alias("low"),
-        F.max(finite).alias("high"),
-        F.count_if(value == -math.inf).alias("minus_infinities"),
-        F.count_if(value == math.inf).alias("infinities"),
-    ]
+    return [F.count("value").alias("count")]
 
 
 def column_range(row: Row | None) -> ColumnRange:
     """The range in an aggregate row; a column without values has no row."""
-    if row is None:
-        return ColumnRange(0, None, None, 0, 0)
-    return ColumnRange(row["count"], row.low, row.high, row.minus_infinities, row.infinities)
+    return ColumnRange(0 if row is None else row["count"])
 
 
 def exact_quantiles(
@@ -90,7 +80,7 @@ def exact_quantiles(
         for p in probabilities
         for rank in _ranks(r.count, p)[:2]
     }
-    values = _values_at(df, ranges, ranks)
+    values = _values_at(df, columns, ranges, ranks)
     result = {}
     for c, r in ranges.items():
         result[c] = []
@@ -100,7 +90,7 @@ def exact_quantiles(
                 continue
             lower, upper, weight = _ranks(r.count, p)
             a, b = values[c, lower], values[c, upper]
-            result[c].append(a if a == b or weight == 0 else a + (b - a) * weight)
+            result[c].append(float(a if a == b or weight == 0 else a + (b - a) * weight))
     return result
 
 
@@ -112,68 +102,140 @@ def _ranks(count: int, probability: float) -> tuple:
     return lower, min(lower + 1, count - 1), position - lower
 
 
-def _values_at(df, ranges, ranks) -> dict[tuple[str, int], float]:
+@dataclass(frozen=True)
+class Bracket:
+    """Values of one column from ``low`` to ``high`` (None: open): ``rows`` of them, with
+    ``below`` smaller ones. A bracket of one value is closed."""
+
+    column: int
+    low: float | None
+    high: float | None
+    below: int
+    rows: int
+
+    def holds(self, rank: int) -> bool:
+        return self.below <= rank < self.below + self.rows
+
+    def closed(self) -> bool:
+        return self.low is not None and self.low == self.high
+
+    def condition(self) -> Column:
+        inside = F.col("column") == self.column
+        if self.low is not None:
+            inside &= F.col("value") >= F.lit(self.low)
+        if self.high is not None:
+            inside &= F.col("value") <= F.lit(self.high)
+        return inside
+
+
+def _values_at(df, columns, ranges, ranks) -> dict[tuple[str, int], float]:
     """The value at each (column, rank), ranks counted from 0."""
-    found, searched = {}, {}
+    wanted: dict[Bracket, set[int]] = {}
     for column, rank in ranks:
-        r = ranges[column]
-        if rank < r.minus_infinities:
-            found[column, rank] = -math.inf
-        elif rank >= r.count - r.infinities:
-            found[column, rank] = math.inf
-        else:
-            searched[column, rank] = Interval(column, r.low, r.high, r.minus_infinities)
-    while searched:
-        found |= {key: i.low for key, i in searched.items() if i.low == i.high}
-        searched = {key: i for key, i in searched.items() if i.low < i.high}
-        if searched:
-            searched = _narrow(df, searched)
+        number = columns.index(column)
+        whole = Bracket(number, None, None, 0, ranges[column].count)
+        wanted.setdefault(whole, set()).add(rank)
+    found: dict[tuple[str, int], float] = {}
+    while wanted:
+        small = {b: r for b, r in wanted.items() if b.rows <= FEW or b.closed()}
+        large = {b: r for b, r in wanted.items() if b not in small}
+        for b, rank, value in _counted(df, columns, small) if small else []:
+            found[columns[b.column], rank] = value
+        wanted = {}
+        for b, of_rank in (_narrowed(df, columns, large) if large else {}).items():
+            for rank in of_rank:
+                if b.closed() and (abs(b.low) <= TOLD_APART or _is_double(df, columns, b)):
+                    found[columns[b.column], rank] = b.low
+                else:
+                    wanted.setdefault(b, set()).add(rank)
     return found
 
 
-def _narrow(df, searched) -> dict[tuple[str, int], Interval]:
-    """One pass: for each searched rank, the bin of its interval that holds it.
+def _is_double(df: DataFrame, columns: list[str], bracket: Bracket) -> bool:
+    return not isinstance(df.schema[columns[bracket.column]].dataType, T.LongType)
 
-    Rows become (column, value) pairs and meet the intervals in a broadcast join:
-    there are at most two intervals per column and quantile. Intervals of one column
-    are equal or apart, so a value falls into one at most.
-    """
-    spark = df.sparkSession
-    columns = sorted({interval.column for interval in searched.values()})
-    slots = {interval: slot for slot, interval in enumerate(dict.fromkeys(searched.values()))}
-    intervals = spark.createDataFrame(
-        [(slot, columns.index(i.column), i.low, i.high) for i, slot in slots.items()],
-        "slot int, column int, low double, high double",
-    )
-    wanted = spark.createDataFrame(
-        [(slots[i], rank, rank - i.below) for (_, rank), i in searched.items()],
-        "slot int, rank bigint, inside bigint",
+
+def _slotted(df: DataFrame, columns: list[str], brackets: list[Bracket]) -> DataFrame:
+    """The rows of the brackets, with the number of theirs. Brackets of one column may
+    overlap: a row is given once for each that holds it."""
+    slots = [F.when(b.condition(), F.lit(i)) for i, b in enumerate(brackets)]
+    rows = pairs(df, columns).select(
+        "value", "whole", F.explode(F.array_compact(F.array(*slots))).alias("slot")
     )
-    # Halved before subtracting, so that the width of the widest interval is finite.
-    low, high, value = F.col("low") / 2, F.col("high") / 2, F.col("value") / 2
-    bin_number = F.least(F.floor((value - low) / (high - low) * BINS), F.lit(BINS - 1))
-    bins = (
-        pairs(df, columns)
-        .join(F.broadcast(intervals), "column")
-        .filter(F.col("value").between(F.col("low"), F.col("high")))
-        .groupBy("slot", bin_number.alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
+    return rows
+
+
+def _counted(df, columns, wanted) -> list[tuple[Bracket, int, float]]:
+    """The values at the wanted ranks of brackets of few rows, from their value counts."""
+    brackets = list(wanted)
+    # Doubles that stand for several whole numbers are told apart by these.
+    groups = (
+        _slotted(df, columns, brackets)
+        .groupBy("slot", "value", "whole")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    # A window over the bins of a slot, BINS rows at most.
-    earlier = Window.partitionBy("slot").orderBy("bin").rowsBetween(
+    # A window over the values of a bracket, FEW rows at most.
+    before = Window.partitionBy("slot").orderBy("value", "whole").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    placed = bins.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    holding = placed.join(F.broadcast(wanted), "slot").filter(
-        "before <= inside AND inside < before + n"
+    placed = groups.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    inside = F.lit(False)
+    for i, b in enumerate(brackets):
+        for rank in wanted[b]:
+            at = rank - b.below
+            inside |= (F.col("slot") == i) & F.lit(at).between(
+                F.col("before"), F.col("before") + F.col("n") - 1
+            )
+    result = []
+    for row in placed.filter(inside).collect():
+        b = brackets[row.slot]
+        for rank in wanted[b]:
+            if row.before <= rank - b.below < row.before + row.n:
+                value = row.value if row.whole is None else row.whole
+                result.append((b, rank, value))
+    return result
+
+
+def _narrowed(df, columns, wanted) -> dict[Bracket, set[int]]:
+    """One step: brackets around each wanted rank, from a sketch, and then their counts."""
+    brackets = list(wanted)
+    asked = []
+    for b in brackets:
+        shares = set()
+        for rank in wanted[b]:
+            share = (rank - b.below + 0.5) / b.rows
+            shares |= {max(share - 2 / ACCURACY, 0.0), min(share + 2 / ACCURACY, 1.0)}
+        asked.append(sorted(shares))
+    every = sorted({share for shares in asked for share in shares})
+    sketch = _slotted(df, columns, brackets).groupBy("slot").agg(
+        F.percentile_approx("value", every, ACCURACY).alias("bounds")
     )
-    found = {(row.slot, row.rank): row for row in holding.collect()}
-    narrowed = {}
-    for (column, rank), interval in searched.items():
-        row = found[slots[interval], rank]
-        narrowed[column, rank] = Interval(column, row.low, row.high, interval.below + row.before)
-    return narrowed
+    bounds = {row.slot: dict(zip(every, row.bounds)) for row in sketch.collect()}
+    cuts = []
+    for i, shares in enumerate(asked):
+        values = sorted({bounds[i][share] for share in shares})
+        low, high = brackets[i].low, brackets[i].high
+        cuts.append([None if low is None else low, *values, high])
+    counts = []
+    for i, values in enumerate(cuts):
+        own = F.col("slot") == i
+        for j, value in enumerate(values[1:-1]):
+            counts.append(F.count_if(own & (F.col("value") < F.lit(value))).alias(f"l{i}_{j}"))
+            counts.append(F.count_if(own & (F.col("value") == F.lit(value))).alias(f"e{i}_{j}"))
+    row = _slotted(df, columns, brackets).agg(*counts).first()
+    result: dict[Bracket, set[int]] = {}
+    for i, b in enumerate(brackets):
+        parts, reached, low = [], 0, b.low
+        for j, value in enumerate(cuts[i][1:-1]):
+            less, equal = row[f"l{i}_{j}"], row[f"e{i}_{j}"]
+            # Neighbouring doubles bound the open stretches between the cuts.
+            parts.append(
+                Bracket(b.column, low, math.nextafter(value, -math.inf), b.below + reached, less - reached)
+            )
+            parts.append(Bracket(b.column, value, value, b.below + less, equal))
+            reached, low = less + equal, math.nextafter(value, math.inf)
+        parts.append(Bracket(b.column, low, b.high, b.below + reached, b.rows - reached))
+        for rank in wanted[b]:
+            part = next(p for p in parts if p.holds(rank))
+            result.setdefault(part, set()).add(rank)
+    return result

@@ -135,15 +135,17 @@ def run_features(
 def run_training(
     spark: SparkSession, paths: LakePaths, exclude_leaky: bool = False
 ) -> Row | None:
-    """Train, save and gate the model; returns its metrics, None when skipped for want
-    of rows."""
+    """Train and gate the model, and save it if it passes: a model that does not leaves
+    the old one in place, and its metrics in the history. Returns the metrics, None when
+    skipped for want of rows."""
     table = read_table(spark, paths.features, paths.fmt)
     if not quality.enough_to_train(table):
         return None
     trained = model.train(table, exclude_leaky=exclude_leaky)
-    artifacts.save_model(trained.pipeline, paths.model)
     artifacts.write_metrics(spark, trained.metrics, paths.metrics)
-    return artifacts.check_model(spark, paths.metrics)
+    passed = artifacts.check_model(spark, paths.metrics)
+    artifacts.save_model(trained.pipeline, paths.model)
+    return passed
 
 
 def run_all(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,27 +11,32 @@ from eventlake.errors import AmbiguousTableError, EventLakeError, TableNotFoundE
 from eventlake.operators import profile
 from eventlake.sources.tables import read_table, union_tables
 
-TABLE_NAMES = ["revenue_per_hour", "active_users_per_hour", "conversion_rate", "user_features"]
-
-OWN_LIMIT = re.compile(r"\blimit\s+\d+(\s+offset\s+\d+)?\s*;?\s*$", re.IGNORECASE)
+# The first word of a query, and the commands that ask for the schemas.
+QUERY_WORDS = ("select", "with")
+SCHEMA_WORDS = ("describe", "show")
+SCHEMA_QUESTIONS = ("describe", "show tables", "schema")
 
 
 @dataclass(frozen=True)
 class Answer:
-    """What was run and what it gave; ``data`` honours the whole query."""
+    """What was run and what it gave; ``data`` honours the whole query. ``summary`` is
+    one row that sizes it up: rows, columns and the percent of missing cells."""
 
     sql: str
     data: DataFrame
+    summary: DataFrame
 
 
 class TableRegistry:
-    """Tables by name, each a lazy view: nothing is read before a query asks."""
+    """Tables by name, each lazy: nothing is read before a query asks.
+
+    The names are the registry's own. They hide tables and views of the session, and
+    no other registry sees them.
+    """
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
         self.spark = spark
         self.tables = dict(tables)
-        for name, table in self.tables.items():
-            table.createOrReplaceTempView(name)
 
     @classmethod
     def load(
@@ -64,15 +68,24 @@ class TableRegistry:
     def table(self, name: str) -> DataFrame:
         return self.tables[self.resolve(name)]
 
-    def run_query(self, text: str, n: int | None = 10, **names: str) -> DataFrame:
-        """Run a SELECT. Without a LIMIT of its own it returns ``n`` rows (None: all).
+    def run_query(self, text: str, n: int | None = None, **names: str) -> DataFrame:
+        """Run a SELECT: all its rows, or the first ``n``.
 
         ``names`` lets the text use partial table names: ``run_query("SELECT * FROM
-        {t}", t="revenue")``.
+        {t}", t="revenue")``. The registered tables are put before the text as common
+        table expressions, which is what makes their names private.
         """
-        tables = {key: self.table(name) for key, name in names.items()}
-        result = self.spark.sql(text, **tables)
-        return result if n is None or OWN_LIMIT.search(text) else result.limit(n)
+        query = text.strip().rstrip(";")
+        if not names:
+            query = query.replace("{", "{{").replace("}", "}}")
+        arguments = {key: self.table(name) for key, name in names.items()}
+        bound = {f"registered_{i}": name for i, name in enumerate(self.tables)}
+        if bound:
+            named = ", ".join(f"`{n}` AS (SELECT * FROM {{{key}}})" for key, n in bound.items())
+            query = f"WITH {named} SELECT * FROM (\n{query}\n)"
+        arguments |= {key: self.tables[name] for key, name in bound.items()}
+        result = self.spark.sql(query, **arguments)
+        return result if n is None else result.limit(n)
 
     def schemas(self) -> DataFrame:
         """(table, position, column, type, rows) of every table, counted in one query."""
@@ -91,34 +104,36 @@ class TableRegistry:
         return rows.select(F.lit(name).alias("table"), "rows", F.inline(F.array(*columns)))
 
     def preview(self, name: str, n: int = 10) -> DataFrame:
+        """The first ``n`` rows of a table in the order of its columns."""
         return profile.preview(self.table(name), n)
 
-    def context(self, whole_up_to: int = 50, sample: int = 20) -> dict[str, dict]:
-        """What is known of each table, in bounded size."""
-        return {
-            name: profile.table_context(table, whole_up_to, sample)
-            for name, table in self.tables.items()
-        }
+    def context(self, sample: int = 20) -> dict[str, dict]:
+        """What is known of each table, in the same form whatever its size."""
+        return {name: profile.table_context(table, sample) for name, table in self.tables.items()}
 
-    def execute(self, text: str, n: int | None = 10) -> DataFrame:
+    def execute(self, text: str, n: int | None = None) -> DataFrame:
         """A SELECT, a DESCRIBE or SHOW (every table's schema), or a text that names a
-        table (its first rows)."""
+        table (its rows). ``n`` keeps the first rows only."""
         text = text.strip()
         command = text.split(None, 1)[0].lower() if text else ""
-        if command in ("select", "with"):
+        if command in QUERY_WORDS:
             return self.run_query(text, n)
-        if command in ("describe", "show"):
+        if command in SCHEMA_WORDS:
             return self.schemas()
         named = [t for t in self.tables if t.lower() in text.lower()]
         if not named:
-            raise TableNotFoundError(f"no table named in {text!r}; available: {', '.join(self.tables)}")
-        return self.preview(named[0], n or 10)
+            raise TableNotFoundError(
+                f"no table named in {text!r}; available: {', '.join(self.tables)}"
+            )
+        return self.table(named[0]) if n is None else self.preview(named[0], n)
 
-    def answer(self, question: str, n: int | None = 100) -> Answer:
+    def answer(self, question: str, n: int | None = None) -> Answer:
         """``sql <query>`` runs the query; a schema command describes the tables."""
         if question.lower().startswith("sql "):
             sql = question[4:].strip()
-            return Answer(sql, self.execute(sql, n))
-        if question.strip().lower() in ("describe", "show tables", "schema"):
-            return Answer("", self.schemas())
-        raise EventLakeError("only 'sql <query>' and schema commands are answered")
+            data = self.execute(sql, n)
+        elif question.strip().lower() in SCHEMA_QUESTIONS:
+            sql, data = "", self.schemas()
+        else:
+            raise EventLakeError("only 'sql <query>' and schema commands are answered")
+        return Answer(sql, data, profile.table_profile(data))

@@ -84,6 +84,8 @@ def write_table(
     so a partition gets few files and a large one is still written by many tasks.
     ``only_touched`` then replaces just the partitions ``df`` holds.
     """
+    if only_touched and not partition_by:
+        raise ValueError("only_touched needs partition_by: there is nothing to leave untouched")
     counting = Observation()
     counted = df.observe(counting, F.count(F.lit(1)).alias("rows_written"))
     if partition_by:
@@ -96,22 +98,23 @@ def write_table(
     elif fmt == "delta":
         writer.option("overwriteSchema", "true").save(path)
     else:
-        staged = _beside(path, "new")
+        staged = _beside(df.sparkSession, path, "new")
         writer.save(staged)
         _take_place(df.sparkSession, staged, path)
     return counting.get
 
 
-def _beside(path: str, purpose: str) -> str:
-    """A hidden sibling of ``path``."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/.{name}-{purpose}-{uuid.uuid4().hex}"
+def _beside(spark: SparkSession, path: str, purpose: str) -> str:
+    """A hidden sibling of ``path``, which may be relative."""
+    target, files = _file_system(spark, path)
+    whole = files.makeQualified(target)
+    return f"{whole.getParent()}/.{whole.getName()}-{purpose}-{uuid.uuid4().hex}"
 
 
 def _take_place(spark: SparkSession, staged: str, path: str) -> None:
     new, files = _file_system(spark, staged)
     target, _ = _file_system(spark, path)
-    old, _ = _file_system(spark, _beside(path, "old"))
+    old, _ = _file_system(spark, _beside(spark, path, "old"))
     if files.exists(target) and not files.rename(target, old):
         raise EventLakeError(f"cannot move {path} aside")
     if not files.rename(new, target):

@@ -8,6 +8,11 @@ from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-30 12:00:00'"
 
+# Average order from which a user is labelled 1, and a logistic model of given numbers.
+SPENDER = 50.0
+GIVEN_WEIGHTS = {"total_events": 0.05, "view_count": -0.15, "unique_products": 0.02}
+GIVEN_INTERCEPT = -0.6
+
 FEATURES = [
     "purchases_last_24h",
     "total_purchases",
@@ -65,7 +70,17 @@ SILVER_COLUMNS = ["user_id", "product_id", "event_type", "price", "event_timesta
 UNITED = f"""united AS (
   SELECT user_id, product_id, event_type, CASE WHEN {BOUGHT} THEN price END AS price,
          event_timestamp
-  FROM silver WHERE event_type IN ('view', 'purchase'))"""
+  FROM silver)"""
+DIRTY = """dirty AS (
+  SELECT kafka_key, CASE WHEN "offset" % 97 <> 0 THEN user_id END AS user_id,
+         CASE WHEN "offset" % 89 <> 0 THEN product_id END AS product_id, event_type,
+         CASE WHEN "offset" % 83 = 0 THEN -1.0::DOUBLE WHEN "offset" % 79 = 0 THEN 'NaN'::DOUBLE
+              WHEN "offset" % 73 = 0 THEN 0.0::DOUBLE WHEN "offset" % 67 = 0 THEN NULL
+              ELSE price END AS price,
+         CASE WHEN "offset" % 71 <> 0 THEN ts END AS ts, "offset", kafka_timestamp
+  FROM bronze)"""
+UNSOLD = """unsold AS (
+  SELECT * FROM silver WHERE user_id % 5 <> 0 OR event_type <> 'purchase')"""
 S6 = f"sum({micros()}) FILTER ({BOUGHT})"
 BUYS = f"count(*) FILTER ({BOUGHT})"
 VIEWS = "count(*) FILTER (event_type = 'view')"
@@ -193,11 +208,25 @@ def with_(*parts: str) -> str:
     return "WITH " + ", ".join(parts) + " "
 
 
-LABELLED = """labelled AS (
-  SELECT * REPLACE (CASE WHEN purchases_last_24h > 0 THEN 1 ELSE 0 END AS is_purchaser)
+LABELLED = f"""labelled AS (
+  SELECT * REPLACE (CASE WHEN avg_order_value > {SPENDER} THEN 1 ELSE 0 END AS is_purchaser)
   FROM user_features)"""
+GIVEN = f"""given AS (
+  SELECT *, 1 / (1 + exp(-z)) AS p, CASE WHEN z > 0 THEN 1 ELSE 0 END AS predicted
+  FROM (SELECT *, {GIVEN_INTERCEPT}::DOUBLE
+          + {' + '.join(f'{n}::DOUBLE * {w}::DOUBLE' for n, w in GIVEN_WEIGHTS.items())} AS z
+        FROM labelled))"""
+GIVEN_CELLS = """cells AS (
+  SELECT count(*) FILTER (is_purchaser = 1 AND predicted = 1) AS tp,
+         count(*) FILTER (is_purchaser = 0 AND predicted = 1) AS fp,
+         count(*) FILTER (is_purchaser = 1 AND predicted = 0) AS fn,
+         count(*) FILTER (is_purchaser = 0 AND predicted = 0) AS tn, count(*) AS n FROM given)"""
 PLACE = "('0x' || substr(md5('42:' || user_id::VARCHAR), 1, 8))::BIGINT"
-IN_TEST = f"{PLACE} < {int(0.2 * 16**8)}"
+# A fifth of each label, by rank of the hash.
+PARTS = f"""parts AS (
+  SELECT *, row_number() OVER (PARTITION BY is_purchaser ORDER BY {PLACE})
+              <= ceil(0.2 * count(*) OVER (PARTITION BY is_purchaser)) AS in_test
+  FROM user_features)"""
 LINEITEM = {
     "l_orderkey": "bigint",
     "l_partkey": "bigint",
@@ -268,6 +297,7 @@ def oracle_sql() -> dict[str, str]:
     gold, users = with_(SILVER, HOURLY), with_(SILVER, USERS)
     features = with_(SILVER, USERS, USER_FEATURES)
     united = with_(SILVER, UNITED)
+    unsold = with_(SILVER, UNSOLD, USERS.replace("FROM silver", "FROM unsold"), USER_FEATURES)
     bronze_rows = f"{bronze} SELECT * EXCLUDE (ts) FROM bronze"
     cleaned = f"""{bronze} SELECT user_id, product_id, event_type, price,
         ts AS event_timestamp, kafka_timestamp AS ingestion_timestamp
@@ -335,11 +365,9 @@ def oracle_sql() -> dict[str, str]:
             count(*) AS event_count FROM silver GROUP BY 1""",
         "events_per_minute": f"""{bronze} SELECT date_trunc('minute', ts)::TIMESTAMP AS minute,
             count(*) AS event_count FROM bronze GROUP BY 1""",
-        "events_per_minute_stream": f"""{bronze}, minutes AS (
-              SELECT date_trunc('minute', ts)::TIMESTAMP AS minute, count(*) AS event_count
-              FROM bronze GROUP BY 1)
-            SELECT * FROM minutes WHERE minute + INTERVAL 1 MINUTE
-              <= (SELECT max(ts) FROM bronze) - INTERVAL 10 MINUTES""",
+        "events_per_minute_stream": f"""{bronze}
+            SELECT date_trunc('minute', ts)::TIMESTAMP AS minute, count(*) AS event_count
+            FROM bronze GROUP BY 1""",
         "stream_kpis": f"""{bronze} SELECT count(*) AS total_events,
             count(DISTINCT event_type) AS event_types, count(DISTINCT user_id) AS unique_users
             FROM bronze""",
@@ -379,7 +407,46 @@ def oracle_sql() -> dict[str, str]:
         "run_query": f"""{gold}, revenue AS (
               SELECT hour, {listed(REVENUE_COLUMNS)} FROM hourly WHERE buys > 0)
             SELECT * FROM revenue WHERE avg_order_value > 5 AND purchase_count >= 2
-            ORDER BY total_revenue DESC, hour LIMIT 10""",
+            ORDER BY total_revenue DESC, hour""",
+        "grouped_by_hour": f"""{gold} SELECT hour(hour)::INTEGER AS hour_of_day,
+            sum(total_events)::BIGINT AS events, max(users) AS most_users
+            FROM hourly GROUP BY 1""",
+        "table_preview": f"{features} SELECT * FROM user_features ORDER BY user_id LIMIT 10",
+        "quality_report_dirty": f"""{with_(BRONZE, DIRTY)} SELECT *,
+            greatest({', '.join(RULES)}) = 0 AS passed FROM ({REPORT.replace("bronze", "dirty")})""",
+        "quality_violations_dirty": f"""{with_(BRONZE, DIRTY)}
+            SELECT "offset", event_type, price, rules FROM (
+            SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {r} THEN '{n}' END" for n, r in RULES.items())})
+            AS rules FROM dirty) WHERE rules <> ''""",
+        "silver_clean_dirty": f"""{with_(BRONZE, DIRTY)} SELECT user_id, product_id, event_type,
+            price, ts AS event_timestamp, kafka_timestamp AS ingestion_timestamp FROM dirty
+            WHERE user_id IS NOT NULL AND ts IS NOT NULL
+              AND event_type IN ('view', 'cart', 'purchase')""",
+        "user_features_dirty": f"{unsold} SELECT * FROM user_features",
+        "prepared_features_dirty": f"""{unsold} SELECT user_id,
+            {', '.join(f"{c}::DOUBLE AS {c}" for c in FEATURES if c != 'total_revenue')},
+            CASE WHEN user_id % 7 = 0 OR user_id % 11 = 0 OR user_id % 13 = 0 THEN 0.0::DOUBLE
+                 ELSE total_revenue END AS total_revenue, is_purchaser FROM user_features""",
+        "given_scores": f"""{features}, {LABELLED}, {GIVEN} SELECT user_id, predicted,
+            round(greatest(p, 1 - p) * 100, 6) AS confidence,
+            CASE WHEN predicted = 1 THEN 'Likely Purchaser' ELSE 'Unlikely Purchaser' END AS message
+            FROM given""",
+        "given_confusion": f"""{features}, {LABELLED}, {GIVEN}, {GIVEN_CELLS}
+            SELECT 1 AS label, 1 AS predicted, tp AS n FROM cells
+            UNION ALL SELECT 0, 1, fp FROM cells UNION ALL SELECT 1, 0, fn FROM cells
+            UNION ALL SELECT 0, 0, tn FROM cells""",
+        "given_metrics": f"""{features}, {LABELLED}, {GIVEN}, {GIVEN_CELLS}
+            SELECT round((tp + tn) / n, 9) AS accuracy,
+              CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
+              CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
+              round(2 * tp / (2 * tp + fp + fn), 9) AS f1_score FROM cells""",
+        "given_roc_auc": f"""{features}, {LABELLED}, {GIVEN}, ranked AS (
+              SELECT is_purchaser, (rank() OVER (ORDER BY p)
+                + (count(*) OVER (PARTITION BY p) - 1) / 2) AS r FROM given)
+            SELECT count(*) AS users, round((sum(r) FILTER (is_purchaser = 1)
+                - count(*) FILTER (is_purchaser = 1) * (count(*) FILTER (is_purchaser = 1) + 1) / 2)
+              / (count(*) FILTER (is_purchaser = 1) * count(*) FILTER (is_purchaser = 0)), 9) AS roc_auc
+            FROM ranked""",
         "grouped_query": f"""{features} SELECT is_purchaser, count(*) AS users,
             sum(total_events)::BIGINT AS events, max(last_activity) AS newest
             FROM user_features GROUP BY 1""",
@@ -401,13 +468,13 @@ def oracle_sql() -> dict[str, str]:
         + described("user_features", FEATURE_TYPES, "SELECT count(DISTINCT user_id) FROM silver"),
         "prepared_features": f"""{features} SELECT user_id,
             {', '.join(f"{c}::DOUBLE AS {c}" for c in FEATURES)}, is_purchaser FROM user_features""",
-        "train_test_split": f"""{users} SELECT user_id,
-            CASE WHEN {IN_TEST} THEN 'test' ELSE 'train' END AS part FROM users""",
-        "feature_scaling": features
+        "train_test_split": f"""{features}, {PARTS} SELECT user_id,
+            CASE WHEN in_test THEN 'test' ELSE 'train' END AS part FROM parts""",
+        "feature_scaling": f"{features}, {PARTS} "
         + " UNION ALL ".join(
             f"""SELECT '{c}' AS feature, round(avg({c}::DOUBLE), 4) AS mean,
                 round(stddev_pop({c}::DOUBLE), 4) AS std
-                FROM user_features WHERE NOT ({IN_TEST})"""
+                FROM parts WHERE NOT in_test"""
             for c in FEATURES
         ),
     }

@@ -62,6 +62,12 @@ def test_prices_that_are_no_ordinary_numbers(spark):
     assert total(spark, [1e15, 1.25]) == 1e15 + 1.25
 
 
+def test_parts_of_a_millionth_count(spark):
+    assert total(spark, [4e-7] * 1000, 6) == 0.0004
+    row = table(spark, [4e-7] * 10).agg(exact.mean(price(), F.count("*"), 8).alias("m")).first()
+    assert row.m == 4e-7
+
+
 def test_a_total_beyond_the_range_of_millionths(spark):
     assert total(spark, [8.9e12] * 50) == 8.9e12 * 50
 

@@ -79,7 +79,10 @@ def test_split_is_stable_and_near_its_fraction(spark, features):
     assert train.join(test, "user_id").isEmpty()
     again = model.split(features.repartition(7))[1]
     assert sorted(r.user_id for r in again.collect()) == sorted(r.user_id for r in test.collect())
-    share = spark.range(50_000).select(F.avg(model.is_test(F.col("id")).cast("int"))).first()[0]
+    users = spark.range(50_000).selectExpr("id AS user_id", "int(id % 50 = 0) AS is_purchaser")
+    test = model.split(users)[1]
+    share = test.count() / 50_000
+    assert 0.19 < test.filter("is_purchaser = 1").count() / 1000 < 0.21
     assert abs(share - 0.2) < 0.01
 
 

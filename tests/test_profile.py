@@ -19,7 +19,7 @@ def table(spark, **columns):
 
 def expect(spark, values):
     found = quantiles.exact_quantiles(table(spark, v=values), ["v"], PROBABILITIES)["v"]
-    np.testing.assert_allclose(found, np.quantile(values, PROBABILITIES), rtol=1e-12)
+    np.testing.assert_allclose(found, np.quantile(values, PROBABILITIES), rtol=1e-12, atol=1e-322)
 
 
 RANDOM = np.random.default_rng(5)
@@ -44,11 +44,44 @@ def test_quantiles_are_those_of_a_full_sort(spark, values):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.floats(-1e12, 1e12, allow_subnormal=False), min_size=1, max_size=40))
+@given(values=st.lists(st.floats(-1e12, 1e12), min_size=1, max_size=40))
 def test_quantiles_of_any_numbers(spark, values):
     expect(spark, np.array(values))
 
 
+def test_whole_numbers_a_double_cannot_tell_apart(spark):
+    big = 2**60
+    data = spark.range(5).selectExpr(f"{big} + id AS v")
+    assert quantiles.exact_quantiles(data, ["v"], [0.5]) == {"v": [float(big + 2)]}
+
+
+def test_a_whole_number_that_most_rows_hold(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", 100)
+    for value in (3, 2**60 + 1):
+        data = spark.range(1000).selectExpr(f"if(id < 900, {value}, id) AS v")
+        found = quantiles.exact_quantiles(data, ["v"], [0.2, 0.3])["v"]
+        assert found == list(np.quantile(data.toPandas()["v"], [0.2, 0.3]))
+
+
+@pytest.mark.parametrize("shape", ["wide", "lognormal", "outlier", "same", "subnormal"])
+def test_passes_do_not_depend_on_the_values(spark, monkeypatch, shape):
+    random = np.random.default_rng(1)
+    values = {
+        "wide": 10.0 ** random.uniform(-200, 200, 3000),
+        "lognormal": random.lognormal(0, 4, 3000),
+        "outlier": np.concatenate([random.normal(size=2999), [1e300]]),
+        "same": np.concatenate([np.full(2500, 7.0), random.normal(size=500)]),
+        "subnormal": np.concatenate([np.zeros(1500), random.integers(1, 99, 1500) * 5e-324]),
+    }[shape]
+    passes = []
+    for name in ("_counted", "_narrowed"):
+        step = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda *a, step=step: passes.append(1) or step(*a))
+    monkeypatch.setattr(quantiles, "FEW", 100)
+    expect(spark, values)
+    assert len(passes) <= 5
+
+
 def test_infinities_missing_values_and_empty_columns(spark):
     data = table(spark, v=[-math.inf, 1.0, 2.0, math.inf, math.inf]).withColumn("none", F.lit(None).cast("double"))
     found = quantiles.exact_quantiles(data, ["v", "none"], [0.0, 0.25, 0.5, 1.0])
@@ -123,8 +156,9 @@ def test_both_zeros_are_one_value(spark):
 
 
 def test_context_is_bounded(spark):
-    small = profile.table_context(spark.range(50).toDF("n"))
-    assert small["data"].count() == 50
-    large = profile.table_context(spark.range(51).toDF("n"))
-    assert large["rows"] == 51 and large["sample"].count() == 20
-    assert large["summary"].first().p50 == 25.0
+    for rows in (2, 51):
+        found = profile.table_context(spark.range(rows).toDF("n"), sample=20)
+        assert found["profile"].first()["rows"] == rows
+        assert found["sample"].count() == min(rows, 20)
+        assert found["summary"].first().p50 == (rows - 1) / 2
+        assert found["column_profile"].first().distinct_count == rows

@@ -28,19 +28,35 @@ def test_names(registry):
 @pytest.mark.parametrize(
     ("text", "expected"),
     [
-        ("SELECT n FROM revenue_per_hour WHERE avg_order_value > 5 ORDER BY n DESC", list(range(29, 19, -1))),
+        ("SELECT n FROM revenue_per_hour WHERE avg_order_value > 5 ORDER BY n DESC", list(range(29, 5, -1))),
         ("SELECT n FROM Revenue_Per_Hour ORDER BY n LIMIT 20", list(range(20))),
         ("SELECT n FROM revenue_per_hour WHERE n <> 0 ORDER BY n LIMIT 3 OFFSET 1;", [2, 3, 4]),
+        ("SELECT n FROM revenue_per_hour ORDER BY n LIMIT ALL", list(range(30))),
+        ("SELECT n FROM revenue_per_hour ORDER BY n LIMIT (17)", list(range(17))),
+        ("SELECT n FROM revenue_per_hour ORDER BY n -- limit 5", list(range(30))),
+        ("WITH x AS (SELECT n FROM revenue_per_hour) SELECT n FROM x ORDER BY n", list(range(30))),
+        ("SELECT n FROM revenue_per_hour WHERE '{x}' = concat('{', 'x}') ORDER BY n", list(range(30))),
     ],
 )
 def test_queries_are_spark_sql(registry, text, expected):
-    text = text.rstrip(";")
     assert [r.n for r in registry.execute(text).collect()] == expected
 
 
 def test_limits(registry):
-    assert registry.run_query("SELECT * FROM {t}", n=None, t="revenue").count() == 30
-    assert registry.run_query("SELECT * FROM {t}", t="revenue").count() == 10
+    assert registry.run_query("SELECT * FROM {t}", t="revenue").count() == 30
+    assert registry.run_query("SELECT * FROM {t}", n=10, t="revenue").count() == 10
+    assert registry.run_query("SELECT * FROM {t} LIMIT 20", n=10, t="revenue").count() == 10
+    assert registry.execute("revenue_per_hour").count() == 30
+    assert [r.n for r in registry.execute("revenue_per_hour", n=2).collect()] == [0, 24]
+
+
+def test_names_are_private(spark, registry):
+    other = TableRegistry(spark, {"user_features": spark.range(7).toDF("user_id")})
+    spark.range(9).createOrReplaceTempView("user_features")
+    for lake, rows in ((registry, 3), (other, 7)):
+        assert lake.run_query("SELECT * FROM user_features").count() == rows
+        assert lake.run_query("SELECT * FROM {x}", x="User_Features").count() == rows
+    spark.catalog.dropTempView("user_features")
     assert registry.run_query("SELECT count(*) AS c FROM user_features").first().c == 3
 
 
@@ -65,6 +81,7 @@ def test_commands(registry):
 def test_answers(registry):
     answer = registry.answer("sql SELECT n FROM revenue_per_hour WHERE n > 4 ORDER BY n")
     assert answer.sql.startswith("SELECT") and answer.data.count() == 25
+    assert tuple(answer.summary.first()) == (25, 1, 0.0)
     assert registry.answer("schema").data.count() == 5
     with pytest.raises(EventLakeError):
         registry.answer("how is business?")
@@ -74,4 +91,5 @@ def test_absent_tables_are_left_out(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "a"))
     loaded = TableRegistry.load(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")})
     assert list(loaded.tables) == ["a"]
-    assert loaded.context()["a"]["data"].count() == 2
+    context = loaded.context(sample=1)["a"]
+    assert context["profile"].first()["rows"] == 2 and context["sample"].count() == 1
