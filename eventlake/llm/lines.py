@@ -121,10 +121,7 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
     bring their lines in; pairs that share a key are then compared inside the join, so
     that no more rows leave it than there are links.
     """
-    probes = distinct.select(
-        "first", F.inline(_probes(max_edits, least_chars)).alias("key", "indexed")
-    )
-    probes = probes.filter("key IS NOT NULL").repartition("key")
+    probes = _probes(distinct, max_edits, least_chars).repartition("key")
     shared = (
         probes.groupBy("key")
         .agg(F.min("first").alias("a"), F.max("first").alias("b"), F.max("indexed").alias("i"))
@@ -162,15 +159,14 @@ def linked_lines(distinct: DataFrame, max_edits: int, least_chars: int) -> DataF
     ).distinct()
 
 
-def _probes(max_edits: int, least_chars: int) -> Column:
-    """(key, indexed) for every substring of ``line``, of ``chars`` characters, that may be
-    a segment of a line of ``shorter`` characters less; its own segments are those it is
-    indexed by.
+def _probes(distinct: DataFrame, max_edits: int, least_chars: int) -> DataFrame:
+    """(first, key, indexed): a row for every substring of a line that may be a segment of
+    a line of some characters less; its own segments are those it is indexed by.
 
-    With d edits allowed, segment s (from 1) of the shorter line lies at most s - 1 places
-    away in the longer one, and at most d + 1 - s places away when counted from the end.
-    The moves are a list that one small expression goes through: written out, they make
-    more code than the JVM compiles.
+    With d edits allowed, segment s (from 0) of the shorter line lies at most s places away
+    in the longer one, and at most d - s places away when counted from the end. The moves
+    this leaves are rows of a small constant list: a line goes through them in compiled
+    code, with one copy of the expressions below for all of them.
     """
     segments = max_edits + 1
     moves = []
@@ -184,22 +180,19 @@ def _probes(max_edits: int, least_chars: int) -> Column:
     listed = F.array(
         *(F.struct(*(F.lit(x).alias(n) for x, n in zip(m, names))) for m in moves)
     )
-
-    def probe(move: Column) -> Column:
-        length = F.col("chars") - move["shorter"]
-        base = F.call_function("div", length, F.lit(segments)).cast("int")
-        longer_from = segments - length % segments
-        begin = base * move["s"] + F.greatest(move["s"] - longer_from, F.lit(0))
-        size = base + F.when(move["s"] >= longer_from, 1).otherwise(0)
-        start = begin + move["move"]
-        key = F.xxhash64(length, move["s"], F.substr("line", start + 1, size))
-        fits = (length >= least_chars) & (start >= 0) & (start + size <= F.col("chars"))
-        return F.struct(
-            F.when(fits, key).alias("key"),
-            ((move["shorter"] == 0) & (move["move"] == 0)).alias("indexed"),
-        )
-
-    return F.transform(listed, probe)
+    moved = distinct.select("first", "line", "chars", F.inline(listed).alias(*names))
+    length, s = F.col("chars") - F.col("shorter"), F.col("s")
+    base = F.call_function("div", length, F.lit(segments)).cast("int")
+    longer_from = segments - length % segments
+    begin = base * s + F.greatest(s - longer_from, F.lit(0))
+    size = base + F.when(s >= longer_from, 1).otherwise(0)
+    start = begin + F.col("move")
+    fits = (length >= least_chars) & (start >= 0) & (start + size <= F.col("chars"))
+    return moved.filter(fits).select(
+        "first",
+        F.xxhash64(length, s, F.substr("line", start + 1, size)).alias("key"),
+        ((F.col("shorter") == 0) & (F.col("move") == 0)).alias("indexed"),
+    )
 
 
 def _parity(column: str) -> Column:
