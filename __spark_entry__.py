@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import oracle_queries
 from eventlake import adapters, schemas
+from eventlake.errors import EventLakeError
 from eventlake.functions.records import decode_records
 from eventlake.operators import (
     analytics,
@@ -24,8 +25,9 @@ from eventlake.operators import (
     profile,
     quality,
 )
+from eventlake.plans import jobs
 from eventlake.session import checkpointed, scratch_dir
-from eventlake.sources import tables
+from eventlake.sources import artifacts, tables
 from eventlake.sources.registry import TableRegistry
 from eventlake.streaming import ingest, monitor
 
@@ -327,6 +329,100 @@ def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(status.select("layer", "exists", "files", "rows", "newest"))
 
 
+def _lake(spark: SparkSession, sf_dir: str) -> tuple[jobs.LakePaths, dict[str, int]]:
+    """Bronze of a stream in which every third user buys nothing, and Silver of it with
+    the unsound rows set aside; and what Silver counted."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    some_buy = "event_type <> 'purchase' OR user_id % 3 > 0"
+    jobs.run_bronze(spark, adapters.record_stream(spark, sf_dir, some_buy), paths)
+    return paths, jobs.run_silver(spark, paths, on_violation="quarantine")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return _without_zone(tables.read_table(spark, path))
+
+
+def _pipeline_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, _lake(spark, sf_dir)[0].silver)
+
+
+def _pipeline_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stored(spark, _lake(spark, sf_dir)[0].quarantine)
+    return rows.select("offset", F.array_join("violated_rules", ",").alias("rules"))
+
+
+def _pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs say they read, set aside and wrote."""
+    paths, counts = _lake(spark, sf_dir)
+    wanted = ["rows_read", "rows_quarantined", "rows_written"]
+    rows = [(name, counts[name]) for name in wanted]
+    rows += jobs.run_gold(spark, paths).items()
+    rows.append(("user_features", jobs.run_features(spark, paths, AS_OF)["rows_written"]))
+    return spark.createDataFrame(rows, "step string, rows bigint")
+
+
+def _pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _ = _lake(spark, sf_dir)
+    names = jobs.run_gold(spark, paths)
+    return tables.union_tables(
+        [_stored(spark, paths.gold(n)).withColumn("table", F.lit(n)) for n in names]
+    )
+
+
+def _pipeline_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _ = _lake(spark, sf_dir)
+    jobs.run_features(spark, paths, AS_OF)
+    return _stored(spark, paths.features)
+
+
+def _passes(gate: Callable[[], object]) -> bool:
+    try:
+        return gate() is not False
+    except EventLakeError:
+        return False
+
+
+def _gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gate of the chain, and two that must not open."""
+    paths, _ = _lake(spark, sf_dir)
+    gold = {n: tables.read_table(spark, paths.gold(n)) for n in jobs.run_gold(spark, paths)}
+    jobs.run_features(spark, paths, AS_OF)
+    bronze, table = (tables.read_table(spark, p) for p in (paths.bronze, paths.features))
+    gates = {
+        "bronze_quality": lambda: quality.check_quality(bronze),
+        "gold_rows": lambda: quality.require_rows(**gold),
+        "feature_rows": lambda: quality.require_rows(user_features=table),
+        "no_rows": lambda: quality.require_rows(user_features=table.filter("user_id < 0")),
+        "enough_to_train": lambda: quality.enough_to_train(table),
+        "model_without_metrics": lambda: artifacts.check_model(spark, paths.metrics),
+    }
+    rows = [(name, _passes(gate)) for name, gate in gates.items()]
+    return spark.createDataFrame(rows, "gate string, passed boolean")
+
+
+def _metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics two training runs left; figures of the fit as whether they pass."""
+    paths, _ = _lake(spark, sf_dir)
+    jobs.run_features(spark, paths, AS_OF)
+    for _ in range(2):
+        jobs.run_training(spark, paths, exclude_leaky=True)
+    return artifacts.read_metrics(spark, paths.metrics).select(
+        "n_train", "n_test", "n_features", (F.col("accuracy") >= 0.5).alias("passed")
+    )
+
+
+def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    context = _registry(spark, sf_dir).context()
+    return tables.union_tables(
+        [known["profile"].withColumn("table", F.lit(name)) for name, known in context.items()]
+    )
+
+
+def _answer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    question = "sql SELECT hour, nullif(purchase_count, 1) AS several FROM revenue_per_hour"
+    return _registry(spark, sf_dir).answer(question).summary
+
+
 def queries() -> dict[str, Query]:
     """One entry per query or operator; each takes (spark, sf_dir)."""
     corpus = {}
@@ -387,6 +483,16 @@ def queries() -> dict[str, Query]:
         "table_schemas": _schemas,
         "union_tables": _union,
         "layer_status": _layer_status,
+        "conversion_trend": _on_silver(lambda s: hourly.trend(hourly.conversion_rate(s))),
+        "table_context": _context,
+        "answer_summary": _answer_summary,
+        "pipeline_silver": _pipeline_silver,
+        "pipeline_quarantine": _pipeline_quarantine,
+        "pipeline_gold": _pipeline_gold,
+        "pipeline_features": _pipeline_features,
+        "pipeline_counts": _pipeline_counts,
+        "gate_status": _gate_status,
+        "metrics_history": _metrics_history,
         "train_test_split": _on_silver(_split),
         "prepared_features": _on_silver(
             lambda s: model.prepare(_user_features(s), schemas.FEATURE_COLUMNS)

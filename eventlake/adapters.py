@@ -122,12 +122,12 @@ def unsold_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).filter("user_id % 5 <> 0 OR event_type <> 'purchase'")
 
 
-def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a stream of Kafka records."""
+def record_stream(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """The table as a stream of Kafka records, of the rows ``where`` lets through."""
     stream = (
         configure(spark)
         .readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    return records(stream)
+    return records(stream.filter(where))

@@ -6,6 +6,9 @@ double is summed or rounded.
 
 from __future__ import annotations
 
+from eventlake.schemas import FEATURE_COLUMNS as FEATURES
+from eventlake.schemas import LEAKY_FEATURES as LEAKY
+
 AS_OF = "TIMESTAMP '2024-01-30 12:00:00'"
 
 # Average order from which a user is labelled 1, and a logistic model of given numbers.
@@ -13,24 +16,6 @@ SPENDER = 50.0
 GIVEN_WEIGHTS = {"total_events": 0.05, "view_count": -0.15, "unique_products": 0.02}
 GIVEN_INTERCEPT = -0.6
 
-FEATURES = [
-    "purchases_last_24h",
-    "total_purchases",
-    "total_revenue",
-    "avg_order_value",
-    "max_purchase_value",
-    "min_purchase_value",
-    "total_events",
-    "view_count",
-    "cart_count",
-    "unique_products",
-    "activity_span_hours",
-    "events_per_hour",
-    "view_to_cart_ratio",
-    "cart_to_purchase_ratio",
-    "overall_conversion",
-]
-
 PRODUCT = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
 TYPE = "CASE event_type WHEN 'click' THEN 'cart' ELSE event_type END"
 PRICE = "CASE WHEN event_type = 'purchase' THEN value ELSE 0.0::DOUBLE END"
@@ -292,7 +277,29 @@ def described(name: str, types: dict[str, str], rows: str) -> str:
     )
 
 
+# The tables of the lake, in which every third user buys nothing and no unsound row stays.
+LAKE = f"""lake AS (
+  SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {r} THEN '{n}' END" for n, r in RULES.items())})
+    AS rules
+  FROM bronze WHERE event_type <> 'purchase' OR user_id % 3 > 0)"""
+LAKE_SILVER = """silver AS (
+  SELECT user_id, product_id, event_type, price, ts AS event_timestamp,
+         kafka_timestamp AS ingestion_timestamp FROM lake WHERE rules = '')"""
+CONTEXT_ROWS = {
+    "revenue_per_hour": "SELECT count(*) FROM hourly WHERE buys > 0",
+    "active_users_per_hour": "SELECT count(*) FROM hourly",
+    "conversion_rate": "SELECT count(*) FROM hourly",
+    "user_features": "SELECT count(*) FROM users",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    lake = with_(BRONZE, LAKE, LAKE_SILVER, HOURLY, USERS, USER_FEATURES, PARTS)
+    widths = {**{n: len(t) for n, t in GOLD_TYPES.items()}, "user_features": len(FEATURE_TYPES)}
+    revenue = f"SELECT hour, {listed(REVENUE_COLUMNS)} FROM hourly WHERE buys > 0"
+    active = """SELECT hour, users AS active_users, total_events,
+        products AS unique_products_viewed FROM hourly"""
+    funnel = f"SELECT hour, {listed(FUNNEL_COLUMNS)} FROM hourly"
     silver, bronze = with_(SILVER), with_(BRONZE)
     gold, users = with_(SILVER, HOURLY), with_(SILVER, USERS)
     features = with_(SILVER, USERS, USER_FEATURES)
@@ -329,7 +336,40 @@ def oracle_sql() -> dict[str, str]:
         "revenue_per_hour": f"{gold} SELECT hour, {listed(REVENUE_COLUMNS)} FROM hourly WHERE buys > 0",
         "active_users_per_hour": f"""{gold} SELECT hour, users AS active_users, total_events,
             products AS unique_products_viewed FROM hourly""",
-        "conversion_rate": f"{gold} SELECT hour, {listed(FUNNEL_COLUMNS)} FROM hourly",
+        "conversion_rate": f"{gold} {funnel}",
+        "conversion_trend": f"{gold} {funnel}",
+        "table_context": with_(SILVER, HOURLY, USERS)
+        + " UNION ALL ".join(
+            f"""SELECT '{n}' AS "table", ({rows}) AS rows, {widths[n]} AS columns,
+                0.0::DOUBLE AS null_percent"""
+            for n, rows in CONTEXT_ROWS.items()
+        ),
+        "answer_summary": f"""{gold} SELECT count(*) AS rows, 2 AS columns,
+            {half_up("100 * count(*) FILTER (buys = 1)", "2 * count(*)", 1)} AS null_percent
+            FROM hourly WHERE buys > 0""",
+        "pipeline_silver": f"{lake} SELECT * FROM silver",
+        "pipeline_quarantine": f"""{lake} SELECT "offset", rules FROM lake WHERE rules <> ''""",
+        "pipeline_gold": f"""{lake} SELECT *, 'revenue_per_hour' AS "table" FROM ({revenue})
+            UNION ALL BY NAME SELECT *, 'active_users_per_hour' AS "table" FROM ({active})
+            UNION ALL BY NAME SELECT *, 'conversion_rate' AS "table" FROM ({funnel})""",
+        "pipeline_features": f"{lake} SELECT * FROM user_features",
+        "pipeline_counts": f"""{lake} SELECT 'rows_read' AS step, count(*) AS rows FROM silver
+            UNION ALL SELECT 'rows_written', count(*) FROM silver
+            UNION ALL SELECT 'rows_quarantined', count(*) FROM lake WHERE rules <> ''
+            UNION ALL SELECT 'revenue_per_hour', count(*) FROM hourly WHERE buys > 0
+            UNION ALL SELECT 'active_users_per_hour', count(*) FROM hourly
+            UNION ALL SELECT 'conversion_rate', count(*) FROM hourly
+            UNION ALL SELECT 'user_features', count(*) FROM users""",
+        "gate_status": f"""{lake} SELECT 'bronze_quality' AS gate, count(*) = 0 AS passed
+              FROM lake WHERE rules <> ''
+            UNION ALL SELECT 'gold_rows', count(*) FILTER (buys > 0) > 0 FROM hourly
+            UNION ALL SELECT 'feature_rows', count(*) > 0 FROM users
+            UNION ALL SELECT 'no_rows', count(*) > 0 FROM users WHERE user_id < 0
+            UNION ALL SELECT 'enough_to_train', count(*) >= 100 FROM users
+            UNION ALL SELECT 'model_without_metrics', false""",
+        "metrics_history": f"""{lake} SELECT count(*) FILTER (NOT in_test) AS n_train,
+            count(*) FILTER (in_test) AS n_test, {len(FEATURES) - len(LEAKY)} AS n_features,
+            true AS passed FROM parts, range(2) AS run(n) GROUP BY n HAVING count(*) >= 100""",
         "hourly_rollup": f"""{gold} SELECT hour, {listed(REVENUE_COLUMNS)}, users AS active_users,
             products AS unique_products_viewed, total_events, views AS view_count,
             carts AS cart_count FROM hourly""",
