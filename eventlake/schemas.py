@@ -31,6 +31,7 @@ RECORD = T.StructType(
     ]
 )
 
+# The column names of Bronze.
 BRONZE = T.StructType(
     [
         T.StructField("kafka_key", T.StringType()),
@@ -46,6 +47,7 @@ BRONZE = T.StructType(
     ]
 )
 
+# The column names of Silver.
 SILVER = T.StructType(
     [
         T.StructField("user_id", T.IntegerType()),
@@ -75,6 +77,7 @@ FEATURE_COLUMNS = [
     "cart_to_purchase_ratio",
     "overall_conversion",
 ]
+# Fixed value: the label.
 LABEL_COLUMN = "is_purchaser"
 
 # Features that restate the label: a user with any purchase value is a purchaser.
@@ -89,6 +92,7 @@ LEAKY_FEATURES = [
     "overall_conversion",
 ]
 
+# The columns of the feature table.
 USER_FEATURE_TABLE_COLUMNS = [
     "user_id",
     *FEATURE_COLUMNS,
@@ -98,6 +102,7 @@ USER_FEATURE_TABLE_COLUMNS = [
     LABEL_COLUMN,
 ]
 
+# The names of the metrics.
 METRICS = T.StructType(
     [
         T.StructField("accuracy", T.DoubleType()),
