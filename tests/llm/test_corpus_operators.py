@@ -225,6 +225,14 @@ def test_lines_run_no_python_on_executors(spark, capsys):
     assert "Python" not in (plan := capsys.readouterr().out) and "Arrow" not in plan
 
 
+def test_probes_run_in_compiled_code(spark):
+    text = F.col("text")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    distinct = docs.select(F.col("doc_id").alias("first"), text.alias("line"), F.length(text).alias("chars"))
+    plan = lines._probes(distinct, 2, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "*(1) Generate" in plan and "transform(" not in plan
+
+
 def plain_spans(rows, length=100):
     first, found = set(), {}
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
