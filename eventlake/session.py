@@ -28,7 +28,8 @@ def get_session(app_name: str = "eventlake", **conf: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, which every executor shares.
+    """A new path below ``spark.checkpoint.dir``, which every executor shares, in a folder
+    of its own that goes when the application ends.
 
     Only a local master may go without that setting; it then gets a temporary folder.
     """
@@ -37,7 +38,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="eventlake-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{path}/data"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from eventlake import adapters, schemas
 from eventlake.errors import DataQualityError, EmptyTableError, TableNotFoundError
 from eventlake.operators import cleaning
 from eventlake.plans import jobs
+from eventlake.session import scratch_dir
 from eventlake.sources.records import file_records
 from eventlake.sources.registry import TableRegistry
 from eventlake.sources.tables import layer_status, read_table
@@ -100,3 +101,10 @@ def test_duplicates_are_the_rows_neither_dropped_nor_written(spark, tmp_path):
     paths = ingest(spark, valid.unionByName(valid), tmp_path)
     counts = jobs.run_silver(spark, paths)
     assert counts["rows_read"] == 1200 and counts["rows_written"] == 600
+
+
+def test_scratch_paths_are_new(spark):
+    one, other = (scratch_dir(spark, "trial") for _ in range(2))
+    assert one != other
+    spark.range(3).write.parquet(one)
+    assert spark.read.parquet(one).count() == 3
