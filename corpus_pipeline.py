@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import lines, quality, simhash, suffixes
-from eventlake.llm.common import free_name, settle, ship_package
+from eventlake.llm.common import settle, ship_package
 from eventlake.llm.packing import pack
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -38,22 +38,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest id.
+    """One row of each group of near-duplicates: that of the smallest id.
 
-    Documents without an id stay only where nothing in their group has one. Of rows that
-    share the id that stays, one stays.
+    Rows without an id stay only where nothing in their group has one. Ids need be neither
+    set nor distinct: rows of different groups never stand for each other.
     """
     ship_package(spark)
-    docs = docs.select(*COLUMNS)
-    found = settle(simhash.near_duplicates(docs), "near-duplicates")
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key = free_name(docs, "kept_id")
-    kept = chosen.select(F.col("doc_id").alias(key)).distinct()
-    left = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(key))).drop(key)
-    rows, distinct = chosen.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
-    if rows == distinct:
-        return left
-    return left.dropDuplicates(["doc_id"])
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

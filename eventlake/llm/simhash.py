@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from eventlake.llm.common import settle
+from eventlake.llm.common import free_name, settle
 from eventlake.llm.components import connected_components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -93,6 +93,51 @@ def near_duplicates(
     return found.select("doc_id", hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(
+    docs: DataFrame,
+    distance: int = 4,
+    blocks: int = 6,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each group that :func:`near_duplicates` links: the row of
+    the smallest id.
+
+    Rows without an id come last; rows that share an id are ordered by a hash of all their
+    columns, so the same row stays on every run. A row is found again by its id and 128
+    bits of all its columns: only rows that are equal throughout stand for each other.
+    """
+    # A hash passes over nulls, so where they are is hashed too.
+    nulls = F.concat(*(F.isnull(c).cast("int").cast("string") for c in docs.columns))
+    whole = [*(F.col(c) for c in docs.columns), nulls]
+    hashes = [F.xxhash64(*whole), F.xxhash64(F.lit(1), *whole)]
+    key = F.struct(
+        F.isnull(id_col).alias("no_id"),
+        F.col(id_col).alias("id"),
+        hashes[0].alias("h1"),
+        hashes[1].alias("h2"),
+    )
+    prints = settle(
+        docs.select(key.alias("row"), fingerprint(F.col(text_col)).alias("fingerprint")),
+        "fingerprints",
+    )
+    nodes = settle(prints.groupBy("fingerprint").agg(F.min("row").alias("row")), "nodes")
+    roots = linked_fingerprints(nodes.select("fingerprint"), distance, blocks)
+    rooted = nodes.join(roots, "fingerprint")
+    chosen = settle(
+        rooted.groupBy("root").agg(F.min("row").alias("row")).select("row"), "chosen-rows"
+    )
+    names = [free_name(docs, name) for name in ("chosen_id", "chosen_h1", "chosen_h2")]
+    keys = chosen.select("row.id", "row.h1", "row.h2").toDF(*names)
+    own = [F.col(id_col).eqNullSafe(F.col(names[0]))]
+    own += [h == F.col(name) for h, name in zip(hashes, names[1:])]
+    left = docs.join(keys, own).drop(*names)
+    # Only rows equal throughout share a key: the texts need to meet only if there are any.
+    if prints.join(chosen, "row").count() == chosen.count():
+        return left
+    return left.distinct()
+
+
 def linked_fingerprints(nodes: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:
     """(fingerprint, root) of every distinct ``fingerprint``: root is the same for two
     fingerprints if links lead from one to the other.

@@ -62,6 +62,22 @@ def test_one_document_of_each_group_stays(stages):
     assert sorted(map(repr, set(roots.values()))) == sorted(repr(r["doc_id"]) for r in after)
 
 
+def test_ids_do_not_decide_what_near_dedup_keeps(spark):
+    """Rows without an id, and of a shared one, stay or go by their own group."""
+    def text(seed, last="end"):
+        return " ".join(f"w{seed}x{j}" for j in range(300)) + " " + last
+
+    rows = [(None, text(1), None, "s", 1), (None, text(2), "s", None, 1), (None, text(3), "en", "s", 1)]
+    rows += [(7, text(4), "en", "s", 1), (7, text(5), "en", "s", 1)]
+    rows += [(3, text(6), "en", "s", 1), (9, text(6), "en", "s", 1), (9, text(7), "en", "s", 1)]
+    rows += [(None, text(7, "fin"), "en", "s", 1), (None, text(6), "en", "s", 1)]
+    rows += [(11, text(8), "en", "s", 1)] * 3 + [(12, text(9), "en", "a", 1), (12, text(9), "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = corpus_pipeline.simhash_dedup(spark, docs.repartition(3), SF).collect()
+    wanted = [rows[i][:2] for i in (0, 1, 2, 3, 4, 5, 7, 10, 13)]
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in left))) == sorted(map(repr, wanted))
+
+
 def test_no_string_of_100_bytes_stays_twice_unless_joined(stages):
     before, after, _ = stages["suffix-array dedup"]
     seen = set()
