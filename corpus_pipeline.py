@@ -33,8 +33,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand earlier, exactly or within two edits."""
-    return _with_text(lines.without_repeated_lines(docs.select(*COLUMNS)), "text")
+    """Documents without the lines that stand earlier, exactly or, from 20 characters,
+    within two edits."""
+    left = lines.without_repeated_lines(docs.select(*COLUMNS), short_repeats=True)
+    return _with_text(left, "text")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

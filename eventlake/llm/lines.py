@@ -13,6 +13,8 @@ from eventlake.llm.common import Places, free_name, settle, with_units
 
 #: Times that equal halves are taken off two lines before their characters are compared.
 HALVINGS = 3
+#: Characters that make no word.
+SPACES = " \t\x0b\x0c\r"
 
 
 def without_repeated_lines(
@@ -21,30 +23,33 @@ def without_repeated_lines(
     least_chars: int = 20,
     id_col: str = "doc_id",
     text_col: str = "text",
+    short_repeats: bool = False,
 ) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text_col``, and the columns
     n_lines, n_removed and n_links added.
 
     Lines are the \\n-separated parts of a text; those of fewer than ``least_chars``
-    characters always stay. Of the others a line goes if an equal line, or another within
-    ``max_edits`` insertions, deletions or substitutions, stands earlier: in a document of
-    smaller id, or further up. n_links counts, over the lines of a document, the different
-    texts within ``max_edits`` of the line's. A null text stays null and has no lines; an
-    empty text is one short line. Rows that repeat id and text are one document, and lose
-    the same lines.
+    characters have no links, and stay. With ``short_repeats`` they too go, if they have
+    a word and an equal line stands earlier. Of the others a line goes if an equal line,
+    or another within ``max_edits`` insertions, deletions or substitutions, stands
+    earlier: in a document of smaller id, or further up. n_links counts, over the lines of
+    a document, the different texts within ``max_edits`` of the line's. A null text stays
+    null and has no lines; an empty text is one line without a word. Rows that repeat id
+    and text are one document, and lose the same lines.
     """
     unit = free_name(docs, "unit")
     numbered = with_units(docs, unit, id_col, text_col)
     texts = numbered.select(F.col(unit).alias("unit"), F.col(text_col).alias("text"))
     places = Places.of(texts, "unit")
-    lines = _lines(texts, places, least_chars)
+    lines = _lines(texts, places, least_chars, short_repeats)
     distinct = settle(
         lines.groupBy("line", "chars").agg(
             F.min("place").alias("first"), F.count(F.lit(1)).alias("n")
         ),
         "lines",
     )
-    links = settle(linked_lines(distinct, max_edits, least_chars), "line-links")
+    long_ones = distinct.filter(F.col("chars") >= least_chars)
+    links = settle(linked_lines(long_ones, max_edits, least_chars), "line-links")
     verdicts = _verdicts(distinct, links)
     hashed = lines.select("unit", "at", "place", *_hashes())
     found = hashed.join(verdicts, ["h1", "h2"]).distinct()
@@ -76,11 +81,15 @@ def without_repeated_lines(
     ).drop(unit, key, *{removed, n_links} - {"n_links"})
 
 
-def _lines(texts: DataFrame, places: Places, least_chars: int) -> DataFrame:
+def _lines(
+    texts: DataFrame, places: Places, least_chars: int, short_repeats: bool
+) -> DataFrame:
     """(unit, at, place, line, chars) of the lines that may go."""
     parts = texts.select("unit", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    long_ones = parts.withColumn("chars", F.length("line")).filter(F.col("chars") >= least_chars)
-    return long_ones.select(
+    may_go = F.col("chars") >= least_chars
+    if short_repeats:
+        may_go |= F.length(F.translate("line", SPACES, "")) > 0
+    return parts.withColumn("chars", F.length("line")).filter(may_go).select(
         "unit", "at", places.at(F.col("unit"), F.col("at")).alias("place"), "line", "chars"
     )
 

@@ -47,7 +47,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deduped = lines.without_repeated_lines(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    deduped = lines.without_repeated_lines(docs, short_repeats=True)
     digest = F.sha2("text", 256).alias("kept_sha256")
     return deduped.select("doc_id", "n_lines", "n_removed", "n_links", digest)
 

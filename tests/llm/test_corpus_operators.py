@@ -205,6 +205,30 @@ def test_line_links_are_counted(spark):
     assert [found[i]["text"] for i in (1, 2, 3)] == ["abcdefghij", "", "short"]
 
 
+def test_short_lines_go_where_they_repeat(spark):
+    rows = [(1, "Home\n\n  \n}\nHome"), (2, "Home\nHone\n\n  \n}"), (3, "\tHome\nHome \nnew\nHone")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in lines.without_repeated_lines(docs, short_repeats=True).collect()}
+    wanted = ["Home\n\n  \n}", "Hone\n\n  ", "\tHome\nHome \nnew"]
+    assert [found[i]["text"] for i in (1, 2, 3)] == wanted
+    assert [(found[i]["n_removed"], found[i]["n_links"]) for i in (1, 2, 3)] == [(1, 0), (2, 0), (1, 0)]
+
+
+def test_queries_take_short_repeats_out(spark):
+    from eventlake.llm import queries
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    seen, removed = set(), 0
+    for r in sorted(docs, key=lambda r: r["doc_id"]):
+        for line in (r["text"] or "").split("\n"):
+            if len(line) < 20 and line.strip(" \t\x0b\x0c\r"):
+                removed += line in seen
+                seen.add(line)
+    default = lines.without_repeated_lines(spark.read.parquet(f"{SF}/documents.parquet"))
+    more = queries.op3_lines(spark, SF).agg(F.sum("n_removed")).first()[0]
+    assert removed > 0 and more == default.agg(F.sum("n_removed")).first()[0] + removed
+
+
 def test_lines_of_odd_tables(spark):
     line = "a line that is long enough to go"
     rows = [(1, None, 1, "a"), (2, "", 2, "b"), (3, line, 3, "c"), (3, line, 4, "d")]
