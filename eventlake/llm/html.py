@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Elements that are never main text, and words of class, id or role that say the same.
+#: Elements that are never main text, and words of class, id or role that cast doubt.
 APART = frozenset(
     "head nav header footer aside form button select input dialog menu svg object "
     "script style textarea title noscript iframe template xmp".split()
@@ -51,7 +52,7 @@ TAG = re.compile(
     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(>|\Z)",
     re.S,
 )
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
@@ -59,30 +60,42 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: Paths below this part of the deviation of all blocks' values are left out.
 CUT = 0.5
+#: What each doubtful element on a path leaves of its ratios.
+DOUBT = 0.5
+#: Times that text in MAIN elements counts when it is asked what holds most of a page.
+MAIN_COUNTS = 4
 
 
 @dataclass
 class Block:
     """Text of one block of a page: the path from the root to it, and how much of it is
-    in links. ``apart`` if something on the path is never main text."""
+    in links. ``apart`` if an element on the path is never main text; ``named`` are the
+    numbers of those whose names say so."""
 
     path: tuple[str, ...]
     apart: bool
+    named: tuple[int, ...]
     text: str
     linked: int
 
 
-def _is_apart(tag: str, attributes: str) -> bool:
-    if tag in APART:
-        return True
-    if tag in ("html", "body") or "=" not in attributes:
-        return False
-    words = (
-        part.lower()
-        for _, value in NAMED.findall(attributes)
-        for part in NAME_PARTS.findall(value)
-    )
-    return any(word in APART_WORDS for word in words)
+@lru_cache(maxsize=10_000)
+def _doubt(names: str) -> int:
+    """2 if a whole name in ``names`` is made of words that say "not main text", 1 if some
+    word in it is one of them, otherwise 0."""
+    found = 0
+    for name in names.split():
+        parts = [part.lower() for part in NAME_PARTS.findall(name)]
+        known = [part in APART_WORDS for part in parts]
+        if (known and all(known)) or "".join(parts) in APART_WORDS:
+            return 2
+        found = max(found, int(any(known)))
+    return found
+
+
+def _path_doubt(path: tuple[str, ...]) -> int:
+    """How many elements of a path are in doubt."""
+    return sum(_doubt(label.partition(".")[2]) > 0 for label in path)
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -93,17 +106,19 @@ def blocks_of(page: str | None) -> list[Block]:
     space in it.
     """
     page = page or ""
-    stack: list[tuple[str, str, bool]] = [("", "", False)]
+    stack: list[tuple[str, str, int]] = [("", "", 0)]
     found: list[Block] = []
     pieces: list[str] = []
-    linked = at = 0
+    linked = at = opened = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
             path = tuple(label for _, label, _ in stack[1:] if label)
-            found.append(Block(path, any(frame[2] for frame in stack), text, linked))
+            apart = any(frame[0] in APART for frame in stack)
+            named = tuple(frame[2] for frame in stack if frame[2])
+            found.append(Block(path, apart, named, text, linked))
         pieces.clear()
         linked = 0
 
@@ -167,11 +182,13 @@ def blocks_of(page: str | None) -> list[Block]:
                 if stack[depth][0] in within:
                     break
             flush()
-        label = ""
-        if tag not in INLINE:
+        label = names = ""
+        if "=" in attributes and tag not in ("html", "body"):
             names = " ".join(value.strip("\"'") for _, value in NAMED.findall(attributes))
+        if tag not in INLINE:
             label = f"{tag}.{names}" if names else tag
-        stack.append((tag, label, _is_apart(tag, attributes)))
+        opened += 1
+        stack.append((tag, label, opened if _doubt(names) == 2 else 0))
     flush()
     return found
 
@@ -185,19 +202,33 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
     below the threshold, a part of the deviation, are left out, as are paths whose text
     is mostly links. The element that holds
     most of what is left gives back its other blocks: headings and short paragraphs.
+
+    Names weigh, but do not decide over most of a page. An element whose name says that it
+    is no main text is left out unless it holds more than half of the text outside links;
+    a word of that kind on the path halves the fused ratio. Text in ``article`` and
+    ``main`` counts four times, and is all there is only if that makes it half.
     """
     open_blocks = [b for b in blocks if not b.apart]
-    if any(MAIN & {part.split(".")[0] for part in b.path} for b in open_blocks):
-        open_blocks = [b for b in open_blocks if MAIN & {part.split(".")[0] for part in b.path}]
+    held_by: dict[int, int] = defaultdict(int)
+    for b in open_blocks:
+        for number in b.named:
+            held_by[number] += _counted(b)
+    most = sum(map(_counted, open_blocks)) / 2
+    open_blocks = [b for b in open_blocks if all(held_by[n] > most for n in b.named)]
+    inner = [b for b in open_blocks if _in_main(b)]
+    if inner and 2 * sum(map(_counted, inner)) >= sum(map(_counted, open_blocks)):
+        open_blocks = inner
     if not open_blocks:
         return []
     totals: dict[tuple, np.ndarray] = defaultdict(lambda: np.zeros(4))
     for b in open_blocks:
         marks = len(PUNCTUATION.findall(b.text))
-        totals[b.path] += [1, max(len(b.text) - b.linked, 0), marks, len(b.text)]
+        totals[b.path] += [1, _plain(b), marks, len(b.text)]
     ratios = np.array([totals[b.path][1:3] / totals[b.path][0] for b in open_blocks])
     smooth = np.column_stack([_smoothed(ratios[:, 0]), _smoothed(ratios[:, 1])])
-    fused = smooth[:, 0] * (1.0 + smooth[:, 1])
+    doubts = {path: _path_doubt(path) for path in totals}
+    trust = np.array([DOUBT ** doubts[b.path] for b in open_blocks])
+    fused = smooth[:, 0] * (1.0 + smooth[:, 1]) * trust
     by_path: dict[tuple, list[float]] = defaultdict(list)
     for b, value in zip(open_blocks, fused):
         by_path[b.path].append(value)
@@ -214,11 +245,29 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
         held[path[:-1]] += totals[path][1]
     home = max(held, key=lambda path: (held[path], path))
     inside = len(home) > 0 and home[-1].split(".")[0] not in ("html", "body")
+    at_home = _path_doubt(home)
     return [
-        b for b in open_blocks if b.path in chosen or (inside and b.path[: len(home)] == home)
+        b
+        for b in open_blocks
+        if b.path in chosen
+        or (inside and b.path[: len(home)] == home and doubts[b.path] == at_home)
     ]
 
 
+def _plain(block: Block) -> int:
+    """Characters outside links."""
+    return max(len(block.text) - block.linked, 0)
+
+
+def _in_main(block: Block) -> bool:
+    return any(label.partition(".")[0] in MAIN for label in block.path)
+
+
+def _counted(block: Block) -> int:
+    """Its characters outside links, by what they count for."""
+    return _plain(block) * (MAIN_COUNTS if _in_main(block) else 1)
+
+
 def _smoothed(values: np.ndarray) -> np.ndarray:
     """Weighted means of each value and its neighbours."""
     side = len(KERNEL) // 2

@@ -282,6 +282,35 @@ def test_main_text(article):
     assert html.main_text(page) == TEXT
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<div class="content has-sidebar">',
+        '<article class="post social">',
+        '<main id="search-guide">',
+        '<section class="related-work">',
+        '<div data-id="comments">',
+        '<div class="post-body">',
+    ],
+)
+def test_names_do_not_decide_over_most_of_a_page(opening):
+    closing = f"</{opening[1:].split()[0]}>"
+    teaser = "<article><p>A teaser.</p></article>" if "post-body" in opening else ""
+    body = BODY + "".join(f"<p>Paragraph {i}, with a mark, is long enough.</p>" for i in range(9))
+    found = html.main_text(PAGE.format(article=opening + body + closing + teaser))
+    assert found.startswith(TEXT) and all(f"Paragraph {i}," in found for i in range(9))
+    assert not any(word in found for word in ("cookies", "First!", "Most read", "Sign up"))
+
+
+def test_two_sections_with_odd_names_stay():
+    parts = "".join(
+        f"<section class='{name}'>" + "".join(f"<p>{name} {i}, some words, and more.</p>" for i in range(5)) + "</section>"
+        for name in ("related-work", "search-guide", "share-prices")
+    )
+    found = html.main_text(f"<body>{parts}<div class='share'>Tell your friends.</div></body>")
+    assert found.count("some words") == 15 and "friends" not in found
+
+
 def test_main_text_without_semantic_elements():
     story = "".join(f"<p>Sentence {i}, which is long enough, and ends here.</p>" for i in range(9))
     page = f"<body><div id=x><a href=1>a</a> <a href=2>b</a></div><div id=y>{story}<p>End.</p></div>"
