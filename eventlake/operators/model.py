@@ -6,6 +6,7 @@ import math
 import warnings
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from fractions import Fraction
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from eventlake import schemas
 from eventlake.errors import SingleClassError
-from eventlake.session import scratch_dir
+from eventlake.operators import quantiles
+from eventlake.session import checkpointed, scratch_dir
 
 LABEL = schemas.LABEL_COLUMN
 HASH_DIGITS = 8  # hexadecimal digits of the hash that places a user in the split
@@ -67,19 +69,30 @@ def hash_place(user: Column, seed: int = 42) -> Column:
 
 
 def is_test(features: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> Column:
-    """Whether a user belongs to the test set: ``test_fraction`` of each label, those of
-    the smallest hashes. The cut of each of the two labels is a quantile of its hashes,
-    exact up to 10,000 users and to one in 10,000 beyond; it takes one aggregate."""
+    """Whether a user belongs to the test set: ``test_fraction`` of each label, rounded
+    up, those of the smallest hashes. The cut of each of the two labels is the hash at that
+    rank, exact at every size; of users that share it, the smallest ids make up the number."""
     place = hash_place(F.col("user_id"), seed)
-    cuts = (
-        features.groupBy(F.col(LABEL).alias("label"))
-        .agg(F.percentile_approx(place, test_fraction, 10_000).alias("cut"))
-        .filter("label IN (0, 1)")
-        .collect()
+    placed = checkpointed(
+        features.filter(F.col(LABEL).isin(0, 1)).select(
+            F.col(LABEL).alias("label"), "user_id", place.alias("place")
+        )
     )
+    counts = placed.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
     test = F.lit(False)
-    for row in cuts:
-        test |= (F.col(LABEL) == row.label) & (place <= row.cut)
+    for label, n in sorted(counts):
+        # Fractions are meant as they are written: a fifth of 5 is 1, not a little more.
+        wanted = math.ceil(Fraction(str(test_fraction)) * n)
+        if wanted == 0:
+            continue
+        own = placed.filter(F.col("label") == label)
+        cut = int(quantiles.value_at_rank(own.select("place"), "place", wanted - 1, n))
+        below = own.filter(F.col("place") < cut).count()
+        at_cut = own.filter(F.col("place") == cut).orderBy("user_id").limit(wanted - below)
+        inside = place < cut
+        for row in at_cut.select("user_id").collect():
+            inside |= F.col("user_id").eqNullSafe(F.lit(row.user_id))
+        test |= (F.col(LABEL) == label) & inside
     return test
 
 

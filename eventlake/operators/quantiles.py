@@ -94,6 +94,12 @@ def exact_quantiles(
     return result
 
 
+def value_at_rank(df: DataFrame, column: str, rank: int, count: int) -> float:
+    """The value at ``rank``, from 0, of a column of ``count`` values, none of them NULL."""
+    ranges = {column: ColumnRange(count)}
+    return _values_at(df, [column], ranges, {(column, rank)})[column, rank]
+
+
 def _ranks(count: int, probability: float) -> tuple:
     if count == 0:
         return ()

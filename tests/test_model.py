@@ -86,6 +86,26 @@ def test_split_is_stable_and_near_its_fraction(spark, features):
     assert abs(share - 0.2) < 0.01
 
 
+def test_split_is_exact_beyond_the_sketch(spark):
+    """So many users that a sketch of 10,000 is not exact, and hashes that several share."""
+    users = spark.range(200_000).selectExpr("id AS user_id", "int(id % 4 = 0) AS is_purchaser")
+    placed = users.withColumn("place", model.hash_place(F.col("user_id"))).toPandas()
+    wanted = set()
+    for _, own in placed.groupby("is_purchaser"):
+        wanted |= set(own.sort_values(["place", "user_id"]).user_id[: -(-len(own) // 5)])
+    for table in (users, users.repartition(13)):
+        train, test = model.split(table)
+        assert {r.user_id for r in test.collect()} == wanted
+        assert train.count() == 200_000 - len(wanted)
+
+
+def test_users_of_one_hash_are_told_apart(spark, monkeypatch):
+    users = spark.range(60).selectExpr("id AS user_id", "int(id % 2) AS is_purchaser")
+    monkeypatch.setattr(model, "hash_place", lambda user, seed=42: F.pmod(user, F.lit(4)).cast("bigint"))
+    test = {r.user_id for r in model.split(users)[1].collect()}
+    assert test == {0, 4, 8, 12, 16, 20} | {1, 5, 9, 13, 17, 21}
+
+
 def test_cleaning_of_inputs(spark):
     data = spark.createDataFrame(
         [(1, math.nan, math.inf, None, 1), (2, -math.inf, 2.0, 3.0, 0)],
