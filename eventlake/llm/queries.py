@@ -18,10 +18,12 @@ from eventlake.llm import (
     rules,
     simhash,
     suffixes,
+    tokenfile,
     toxicity,
 )
 from eventlake.llm.common import ship_package
 from eventlake.llm.labelled import held_out
+from eventlake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +95,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op12_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    folder = scratch_dir(spark, "token-files")
+    tokenfile.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    read = tokenfile.documents(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -104,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op12_tokenfile": op12_tokenfile,
 }
 
 #: Bytes are compared as their two hexadecimal digits.
