@@ -14,12 +14,14 @@ from eventlake.llm import (
     lines,
     minhash,
     packing,
+    phrases,
     quality,
     rules,
     simhash,
     suffixes,
     tokenfile,
     toxicity,
+    trie,
 )
 from eventlake.llm.common import ship_package
 from eventlake.llm.labelled import held_out
@@ -95,6 +97,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     folder = scratch_dir(spark, "token-files")
@@ -103,6 +109,10 @@ def op12_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -114,7 +124,9 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_phrases": op11_phrases,
     "op12_tokenfile": op12_tokenfile,
+    "op13_trie": op13_trie,
 }
 
 #: Bytes are compared as their two hexadecimal digits.
@@ -153,4 +165,9 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
 FROM docs JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_rules": rules.ORACLE_SQL, "op7_suffixes": SUFFIXES_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_rules": rules.ORACLE_SQL,
+    "op7_suffixes": SUFFIXES_SQL,
+    "op11_phrases": phrases.ORACLE_SQL,
+    "op13_trie": trie.ORACLE_SQL,
+}
