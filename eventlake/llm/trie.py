@@ -82,7 +82,7 @@ def rebuilt(
     )
 
 
-def prefix_nodes(conversations: DataFrame, container_turns: int = 200_000) -> DataFrame:
+def prefix_nodes(conversations: DataFrame, container_turns: int = 20_000) -> DataFrame:
     """A row per node of the trie of ``conversations`` (conv_id, turns, sizes), as
     :func:`rebuilt` gives them: conv_id, its smallest member; depth; parent_conv_id, null for the
     root; n_convs; n_children; n_leaves, childless nodes below it, itself included; saved_tokens, over
