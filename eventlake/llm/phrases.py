@@ -4,16 +4,17 @@ A phrase can only be frequent if its two parts of one word less are. A sample of
 proposes phrases; one pass over all texts counts these and their negative border, which is every
 phrase whose parts are proposed. A phrase of the border that turns out frequent was missed by the
 sample, and so may be longer ones built on it: further passes count those until none is
-left to open. Counts are exact, of the phrases themselves.
+left to open.
 
-Which phrases are proposed is kept in a bit array of fixed size. A bit that is set by chance
-has a phrase counted in vain, and changes no result.
+Until then a phrase is its 64-bit hash, and which hashes are proposed is kept in a bit array of
+fixed size. Hashes or bits that fall together have phrases counted in vain, and lose none: a
+last pass counts the phrases that are left by their words, exactly.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Words of the longest phrase.
 LONGEST = 4
 #: Bytes of text worked on at once: few enough for three word numbers to fit in 63 bits.
-WINDOW = 3 << 20
+WINDOW = 1 << 20
+#: Phrases gathered before equal ones are put together and given out.
+GATHERED = 1 << 21
 #: Bits of the array of proposed phrases, as a power of two, and of the parts it is built in.
 FILTER_BITS, PART_BITS = 27, 15
 #: Groups that a language's phrases are ranked in first.
@@ -41,51 +44,44 @@ KIND[list(ENDS)] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[list(string.ascii_uppercase.encode())] = list(string.ascii_lowercase.encode())
 
+#: Random odd factors of a byte and of its place in a word.
+OF_BYTE, OF_PLACE = np.random.default_rng(11).integers(0, 1 << 63, (2, 256), np.uint64) * 2 + 1
 
-class Words:
-    """The words of a window of text: their numbers, and the phrases that end in them.
 
-    The last words of the window before come first; phrases that end in those have been seen.
-    """
+def mix(hashes: np.ndarray) -> np.ndarray:
+    """Spread every bit over the whole number."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        hashes = (hashes ^ hashes >> np.uint64(shift)) * np.uint64(factor)
+    return hashes ^ hashes >> np.uint64(31)
+
 
-    def __init__(self, lang: str, raw: np.ndarray, before: Words | None):
+class Words:
+    """The words of a window of text, and the phrases that end in them. Phrases that end in
+    the first ``seen`` words belong to the window before."""
+
+    def __init__(self, lang: str, raw: np.ndarray, seen: int):
         kind = KIND[raw]
-        is_word = np.concatenate([[False], kind == 0, [False]])
+        is_word = np.zeros(len(raw) + 2, bool)
+        is_word[1:-1] = kind == 0
         edges = np.flatnonzero(is_word[1:] != is_word[:-1])
-        starts, sizes = edges[::2], edges[1::2] - edges[::2]
-        piece = np.cumsum(kind == 2)
-        data = LOWER[raw[is_word[1:-1]]].tobytes()
-        self.ended = (int(piece[-1]) if len(raw) else 0) + (before.ended if before else 0)
-        pieces = piece[starts] + (before.ended if before else 0)
-        self.seen = 0
-        if before:
-            last = before.words.take(before.numbers[1 - LONGEST :]).to_pylist()
-            last = [word.encode() for word in last]
-            self.seen = len(last)
-            data = b"".join([*last, data])
-            sizes = np.concatenate([np.array([len(w) for w in last], np.int64), sizes])
-            pieces = np.concatenate([before.pieces[1 - LONGEST :], pieces])
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        spelt = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))
-        coded = spelt.dictionary_encode()
-        self.numbers = coded.indices.to_numpy().astype(np.int64)
-        self.words, self.pieces = coded.dictionary, pieces
-        hashed = [xxhash.xxh64_intdigest(f"{lang} {w}") for w in self.words.to_pylist()]
-        self.hashes = [np.array(hashed, np.uint64)[self.numbers]]
+        self.starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        self.seen = seen
+        self.pieces = np.cumsum(kind == 2, dtype=np.int32)[self.starts] if len(raw) else self.starts
+        self.data = LOWER[raw[is_word[1:-1]]]
+        self.offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        place = np.arange(len(self.data)) - np.repeat(self.offsets[:-1], sizes)
+        values = OF_BYTE[self.data] * OF_PLACE[place & 255]
+        sums = np.add.reduceat(values, self.offsets[:-1]) if len(sizes) else values
+        seed = np.uint64(xxhash.xxh64_intdigest(lang))
+        self.hashes = [mix(sums + sizes.astype(np.uint64) + seed)]
         for _ in range(1, LONGEST):
-            self.hashes.append(self._longer(self.hashes[-1]))
-
-    def _longer(self, shorter: np.ndarray) -> np.ndarray:
-        """Hashes of the phrases of one word more that end in each word."""
-        mixed = np.zeros_like(shorter)
-        mixed[1:] = shorter[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[0][1:]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        return mixed ^ mixed >> np.uint64(32)
+            longer = np.zeros_like(self.hashes[0])
+            longer[1:] = self.hashes[-1][:-1] * np.uint64(0x9E3779B97F4A7C15)
+            self.hashes.append(mix(longer + self.hashes[0]))
 
     def new(self, k: int) -> np.ndarray:
         """Whether a phrase of ``k`` words, not seen before, ends in each word."""
-        whole = np.arange(len(self.numbers)) >= max(self.seen, k - 1)
+        whole = np.arange(len(self.starts)) >= max(self.seen, k - 1)
         whole[k - 1 :] &= self.pieces[k - 1 :] == self.pieces[: len(self.pieces) - k + 1]
         return whole
 
@@ -97,22 +93,27 @@ class Words:
         both[1:] = shorter[:-1] & shorter[1:]
         return both
 
-    def group(self, k: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the phrases of ``k`` words that end at ``ends``: one end of each, and how many."""
-        n, of = len(self.words), self.numbers
-        key = of[ends]
+    def spelt(self) -> tuple[np.ndarray, pa.Array]:
+        """The words as numbers, and the words that these stand for."""
+        buffers = [None, pa.py_buffer(self.offsets), pa.py_buffer(self.data)]
+        coded = pa.Array.from_buffers(pa.string(), len(self.starts), buffers).dictionary_encode()
+        return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+    def counted(self, k: int, wanted: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The phrases of ``k`` words that end where ``wanted``, each once, and their counts."""
+        numbers, words = self.spelt()
+        ends = np.flatnonzero(wanted)
+        key, n = numbers[ends], len(words)
         if k == LONGEST:
-            first = (of[ends - 3] * n + of[ends - 2]) * n + of[ends - 1]
+            first = (numbers[ends - 3] * n + numbers[ends - 2]) * n + numbers[ends - 1]
             key = np.unique(first, return_inverse=True)[1] * n + key
         else:
             for back in range(1, k):
-                key = key + of[ends - back] * n**back
+                key = key + numbers[ends - back] * n**back
         _, at, count = np.unique(key, return_index=True, return_counts=True)
-        return ends[at], count
-
-    def spell(self, k: int, ends: np.ndarray) -> pa.Array:
-        each = [self.words.take(pa.array(self.numbers[ends - back])) for back in range(k - 1, -1, -1)]
-        return pc.binary_join_element_wise(*each, " ") if k > 1 else each[0]
+        ends = ends[at]
+        each = [words.take(pa.array(numbers[ends - back])) for back in range(k - 1, -1, -1)]
+        return pc.binary_join_element_wise(*each, " ") if k > 1 else each[0], count
 
 
 def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -124,77 +125,128 @@ def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def windows(batch: pa.RecordBatch) -> Iterator[tuple[str, Words]]:
-    """The words of a batch of (lang, text), by language, in bounded parts. Parts end between
-    words, or where a single word is longer, behind it."""
+    """The words of a batch of (lang, text), by language. Short texts come together, a long one
+    in several windows."""
     for lang in pc.unique(batch.column(0)).to_pylist():
-        texts = batch.filter(pc.equal(batch.column(0), lang)).column(1).cast(pa.binary())
-        raw = np.frombuffer(b"\n".join(texts.drop_null().to_pylist()), np.uint8)
-        before, at = None, 0
-        while at < len(raw):
-            end = min(at + WINDOW, len(raw))
-            if end < len(raw):
-                gaps = np.flatnonzero(KIND[raw[at:end]])
-                if len(gaps):
-                    end = at + int(gaps[-1]) + 1
-                else:
-                    while end < len(raw) and not KIND[raw[end]]:
-                        end += 1
-            before = Words(lang, raw[at:end], before)
-            yield lang, before
-            at = end
+        texts = batch.filter(pc.equal(batch.column(0), lang)).column(1).drop_null()
+        held, size = [], 0
+        for text in texts:
+            raw = np.frombuffer(text.as_buffer(), np.uint8) if text.as_buffer().size else None
+            if raw is None:
+                continue
+            if size + len(raw) > WINDOW and held:
+                yield lang, Words(lang, np.concatenate(held), 0)
+                held, size = [], 0
+            if len(raw) > WINDOW:
+                yield from ((lang, words) for words in _long_text(lang, raw))
+            else:
+                held += [raw, np.frombuffer(b"\n", np.uint8)]
+                size += len(raw) + 1
+        if held:
+            yield lang, Words(lang, np.concatenate(held), 0)
+
+
+def _long_text(lang: str, raw: np.ndarray) -> Iterator[Words]:
+    """Windows of a text end between words, or behind a word that is longer. Each but the first
+    begins with the last words of the one before."""
+    start = at = seen = 0
+    while at < len(raw):
+        end = min(at + WINDOW, len(raw))
+        gaps = np.flatnonzero(KIND[raw[at:end]]) if end < len(raw) else []
+        if len(gaps):
+            end = at + int(gaps[-1]) + 1
+        while end < len(raw) and not len(gaps):
+            gaps = np.flatnonzero(KIND[raw[end : end + WINDOW]])
+            end = end + int(gaps[0]) + 1 if len(gaps) else min(end + WINDOW, len(raw))
+        words = Words(lang, raw[start:end], seen)
+        yield words
+        seen = min(len(words.starts), LONGEST - 1)
+        start, at = start + int(words.starts[-seen]) if seen else end, end
+
+
+def _hashes(texts: DataFrame, wanted: Callable[[Words, int], np.ndarray | None], most: int) -> DataFrame:
+    """(hash, long, f) of the phrases of up to ``most`` words that are ``wanted``; ``long`` are
+    those that cannot be part of another."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[np.ndarray]] = {False: [], True: []}
 
-def sampled(texts: DataFrame) -> DataFrame:
-    """(hash, n) of the phrases of ``texts`` that can be parts of others."""
+        def give(is_long: bool) -> pa.RecordBatch:
+            hashes, count = np.unique(np.concatenate(held[is_long]), return_counts=True)
+            held[is_long] = []
+            arrays = [hashes.view(np.int64), np.full(len(hashes), is_long), count]
+            return pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["hash", "long", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words in windows(batch):
-                ends = [words.hashes[k - 1][words.new(k)] for k in range(1, LONGEST)]
-                hashes, count = np.unique(np.concatenate(ends), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(count)], names=["hash", "n"]
-                )
+                for k in range(1, most + 1):
+                    chosen = wanted(words, k)
+                    if chosen is not None:
+                        held[k == LONGEST].append(words.hashes[k - 1][chosen])
+                for is_long, some in held.items():
+                    if sum(map(len, some)) >= GATHERED:
+                        yield give(is_long)
+        for is_long, some in held.items():
+            if some:
+                yield give(is_long)
 
-    found = texts.mapInArrow(run, "hash bigint, n bigint")
-    return found.groupBy("hash").agg(F.sum("n").alias("n"))
+    found = texts.mapInArrow(run, "hash bigint, long boolean, n bigint")
+    return found.groupBy("hash", "long").agg(F.sum("n").alias("f"))
 
 
-def counted(texts: DataFrame, proposed: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
-    """(lang, phrase, k, hash, known, f) of the phrases whose parts are proposed, if not all
-    were ``before``; without ``before`` also of all words, and of all words together
-    as phrase ''. ``known`` are those proposed themselves."""
+def sampled(texts: DataFrame) -> DataFrame:
+    """(hash, long, f) of the phrases of ``texts`` that can be parts of others."""
+    return _hashes(texts, lambda words, k: words.new(k), LONGEST - 1)
+
+
+def bordered(texts: DataFrame, proposed: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
+    """(hash, long, f) of the phrases whose parts are proposed, if not all were ``before``;
+    without ``before`` also of all words."""
     context = texts.sparkSession.sparkContext
     now, then = context.broadcast(proposed), context.broadcast(before)
 
+    def wanted(words: Words, k: int) -> np.ndarray | None:
+        if k == 1:
+            return words.new(1) if then.value is None else None
+        chosen = words.new(k) & words.parts(k, now.value)
+        if then.value is not None:
+            chosen &= ~words.parts(k, then.value)
+        return chosen
+
+    return _hashes(texts, wanted, LONGEST)
+
+
+def spelt(texts: DataFrame, chosen: np.ndarray) -> DataFrame:
+    """(lang, phrase, k, f) of the phrases whose hashes are ``chosen``, and of all words of a
+    language together as phrase '' with k 0."""
+    bits = texts.sparkSession.sparkContext.broadcast(chosen)
+    names = ["lang", "phrase", "k"]
+
+    def rows(lang: str, k: int, phrase: pa.Array, count) -> pa.Table:
+        n = len(phrase)
+        columns = [pa.repeat(pa.scalar(lang, pa.string()), n), phrase, pa.repeat(k, n)]
+        return pa.table([*columns, pa.array(count, pa.int64())], names=[*names, "n"])
+
+    def together(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        grouped = pa.concat_tables(held).group_by(names).aggregate([("n", "sum")])
+        yield from grouped.rename_columns([*names, "n"]).to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held: list[pa.Table] = []
             for lang, words in windows(batch):
+                held.append(rows(lang, 0, pa.array([""]), [int(words.new(1).sum())]))
                 for k in range(1, LONGEST + 1):
-                    wanted = words.new(k)
-                    if then.value is None and k == 1:
-                        yield rows(lang, pa.array([""]), 0, [0], [True], [int(wanted.sum())])
-                    elif k == 1:
-                        continue
-                    else:
-                        wanted &= words.parts(k, now.value)
-                        if then.value is not None:
-                            wanted &= ~words.parts(k, then.value)
-                    ends, count = words.group(k, np.flatnonzero(wanted))
-                    hashes = words.hashes[k - 1][ends]
-                    known = is_set(now.value, hashes) if k < LONGEST else np.ones(len(ends), bool)
-                    yield rows(lang, words.spell(k, ends), k, hashes.view(np.int64), known, count)
-
-    def rows(lang: str, phrase: pa.Array, k: int, *figures) -> pa.RecordBatch:
-        n = len(phrase)
-        same = [pa.repeat(pa.scalar(lang, pa.string()), n), phrase, pa.repeat(pa.scalar(k), n)]
-        kinds = [pa.int64(), pa.bool_(), pa.int64()]
-        arrays = [*same, *(pa.array(f, kind) for f, kind in zip(figures, kinds))]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "k", "hash", "known", "n"])
+                    wanted = words.new(k) & is_set(bits.value, words.hashes[k - 1])
+                    held.append(rows(lang, k, *words.counted(k, wanted)))
+                if sum(table.num_rows for table in held) >= GATHERED:
+                    yield from together(held)
+                    held = []
+            if held:
+                yield from together(held)
 
-    schema = "lang string, phrase string, k bigint, hash bigint, known boolean, n bigint"
-    found = texts.mapInArrow(run, schema)
-    return found.groupBy("lang", "phrase", "k", "hash", "known").agg(F.sum("n").alias("f"))
+    found = texts.mapInArrow(run, "lang string, phrase string, k bigint, n bigint")
+    return found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
 
 
 def proposals(hashes: DataFrame) -> np.ndarray:
@@ -210,7 +262,7 @@ def proposals(hashes: DataFrame) -> np.ndarray:
     )
     bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
     size = 1 << PART_BITS - 3
-    for part, some in parts.toLocalIterator():
+    for part, some in parts.collect():
         bits[part * size : (part + 1) * size] = np.frombuffer(some, np.uint8)
     return bits
 
@@ -230,21 +282,22 @@ def frequent(
     phrases at four fifths of the count due there. It decides what is counted first, not what is
     found.
     """
-    text = F.col(text_col)
-    texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text.alias("text"))
-    sample = docs.filter(F.pmod(F.xxhash64(id_col, text_col), F.lit(share)) == 0)
-    sample = sample.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text.alias("text"))
+    lang = F.coalesce(F.col(lang_col), F.lit("und")).alias("lang")
+    texts = docs.select(lang, F.col(text_col).alias("text"))
+    in_sample = F.pmod(F.xxhash64(id_col, text_col), F.lit(share)) == 0
+    sample = docs.filter(in_sample).select(lang, F.col(text_col).alias("text"))
     lowered = max(2, least * 4 // (5 * share))
-    proposed = proposals(sampled(sample).filter(F.col("n") >= lowered))
-    before, found = None, None
+    proposed = proposals(sampled(sample).filter(F.col("f") >= lowered))
+    before, chosen = None, np.zeros_like(proposed)
     while True:
-        enough = (F.col("f") >= least) | (F.col("k") == 0)
-        part = settle(counted(texts, proposed, before).filter(enough), "phrases")
-        found = part if found is None else found.unionByName(part)
-        missed = part.filter(~F.col("known"))
-        if missed.isEmpty():
-            return found.select("lang", "phrase", "k", "f")
-        before, proposed = proposed, proposed | proposals(missed)
+        counts = bordered(texts, proposed, before).filter(F.col("f") >= least)
+        found = settle(counts, "frequent-hashes")
+        chosen |= proposals(found)
+        parts = proposals(found.filter(~F.col("long")))
+        if not (parts & ~proposed).any():
+            break
+        before, proposed = proposed, proposed | parts
+    return spelt(texts, chosen).filter((F.col("f") >= least) | (F.col("k") == 0))
 
 
 def collocations(

@@ -80,11 +80,10 @@ def test_random_texts(spark, least):
 def test_what_the_sample_misses_is_found_by_further_passes(spark, monkeypatch):
     """A sample that proposes nothing leaves everything to the border: a pass for each length."""
     passes = []
-    counted = phrases.counted
-    monkeypatch.setattr(phrases, "counted", lambda *a: passes.append(1) or counted(*a))
-    monkeypatch.setattr(
-        phrases, "sampled", lambda texts: texts.select(F.lit(0).alias("hash"), F.lit(0).alias("n"))
-    )
+    bordered = phrases.bordered
+    monkeypatch.setattr(phrases, "bordered", lambda *a: passes.append(1) or bordered(*a))
+    nothing = [F.lit(0).alias("hash"), F.lit(False).alias("long"), F.lit(0).alias("f")]
+    monkeypatch.setattr(phrases, "sampled", lambda texts: texts.select(*nothing))
     rows = random_rows(7)
     assert result(spark, rows, least=5) == expected(rows, 5)
     assert len(passes) == 4
@@ -113,8 +112,8 @@ def test_windows_see_each_phrase_once(monkeypatch, window):
     for lang, words in phrases.windows(batch):
         counts[lang][""] += int(words.new(1).sum())
         for k in range(1, 5):
-            ends, n = words.group(k, np.flatnonzero(words.new(k)))
-            for phrase, f in zip(words.spell(k, ends).to_pylist(), n.tolist()):
+            found, n = words.counted(k, words.new(k))
+            for phrase, f in zip(found.to_pylist(), n.tolist()):
                 counts[lang][phrase] += f
     assert counts == all_phrases(rows)
 
