@@ -33,11 +33,10 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Elements that are never main text, and words of class, id or role that cast doubt.
-APART = frozenset(
-    "head nav header footer aside form button select input dialog menu svg object "
-    "script style textarea title noscript iframe template xmp".split()
-)
+#: Elements that hold no running text by their definition.
+APART = frozenset("head button select input svg object".split()) | RAW
+#: Elements, and words of class, id or role, that cast doubt on the text in them.
+APART_TAGS = frozenset("nav header footer aside form dialog menu".split())
 APART_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
     "comments commentlist consent cookie cookies copyright disqus foot footer form gdpr head "
@@ -60,21 +59,19 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: Paths below this part of the deviation of all blocks' values are left out.
 CUT = 0.5
-#: What each doubtful element on a path leaves of its ratios.
-DOUBT = 0.5
-#: Times that text in MAIN elements counts when it is asked what holds most of a page.
+#: What an element leaves of the ratios of a path through it: if its tag or a whole name of it says
+#: that it is no main text, and if a word in a longer name does.
+DOUBT, SOME_DOUBT = 0.02, 0.5
+#: What MAIN elements add to them.
 MAIN_COUNTS = 4
 
 
 @dataclass
 class Block:
     """Text of one block of a page: the path from the root to it, and how much of it is
-    in links. ``apart`` if an element on the path is never main text; ``named`` are the
-    numbers of those whose names say so."""
+    in links."""
 
     path: tuple[str, ...]
-    apart: bool
-    named: tuple[int, ...]
     text: str
     linked: int
 
@@ -93,9 +90,19 @@ def _doubt(names: str) -> int:
     return found
 
 
-def _path_doubt(path: tuple[str, ...]) -> int:
-    """How many elements of a path are in doubt."""
-    return sum(_doubt(label.partition(".")[2]) > 0 for label in path)
+def _weight(path: tuple[str, ...]) -> float:
+    """What the tags and names on a path make of its ratios."""
+    weight, main = 1.0, 1
+    for label in path:
+        tag, _, names = label.partition(".")
+        doubt = _doubt(names)
+        if doubt == 2 or tag in APART_TAGS:
+            weight *= DOUBT
+        elif doubt:
+            weight *= SOME_DOUBT
+        if tag in MAIN:
+            main = MAIN_COUNTS
+    return weight * main
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -106,19 +113,17 @@ def blocks_of(page: str | None) -> list[Block]:
     space in it.
     """
     page = page or ""
-    stack: list[tuple[str, str, int]] = [("", "", 0)]
+    stack: list[tuple[str, str]] = [("", "")]
     found: list[Block] = []
     pieces: list[str] = []
-    linked = at = opened = 0
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
-        if text:
-            path = tuple(label for _, label, _ in stack[1:] if label)
-            apart = any(frame[0] in APART for frame in stack)
-            named = tuple(frame[2] for frame in stack if frame[2])
-            found.append(Block(path, apart, named, text, linked))
+        if text and not any(tag in APART for tag, _ in stack):
+            path = tuple(label for _, label in stack[1:] if label)
+            found.append(Block(path, text, linked))
         pieces.clear()
         linked = 0
 
@@ -187,8 +192,7 @@ def blocks_of(page: str | None) -> list[Block]:
             names = " ".join(value.strip("\"'") for _, value in NAMED.findall(attributes))
         if tag not in INLINE:
             label = f"{tag}.{names}" if names else tag
-        opened += 1
-        stack.append((tag, label, opened if _doubt(names) == 2 else 0))
+        stack.append((tag, label))
     flush()
     return found
 
@@ -200,37 +204,25 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
     punctuation ratio (marks per block). Each block takes its path's ratios; these are
     smoothed over the blocks in page order and fused, and paths whose blocks' mean lies
     below the threshold, a part of the deviation, are left out, as are paths whose text
-    is mostly links. The element that holds
-    most of what is left gives back its other blocks: headings and short paragraphs.
+    is mostly links. The element that holds most of what is left gives back its other
+    blocks: headings and short paragraphs.
 
-    Names weigh, but do not decide over most of a page. An element whose name says that it
-    is no main text is left out unless it holds more than half of the text outside links;
-    a word of that kind on the path halves the fused ratio. Text in ``article`` and
-    ``main`` counts four times, and is all there is only if that makes it half.
+    Tags and names only weigh: an element that says it is no main text leaves a fiftieth of the
+    fused ratio of paths through it, such a word in a longer name a half, and ``article`` and
+    ``main`` count four times. Where all of a page is in doubt, all weighs the same.
     """
-    open_blocks = [b for b in blocks if not b.apart]
-    held_by: dict[int, int] = defaultdict(int)
-    for b in open_blocks:
-        for number in b.named:
-            held_by[number] += _counted(b)
-    most = sum(map(_counted, open_blocks)) / 2
-    open_blocks = [b for b in open_blocks if all(held_by[n] > most for n in b.named)]
-    inner = [b for b in open_blocks if _in_main(b)]
-    if inner and 2 * sum(map(_counted, inner)) >= sum(map(_counted, open_blocks)):
-        open_blocks = inner
-    if not open_blocks:
+    if not blocks:
         return []
     totals: dict[tuple, np.ndarray] = defaultdict(lambda: np.zeros(4))
-    for b in open_blocks:
+    for b in blocks:
         marks = len(PUNCTUATION.findall(b.text))
         totals[b.path] += [1, _plain(b), marks, len(b.text)]
-    ratios = np.array([totals[b.path][1:3] / totals[b.path][0] for b in open_blocks])
+    ratios = np.array([totals[b.path][1:3] / totals[b.path][0] for b in blocks])
     smooth = np.column_stack([_smoothed(ratios[:, 0]), _smoothed(ratios[:, 1])])
-    doubts = {path: _path_doubt(path) for path in totals}
-    trust = np.array([DOUBT ** doubts[b.path] for b in open_blocks])
-    fused = smooth[:, 0] * (1.0 + smooth[:, 1]) * trust
+    weights = {path: _weight(path) for path in totals}
+    fused = smooth[:, 0] * (1.0 + smooth[:, 1]) * np.array([weights[b.path] for b in blocks])
     by_path: dict[tuple, list[float]] = defaultdict(list)
-    for b, value in zip(open_blocks, fused):
+    for b, value in zip(blocks, fused):
         by_path[b.path].append(value)
     threshold = CUT * fused.std()
     chosen = {
@@ -242,15 +234,14 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
         return []
     held: dict[tuple, float] = defaultdict(float)
     for path in chosen:
-        held[path[:-1]] += totals[path][1]
+        held[path[:-1]] += totals[path][1] * weights[path]
     home = max(held, key=lambda path: (held[path], path))
     inside = len(home) > 0 and home[-1].split(".")[0] not in ("html", "body")
-    at_home = _path_doubt(home)
     return [
         b
-        for b in open_blocks
+        for b in blocks
         if b.path in chosen
-        or (inside and b.path[: len(home)] == home and doubts[b.path] == at_home)
+        or (inside and b.path[: len(home)] == home and weights[b.path] >= _weight(home))
     ]
 
 
@@ -259,15 +250,6 @@ def _plain(block: Block) -> int:
     return max(len(block.text) - block.linked, 0)
 
 
-def _in_main(block: Block) -> bool:
-    return any(label.partition(".")[0] in MAIN for label in block.path)
-
-
-def _counted(block: Block) -> int:
-    """Its characters outside links, by what they count for."""
-    return _plain(block) * (MAIN_COUNTS if _in_main(block) else 1)
-
-
 def _smoothed(values: np.ndarray) -> np.ndarray:
     """Weighted means of each value and its neighbours."""
     side = len(KERNEL) // 2
