@@ -23,12 +23,15 @@ METRICS = {
     "repeat_share": "least(1000 * n_repeat_words div greatest(n_words, 1), 1000)",
     "word_length": "least(100 * word_chars div greatest(n_words, 1), 5000)",
 }
-#: Least distance of a threshold from its quartile; small groups can have none of their own.
-SLACK = {"symbol_share": 50, "dup_line_share": 300, "repeat_share": 250, "word_length": 100}
-#: Threshold: a quartile and this many times the distance of the quartiles.
-REACH = 3
-#: Groups with fewer documents use the merged sketch of their language, or of all.
-LEAST_DOCS = 100
+#: Threshold of what most documents have none of: the quantile that one document in TAIL exceeds,
+#: half as much again, and one bin.
+TAIL = 64
+#: Metrics of which too little is as odd as too much. Their thresholds lie this many times the
+#: distance of the quartiles beyond these, and one bin.
+BOTH_WAYS = ["word_length"]
+REACH = 4
+#: Documents that the level above counts for when a group's thresholds are blended with it.
+PRIOR = 100
 
 #: Levels at which sketches are kept, from the finest.
 LEVELS = (["lang", "source"], ["lang"], [])
@@ -102,55 +105,59 @@ def sketches(counts: DataFrame) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """(lang, source, <metric>_low, <metric>_high) of every group in the sketch."""
-    groups = sketch.select("lang", "source").distinct()
-    found = groups
-    for depth, level in enumerate(LEVELS):
-        limits = _limits(sketch, level).withColumnsRenamed(
-            {f"{m}_{end}": f"{m}_{end}{depth}" for m in METRICS for end in ("low", "high")}
-            | {"docs": f"docs{depth}"}
-            | {c: f"{c}{depth}" for c in level}
-        )
-        same = [F.col(c).eqNullSafe(F.col(f"{c}{depth}")) for c in level]
-        on = reduce(Column.__and__, same) if same else F.lit(True)
-        found = found.join(limits if level else F.broadcast(limits), on, "left").drop(
-            *(f"{c}{depth}" for c in level)
-        )
-    last = len(LEVELS) - 1
+    """(lang, source, <metric>_low, <metric>_high) of every group in the sketch.
 
-    def chosen(column: str) -> Column:
-        value = F.col(f"{column}{last}")
-        for depth in range(last - 1, -1, -1):
-            enough = F.col(f"docs{depth}") >= LEAST_DOCS
-            value = F.when(enough, F.col(f"{column}{depth}")).otherwise(value)
-        return value.alias(column)
+    Each level has fences of its own, the lower levels' sketches being merged. Those of a language
+    are blended with those of all, and those of a group with those of its language, by documents:
+    a small group follows its language, a large one itself, and between them there is no step.
+    """
+    found = sketch.select("lang", "source").distinct().select(
+        "*", F.explode(F.array(*map(F.lit, METRICS))).alias("metric")
+    )
+    low = high = F.lit(None).cast("double")
+    for depth, level in reversed(list(enumerate(LEVELS))):
+        limits = _limits(sketch, level)
+        names = {c: f"{c}{depth}" for c in limits.columns}
+        keys = [*level, "metric"]
+        same = [F.col(c).eqNullSafe(F.col(names[c])) for c in keys]
+        found = found.join(limits.withColumnsRenamed(names), reduce(Column.__and__, same), "left")
+        low, high = (_blended(F.col(f"{end}{depth}"), F.col(f"docs{depth}"), above)
+                     for end, above in (("low", low), ("high", high)))
+    by_metric = found.select("lang", "source", "metric", low.alias("low"), high.alias("high"))
+    ends = [
+        F.max(F.when(F.col("metric") == metric, F.col(end))).alias(f"{metric}_{end}")
+        for metric in METRICS
+        for end in ("low", "high")
+    ]
+    return by_metric.groupBy("lang", "source").agg(*ends)
 
-    columns = [f"{m}_{end}" for m in METRICS for end in ("low", "high")]
-    return found.select("lang", "source", *map(chosen, columns))
+
+def _blended(own: Column, docs: Column, above: Column) -> Column:
+    """``own`` of so many documents, and ``above`` as if of PRIOR ones."""
+    both = (docs * own + F.lit(float(PRIOR)) * above) / (docs + F.lit(float(PRIOR)))
+    return F.coalesce(both, own, above)
 
 
 def _limits(sketch: DataFrame, level: list[str]) -> DataFrame:
-    """Fences of every metric, one row per group of ``level``; the sketches below it are
+    """(<level>, metric, docs, low, high) from the sketches of ``level``, those below it
     merged. A group has at most as many rows as there are bins."""
     merged = sketch.groupBy(*level, "metric", "bin").agg(F.sum("docs").alias("docs"))
     group = Window.partitionBy(*level, "metric")
     running = F.sum("docs").over(group.orderBy("bin"))
     total = F.sum("docs").over(group)
     ranked = merged.select(*level, "metric", "bin", running.alias("rank"), total.alias("total"))
-    by_metric = ranked.groupBy(*level, "metric").agg(
-        F.max("total").alias("docs"),
-        F.min(F.when(4 * F.col("rank") >= F.col("total"), F.col("bin"))).alias("q1"),
-        F.min(F.when(4 * F.col("rank") >= 3 * F.col("total"), F.col("bin"))).alias("q3"),
+    quantile = {
+        name: F.min(F.when(of * F.col("rank") >= part * F.col("total"), F.col("bin"))).cast("double")
+        for name, part, of in (("q1", 1, 4), ("q3", 3, 4), ("top", TAIL - 1, TAIL))
+    }
+    found = ranked.groupBy(*level, "metric").agg(
+        F.max("total").cast("double").alias("docs"), *[q.alias(n) for n, q in quantile.items()]
     )
-    fences = []
-    for metric, slack in SLACK.items():
-        own = F.col("metric") == metric
-        reach = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.lit(slack))
-        fences += [
-            F.max(F.when(own, F.col("q1") - reach)).alias(f"{metric}_low"),
-            F.max(F.when(own, F.col("q3") + reach)).alias(f"{metric}_high"),
-        ]
-    return by_metric.groupBy(*level).agg(F.max("docs").alias("docs"), *fences)
+    reach = REACH * (F.col("q3") - F.col("q1")) + 1
+    both_ways = F.col("metric").isin(BOTH_WAYS)
+    high = F.when(both_ways, F.col("q3") + reach).otherwise(F.col("top") * 1.5 + 1)
+    low = F.when(both_ways, F.col("q1") - reach)
+    return found.select(*level, "metric", "docs", low.alias("low"), high.alias("high"))
 
 
 def base_failed() -> Column:
@@ -165,7 +172,7 @@ def judged(docs: DataFrame) -> DataFrame:
     kept) of every row of ``docs`` (doc_id, text, lang, source).
 
     A document is kept if it passes the base rules and none of its metrics lies beyond
-    the fences of its language and source. Null languages and sources are groups like
+    the thresholds of its language and source. Null languages and sources are groups like
     any other; null and empty texts fail the base rules; repeated rows each count.
     Only built-in functions are used.
     """
@@ -176,14 +183,11 @@ def judged(docs: DataFrame) -> DataFrame:
     same = F.col("lang").eqNullSafe(F.col("group_lang")) & F.col("source").eqNullSafe(
         F.col("group_source")
     )
-    within = reduce(
-        Column.__and__,
-        [
-            F.expr(value).between(F.col(f"{name}_low"), F.col(f"{name}_high"))
-            for name, value in METRICS.items()
-        ],
-    )
-    kept = ~base_failed() & F.coalesce(within, F.lit(False))
+    within = F.lit(True)
+    for name, value in METRICS.items():
+        within &= F.coalesce(F.expr(value) >= F.col(f"{name}_low"), F.lit(True))
+        within &= F.coalesce(F.expr(value) <= F.col(f"{name}_high"), F.lit(True))
+    kept = ~base_failed() & within
     return counts.join(limits, same, "left").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "n_words",
@@ -237,31 +241,43 @@ WITH docs AS (
     SELECT lang, source, 2, m2 FROM sound UNION ALL
     SELECT lang, source, 3, m3 FROM sound UNION ALL
     SELECT lang, source, 4, m4 FROM sound
-), quartiles AS (
-    SELECT grouping(lang, source) AS level, lang, source, m, count(*) AS n,
-           quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
+), quantiles AS (
+    SELECT grouping(lang, source) AS level, lang, source, m, count(*)::DOUBLE AS n,
+           quantile_disc(v, 0.25)::DOUBLE AS q1, quantile_disc(v, 0.75)::DOUBLE AS q3,
+           quantile_disc(v, 0.984375)::DOUBLE AS top
     FROM long GROUP BY GROUPING SETS ((lang, source, m), (lang, m), (m))
 ), fences AS (
-    SELECT *, greatest(3 * (q3 - q1), [50, 300, 250, 100][m]) AS reach FROM quartiles
+    SELECT level, lang, source, m, n,
+           CASE WHEN m = 4 THEN q3 + 4 * (q3 - q1) + 1 ELSE top * 1.5::DOUBLE + 1 END AS high,
+           CASE WHEN m = 4 THEN q1 - 4 * (q3 - q1) - 1 END AS low
+    FROM quantiles
+), joined AS (
+    SELECT g.lang, g.source, g.m, a.n AS n0, a.low AS low0, a.high AS high0,
+           b.n AS n1, b.low AS low1, b.high AS high1, c.low AS low2, c.high AS high2
+    FROM (SELECT DISTINCT lang, source, m FROM sound, range(1, 5) AS metrics(m)) g
+    LEFT JOIN fences a ON a.level = 0 AND a.m = g.m AND a.lang IS NOT DISTINCT FROM g.lang
+                       AND a.source IS NOT DISTINCT FROM g.source
+    LEFT JOIN fences b ON b.level = 1 AND b.m = g.m AND b.lang IS NOT DISTINCT FROM g.lang
+    LEFT JOIN fences c ON c.level = 3 AND c.m = g.m
+), by_lang AS (
+    SELECT *, coalesce((n1 * low1 + 100.0::DOUBLE * low2) / (n1 + 100.0::DOUBLE), low1, low2) AS low12,
+           coalesce((n1 * high1 + 100.0::DOUBLE * high2) / (n1 + 100.0::DOUBLE), high1, high2) AS high12
+    FROM joined
 ), best AS (
-    SELECT d.lang, d.source, f.m, arg_min(f.q1 - f.reach, f.level) AS low,
-           arg_min(f.q3 + f.reach, f.level) AS high
-    FROM (SELECT DISTINCT lang, source FROM sound) d
-    JOIN fences f ON (f.level = 0 AND f.lang IS NOT DISTINCT FROM d.lang
-                      AND f.source IS NOT DISTINCT FROM d.source AND f.n >= 100)
-                  OR (f.level = 1 AND f.lang IS NOT DISTINCT FROM d.lang AND f.n >= 100)
-                  OR f.level = 3
-    GROUP BY ALL
+    SELECT lang, source, m,
+           coalesce((n0 * low0 + 100.0::DOUBLE * low12) / (n0 + 100.0::DOUBLE), low0, low12) AS low,
+           coalesce((n0 * high0 + 100.0::DOUBLE * high12) / (n0 + 100.0::DOUBLE), high0, high12) AS high
+    FROM by_lang
 ), wide AS (
-    SELECT lang, source, max(low) FILTER (m = 1) AS l1, max(high) FILTER (m = 1) AS h1,
-           max(low) FILTER (m = 2) AS l2, max(high) FILTER (m = 2) AS h2,
-           max(low) FILTER (m = 3) AS l3, max(high) FILTER (m = 3) AS h3,
-           max(low) FILTER (m = 4) AS l4, max(high) FILTER (m = 4) AS h4
+    SELECT lang, source, max(high) FILTER (m = 1) AS h1, max(high) FILTER (m = 2) AS h2,
+           max(high) FILTER (m = 3) AS h3, max(low) FILTER (m = 4) AS l4,
+           max(high) FILTER (m = 4) AS h4
     FROM best GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(m1 BETWEEN l1 AND h1 AND m2 BETWEEN l2 AND h2
-           AND m3 BETWEEN l3 AND h3 AND m4 BETWEEN l4 AND h4, false) AS kept
+       NOT base_failed AND coalesce(m1 <= h1, true) AND coalesce(m2 <= h2, true)
+           AND coalesce(m3 <= h3, true) AND coalesce(m4 >= l4, true) AND coalesce(m4 <= h4, true)
+           AS kept
 FROM metrics LEFT JOIN wide ON metrics.lang IS NOT DISTINCT FROM wide.lang
                            AND metrics.source IS NOT DISTINCT FROM wide.source
 """
