@@ -35,7 +35,8 @@ def without_repeated_lines(
     earlier: in a document of smaller id, or further up. n_links counts, over the lines of
     a document, the different texts within ``max_edits`` of the line's. A null text stays
     null and has no lines; an empty text is one line without a word. Rows that repeat id
-    and text are one document, and lose the same lines.
+    and text are one document, and lose the same lines. Columns of ``docs`` that are named
+    n_lines, n_removed or n_links give way to these.
     """
     unit = free_name(docs, "unit")
     numbered = with_units(docs, unit, id_col, text_col)
@@ -67,20 +68,25 @@ def without_repeated_lines(
     )
     joined = numbered.join(per_unit.hint("merge"), F.col(unit) == F.col(key), "left")
     gone = F.coalesce(F.col(removed), F.array().cast("array<int>"))
-    parts = F.split(text_col, "\n")
     breaks = F.octet_length(text_col) - F.octet_length(F.replace(text_col, F.lit("\n"), F.lit("")))
-    every = F.sequence(F.lit(0), F.size(parts) - 1)
-    left = F.transform(F.array_except(every, gone), lambda i: F.get(parts, i))
+    # Bound as an element, a text is split once and not for every line that is left.
+    left = F.transform(F.array(F.split(text_col, "\n")), lambda parts: _without(parts, gone))[0]
     return joined.withColumns(
         {
             "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
             "n_removed": F.size(gone).cast("long"),
             "n_links": F.coalesce(F.col(n_links), F.lit(0)).cast("long"),
-            text_col: F.when(F.size(gone) > 0, F.array_join(left, "\n")).otherwise(F.col(text_col)),
+            text_col: F.when(F.size(gone) > 0, left).otherwise(F.col(text_col)),
         }
     ).drop(unit, key, *{removed, n_links} - {"n_links"})
 
 
+def _without(parts: Column, gone: Column) -> Column:
+    every = F.sequence(F.lit(0), F.size(parts) - 1)
+    left = F.transform(F.array_except(every, gone), lambda i: F.get(parts, i))
+    return F.array_join(left, "\n")
+
+
 def _lines(
     texts: DataFrame, places: Places, least_chars: int, short_repeats: bool
 ) -> DataFrame:

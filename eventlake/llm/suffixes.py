@@ -9,15 +9,14 @@ for all strings around it:
 1. Every string of ``length`` bytes picks the least hash among its ``gram``-byte
    substrings: its anchor. Equal strings pick equal anchors at equal places. Strings next
    to each other share anchors, so there are far fewer anchors than strings.
-2. Anchors are sorted by their gram, and within it by the whole text their strings cover.
+2. Anchors are grouped by their gram, and within it by the whole text their strings cover.
    An anchor of a gram that occurs once is done; one whose text stands earlier is covered.
 3. What is left of an anchor's strings is cut into cells of neighbouring starts. A cell is
-   named by the bytes that all its strings hold, the sampled suffix; cells are sorted by
+   named by the bytes that all its strings hold, the sampled suffix; cells are grouped by
    name, and those with a name of their own are done.
-4. The strings of the other cells are sorted by their bytes, and equal ones compared: all
-   but the first are covered.
+4. The strings of the other cells are grouped by their bytes: all but the first are covered.
 
-Each step sorts a small part of what the step before did. No step needs a group together:
+Names and bytes are grouped by pairs of 64-bit hashes, not sorted. Each step looks at a small part of what the step before did. No step needs a group together:
 equal rows of one batch are merged before they are shuffled, all but the first being
 covered whatever else there is.
 """
