@@ -31,8 +31,8 @@ ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST = 4
 #: Bytes of text worked on at once: few enough for three word numbers to fit in 63 bits.
 WINDOW = 1 << 20
-#: Phrases gathered before equal ones are put together and given out; four times as many hashes.
-GATHERED = 1 << 18
+#: Hashes gathered before equal ones are put together and given out.
+GATHERED = 1 << 20
 #: Bits of the array of proposed phrases, as a power of two, and of the parts it is built in.
 FILTER_BITS, PART_BITS = 27, 15
 #: Groups that a language's phrases are ranked in first.
@@ -184,7 +184,7 @@ def _hashes(texts: DataFrame, wanted: Callable[[Words, int], np.ndarray | None],
                     if chosen is not None:
                         held[k == LONGEST].append(words.hashes[k - 1][chosen])
                 for is_long, some in held.items():
-                    if sum(map(len, some)) >= 4 * GATHERED:
+                    if sum(map(len, some)) >= GATHERED:
                         yield give(is_long)
         for is_long, some in held.items():
             if some:
@@ -221,35 +221,19 @@ def spelt(texts: DataFrame, chosen: np.ndarray) -> DataFrame:
     language together as phrase '' with k 0."""
     bits = texts.sparkSession.sparkContext.broadcast(chosen)
 
-    def rows(lang: str, k: int, held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        """What was counted in several windows, each phrase once."""
-        found = pa.concat_tables(held).group_by("phrase").aggregate([("n", "sum")])
-        held.clear()
-        n = found.num_rows
-        columns = [pa.repeat(pa.scalar(lang, pa.string()), n), found["phrase"], pa.repeat(k, n)]
-        table = pa.table([*columns, found["n_sum"]], names=["lang", "phrase", "k", "n"])
-        yield from table.to_batches(max_chunksize=50_000)
+    def rows(lang: str, k: int, phrase: pa.Array, count: np.ndarray) -> pa.RecordBatch:
+        n = len(phrase)
+        columns = [pa.repeat(pa.scalar(lang, pa.string()), n), phrase, pa.repeat(k, n)]
+        count = pa.array(count, pa.int64())
+        return pa.RecordBatch.from_arrays([*columns, count], names=["lang", "phrase", "k", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, held = None, [[] for _ in range(LONGEST + 1)]
             for lang, words in windows(batch):
-                if lang != of:
-                    for k, tables in enumerate(held):
-                        if tables:
-                            yield from rows(of, k, tables)
-                of = lang
-                total = pa.array([int(words.new(1).sum())], pa.int64())
-                held[0].append(pa.table([pa.array([""]), total], names=["phrase", "n"]))
+                yield rows(lang, 0, pa.array([""]), [words.new(1).sum()])
                 for k in range(1, LONGEST + 1):
                     wanted = words.new(k) & is_set(bits.value, words.hashes[k - 1])
-                    phrase, count = words.counted(k, wanted)
-                    held[k].append(pa.table([phrase, pa.array(count, pa.int64())], names=["phrase", "n"]))
-                    if sum(table.num_rows for table in held[k]) >= GATHERED:
-                        yield from rows(lang, k, held[k])
-            for k, tables in enumerate(held):
-                if tables:
-                    yield from rows(of, k, tables)
+                    yield rows(lang, k, *words.counted(k, wanted))
 
     found = texts.mapInArrow(run, "lang string, phrase string, k bigint, n bigint")
     return found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
