@@ -9,13 +9,13 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
 from eventlake import adapters, schemas
-from eventlake.errors import EventLakeError
-from eventlake.functions.records import decode_records
+from eventlake.errors import DataQualityError, EventLakeError
+from eventlake.functions.records import decode_evolving, decode_records, new_fields
 from eventlake.operators import (
     analytics,
     cleaning,
@@ -25,11 +25,13 @@ from eventlake.operators import (
     profile,
     quality,
 )
-from eventlake.plans import jobs
+from eventlake.plans import incremental, jobs
 from eventlake.session import checkpointed, scratch_dir
 from eventlake.sources import artifacts, tables
+from eventlake.sources.records import file_records
 from eventlake.sources.registry import TableRegistry
-from eventlake.streaming import ingest, monitor
+from eventlake.streaming import hours, ingest, monitor
+from eventlake.streaming.silver import stream_silver
 
 try:
     import corpus_pipeline
@@ -155,6 +157,24 @@ def _decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("offset", "user_id", "product_id", "event_type", "raw_value")
 
 
+def _evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_evolving(adapters.evolving_records(adapters.source_events(spark, sf_dir)))
+
+
+def _decode_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    other = F.col("other_fields")
+    return _evolved(spark, sf_dir).select(
+        "offset",
+        "user_id",
+        "product_id",
+        "event_type",
+        "price",
+        F.try_variant_get(other["currency"], "$", "string").alias("currency"),
+        F.try_variant_get(other["props"], "$.k", "int").alias("k"),
+        F.size(F.map_keys(other)).alias("others"),
+    )
+
+
 def _registry(spark: SparkSession, sf_dir: str) -> TableRegistry:
     user_features = _user_features(adapters.silver(spark, sf_dir))
     return TableRegistry(spark, {**_gold(spark, sf_dir), "user_features": user_features})
@@ -271,7 +291,11 @@ def _label_by_spend(silver: DataFrame) -> DataFrame:
     something at some time, a model needs both classes, and no model input may restate
     the label."""
     table = _user_features(silver)
-    return table.withColumn("is_purchaser", (F.col("avg_order_value") > SPENDER).cast("int"))
+    return table.withColumn("is_purchaser", _spends().cast("int"))
+
+
+def _spends() -> Column:
+    return F.col("avg_order_value") > SPENDER
 
 
 def _trained(spark: SparkSession, sf_dir: str):
@@ -279,6 +303,33 @@ def _trained(spark: SparkSession, sf_dir: str):
     return table, model.train(table, exclude_leaky=True)
 
 
+def _features_as_of(silver: DataFrame) -> DataFrame:
+    """The features at noon of each of thirty days."""
+    return features.features_as_of(silver, [datetime(2024, 1, day, 12) for day in range(1, 31)])
+
+
+def _point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of the users who spent most, from an indexed table."""
+    silver = adapters.silver(spark, sf_dir)
+    folder = scratch_dir(spark, "indexed")
+    tables.write_indexed(_user_features(silver), folder, "user_id")
+    wanted = analytics.top_spenders(silver).select("user_id")
+    return tables.look_up(tables.read_table(spark, folder), "user_id", wanted)
+
+
+def _saved_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those users' scores by the given model, saved and loaded again."""
+    silver = adapters.silver(spark, sf_dir)
+    table, fitted = scratch_dir(spark, "indexed"), scratch_dir(spark, "model")
+    tables.write_indexed(_label_by_spend(silver), table, "user_id")
+    artifacts.save_model(model.linear_pipeline(GIVEN_WEIGHTS, GIVEN_INTERCEPT), fitted)
+    wanted = analytics.top_spenders(silver).select("user_id")
+    scored = model.score_users(
+        artifacts.load_model(fitted), tables.read_table(spark, table), wanted
+    )
+    return scored.withColumn("confidence", F.round("confidence", 6))
+
+
 def _given_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _label_by_spend(adapters.silver(spark, sf_dir))
     return model.linear_scores(table, GIVEN_WEIGHTS, GIVEN_INTERCEPT)
@@ -304,10 +355,14 @@ def _given_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of a training run; its date is left out."""
     _, trained = _trained(spark, sf_dir)
+    shares = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
     values = trained.metrics.asDict()
-    row = tuple(values[name] for name in schemas.METRICS.fieldNames())
-    return spark.createDataFrame([row], schemas.METRICS)
+    row = tuple(values[name] for name in (*shares, "n_train", "n_test", "n_features"))
+    columns = ", ".join(f"{name} double" for name in shares)
+    found = spark.createDataFrame([row], f"{columns}, n_train bigint, n_test bigint, n_features int")
+    return found.withColumns({name: F.round(name, 9) for name in shares})
 
 
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,12 +370,14 @@ def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.most_important(_trained(spark, sf_dir)[1].coefficients)
+    top = model.most_important(_trained(spark, sf_dir)[1].coefficients)
+    return top.withColumn("coefficient", F.round("coefficient", 4))
 
 
 def _score_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, trained = _trained(spark, sf_dir)
-    return model.score_users(trained.pipeline, table)
+    scored = model.score_users(trained.pipeline, table)
+    return scored.withColumn("confidence", F.round("confidence", 4))
 
 
 def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,11 +387,10 @@ def _layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> tuple[jobs.LakePaths, dict[str, int]]:
-    """Bronze of a stream in which every third user buys nothing, and Silver of it with
-    the unsound rows set aside; and what Silver counted."""
+    """Bronze of the table's stream, and Silver of it with the unsound rows set aside;
+    and what Silver counted."""
     paths = jobs.LakePaths(scratch_dir(spark, "lake"))
-    some_buy = "event_type <> 'purchase' OR user_id % 3 > 0"
-    jobs.run_bronze(spark, adapters.record_stream(spark, sf_dir, some_buy), paths)
+    jobs.run_bronze(spark, adapters.record_stream(spark, sf_dir), paths)
     return paths, jobs.run_silver(spark, paths, on_violation="quarantine")
 
 
@@ -382,8 +438,19 @@ def _passes(gate: Callable[[], object]) -> bool:
         return False
 
 
+def _check_given(spark: SparkSession, table: DataFrame, paths: jobs.LakePaths, accuracy: float):
+    """The gate on the metrics of the given model, which are added to the history."""
+    labelled = table.withColumn("is_purchaser", _spends().cast("int"))
+    scored = model.linear_scores(labelled, GIVEN_WEIGHTS, GIVEN_INTERCEPT)
+    shares = model.classification_metrics(model.confusion(scored)).first().asDict()
+    known = dict.fromkeys(schemas.METRICS.fieldNames()) | shares
+    known["training_date"] = datetime.now().isoformat()
+    artifacts.write_metrics(spark, Row(**known), paths.metrics)
+    return artifacts.check_model(spark, paths.metrics, accuracy)
+
+
 def _gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every gate of the chain, and two that must not open."""
+    """Every gate of the chain, and those that must not open."""
     paths, _ = _lake(spark, sf_dir)
     gold = {n: tables.read_table(spark, paths.gold(n)) for n in jobs.run_gold(spark, paths)}
     jobs.run_features(spark, paths, AS_OF)
@@ -395,6 +462,8 @@ def _gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         "no_rows": lambda: quality.require_rows(user_features=table.filter("user_id < 0")),
         "enough_to_train": lambda: quality.enough_to_train(table),
         "model_without_metrics": lambda: artifacts.check_model(spark, paths.metrics),
+        "given_model": lambda: _check_given(spark, table, paths, 0.5),
+        "given_model_unlike_perfect": lambda: _check_given(spark, table, paths, 1.0),
     }
     rows = [(name, _passes(gate)) for name, gate in gates.items()]
     return spark.createDataFrame(rows, "gate string, passed boolean")
@@ -403,7 +472,7 @@ def _gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics two training runs left; figures of the fit as whether they pass."""
     paths, _ = _lake(spark, sf_dir)
-    jobs.run_features(spark, paths, AS_OF)
+    jobs.run_features(spark, paths, AS_OF, _spends())
     for _ in range(2):
         jobs.run_training(spark, paths, exclude_leaky=True)
     return artifacts.read_metrics(spark, paths.metrics).select(
@@ -411,6 +480,141 @@ def _metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain with its gates, and what each layer then holds."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    jobs.run_bronze(spark, adapters.record_stream(spark, sf_dir), paths)
+    metrics = jobs.run_all(spark, paths, AS_OF, "quarantine", _spends(), exclude_leaky=True)
+    status = tables.layer_status(spark, paths.layers(), paths.fmt)
+    rows = [(row.layer, row.rows) for row in status.collect()]
+    rows.append(("trained_on", metrics.n_train + metrics.n_test if metrics else 0))
+    rows.append(("good_models", int(metrics is not None and metrics.accuracy >= 0.5)))
+    return spark.createDataFrame(rows, "layer string, rows bigint")
+
+
+def _run_all_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain as it stops at unsound rows: the rules they break, and that no layer
+    behind Bronze is written."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    jobs.run_bronze(spark, adapters.record_stream(spark, sf_dir), paths)
+    rows = []
+    try:
+        jobs.run_all(spark, paths, AS_OF)
+    except DataQualityError as error:
+        rows = list(error.violations.items())
+    status = tables.layer_status(spark, paths.layers(), paths.fmt).filter("exists").collect()
+    rows.append(("layers", len(status)))
+    return spark.createDataFrame(rows, "rule string, rows bigint")
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
+    """A lake brought up to date after each of three deliveries: all records but the
+    purchases, which come late, and then every record a second time."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    events = adapters.source_events(spark, sf_dir)
+    bought = F.col("event_type") == "purchase"
+    deliveries = [
+        adapters.records(events.filter(~bought)),
+        adapters.records(events.filter(bought)),
+        adapters.redelivered_records(events),
+    ]
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(paths.at("records"))
+        jobs.run_bronze(spark, file_records(spark, paths.at("records")), paths)
+        incremental.run_incremental(spark, paths)
+    return paths
+
+
+def _incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, _incremental(spark, sf_dir).silver)
+
+
+def _incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _incremental(spark, sf_dir)
+    return tables.union_tables(
+        [
+            _stored(spark, paths.gold(n)).withColumn("table", F.lit(n))
+            for n in ("revenue_per_hour", "active_users_per_hour", "conversion_rate")
+        ]
+    )
+
+
+def _incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _incremental(spark, sf_dir)
+    incremental.refresh_features(spark, paths, AS_OF)
+    return _stored(spark, paths.features)
+
+
+def _incremental_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches say they took in, and what then lies in the quarantine."""
+    paths = _incremental(spark, sf_dir)
+    taken = incremental.batches(spark, paths).agg(
+        F.sum("rows_read").alias("rows_read"),
+        F.sum("rows_quarantined").alias("rows_quarantined"),
+        F.sum("rows_untimed").alias("rows_untimed"),
+        F.sum("rows_arrived").alias("rows_arrived"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("days")))).alias("days"),
+    )
+    aside = tables.read_table(spark, paths.quarantine)
+    return taken.withColumn("quarantine", aside.agg(F.count(F.lit(1))).scalar())
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
+    """A lake whose Silver and hours are streams, restarted for each delivery: ten days of
+    records, and the ten days before once more."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    events = adapters.source_events(spark, sf_dir)
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    for step in range(4):
+        for delivery in (
+            adapters.records(events.filter(third == step)),
+            adapters.redelivered_records(events.filter(third == step - 1)),
+        ):
+            delivery.write.mode("append").parquet(paths.at("records"))
+        jobs.run_bronze(spark, file_records(spark, paths.at("records")), paths)
+        bronze = spark.readStream.schema(schemas.BRONZE).parquet(paths.bronze)
+        silver = ingest.append_stream(
+            stream_silver(bronze), paths.silver, paths.at("checkpoints", "silver")
+        )
+        ingest.run_until_stopped(silver)
+        added = spark.readStream.schema(schemas.SILVER).parquet(paths.silver)
+        cells = hours.keep_hours(added, paths.at("hours"), paths.at("checkpoints", "hours"))
+        ingest.run_until_stopped(cells)
+    return paths
+
+
+def _streamed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, _streamed(spark, sf_dir).silver)
+
+
+def _streamed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = tables.read_table(spark, _streamed(spark, sf_dir).at("hours"))
+    gold = hours.gold_of_cells(cells)
+    return _without_zone(
+        tables.union_tables([table.withColumn("table", F.lit(n)) for n, table in gold.items()])
+    )
+
+
+def _distinct_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users and products of days, weeks and months: exact, and whether the merged
+    hourly sketches, which are stored, come within a twentieth."""
+    silver = adapters.silver(spark, sf_dir)
+    folder = scratch_dir(spark, "sketches")
+    tables.write_table(hourly.distinct_sketches(silver), folder)
+    sketches = tables.read_table(spark, folder)
+    names = ("distinct_users", "distinct_products")
+    found = []
+    for unit in ("day", "week", "month"):
+        near = hourly.distinct_by(sketches, unit).withColumnsRenamed({n: f"{n}_near" for n in names})
+        both = hourly.exact_distinct_by(silver, unit).join(near, "period")
+        within = [
+            (F.abs(F.col(f"{n}_near") - F.col(n)) <= 0.05 * F.col(n)).alias(f"{n}_within")
+            for n in names
+        ]
+        found.append(both.select(F.lit(unit).alias("unit"), "period", *names, *within))
+    return tables.union_tables(found)
+
+
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = _registry(spark, sf_dir).context()
     return tables.union_tables(
@@ -434,6 +638,8 @@ def queries() -> dict[str, Query]:
         "decode_malformed": _decode_malformed,
         "encode_events": _encoded,
         "bronze_stream": _bronze_stream,
+        "decode_evolved": _decode_evolved,
+        "new_fields": lambda spark, sf: new_fields(_evolved(spark, sf)),
         "quality_report": _on_bronze(quality.quality_report),
         "quality_issues": _on_bronze(lambda b: quality.quality_issues(quality.quality_report(b))),
         "quality_violations": _on_bronze(_tagged),
@@ -493,6 +699,18 @@ def queries() -> dict[str, Query]:
         "pipeline_counts": _pipeline_counts,
         "gate_status": _gate_status,
         "metrics_history": _metrics_history,
+        "run_all": _run_all,
+        "run_all_failing": _run_all_failing,
+        "incremental_silver": _incremental_silver,
+        "incremental_gold": _incremental_gold,
+        "incremental_features": _incremental_features,
+        "incremental_batches": _incremental_batches,
+        "streamed_silver": _streamed_silver,
+        "streamed_gold": _streamed_gold,
+        "distinct_by_period": _distinct_by,
+        "features_as_of": _on_silver(_features_as_of),
+        "point_lookup": _point_lookup,
+        "saved_scores": _saved_scores,
         "train_test_split": _on_silver(_split),
         "prepared_features": _on_silver(
             lambda s: model.prepare(_user_features(s), schemas.FEATURE_COLUMNS)

@@ -52,8 +52,41 @@ def raw_events(events: DataFrame) -> DataFrame:
 
 def records(events: DataFrame) -> DataFrame:
     """The table as Kafka records."""
+    return _as_records(raw_events(events))
+
+
+def redelivered_records(events: DataFrame) -> DataFrame:
+    """The same records once more, an hour later and at another price."""
+    again = raw_events(events).withColumns(
+        {
+            "offset": F.col("offset") + 1_000_000_000,
+            "arrival": F.col("arrival") + F.expr("INTERVAL 1 HOUR"),
+            "price": F.col("price") * 2,
+        }
+    )
+    return _as_records(again)
+
+
+def evolving_records(events: DataFrame) -> DataFrame:
+    """Records of a producer ahead of the schema: every second one nests its product, and a
+    purchase names its currency."""
+    raw = raw_events(events)
+    nested = F.when(F.col("offset") % 2 == 0, F.struct(F.col("product_id").alias("k")))
+    currency = F.when(F.col("event_type") == "purchase", "EUR")
+    event = F.struct(*schemas.EVENT.fieldNames(), nested.alias("props"), currency.alias("currency"))
+    return raw.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.to_json(event).cast("binary").alias("value"),
+        "topic",
+        "partition",
+        "offset",
+        F.col("arrival").alias("timestamp"),
+    )
+
+
+def _as_records(raw: DataFrame) -> DataFrame:
     return (
-        encode_records(raw_events(events))
+        encode_records(raw)
         .withColumnRenamed("arrival", "timestamp")
         .withColumn("timestampType", F.lit(0))
         .select(*schemas.RECORD.fieldNames())
@@ -118,16 +151,18 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unsold_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver without the purchases of every fifth user."""
-    return silver(spark, sf_dir).filter("user_id % 5 <> 0 OR event_type <> 'purchase'")
+    """Silver in which what every fifth user buys only reaches the cart."""
+    unsold = (F.col("user_id") % 5 == 0) & (F.col("event_type") == "purchase")
+    event_type = F.when(unsold, "cart").otherwise(F.col("event_type"))
+    return silver(spark, sf_dir).withColumn("event_type", event_type)
 
 
-def record_stream(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    """The table as a stream of Kafka records, of the rows ``where`` lets through."""
+def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream of Kafka records."""
     stream = (
         configure(spark)
         .readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    return records(stream.filter(where))
+    return records(stream)

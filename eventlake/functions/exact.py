@@ -28,16 +28,25 @@ def _is_exact(value: Column) -> Column:
     return (value > -EXACT_LIMIT) & (value < EXACT_LIMIT)
 
 
-def exact_sum(value: Column) -> Column:
-    """Aggregate: sum of the splittable values as decimal, NULL when there are none."""
+def _split(value: Column) -> tuple[Column, Column]:
+    """Whole units and millionths of the splittable values."""
     millionths = F.when(
         _is_exact(value), F.floor(value * float(MILLIONTHS) + F.lit(0.5))
     )
-    rest = millionths % MILLIONTHS
-    whole = F.call_function("div", millionths, F.lit(MILLIONTHS))
-    return F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * F.lit(
-        "0.000001"
-    ).cast("decimal(6,6)")
+    return F.call_function("div", millionths, F.lit(MILLIONTHS)), millionths % MILLIONTHS
+
+
+def _joined(whole: Column, rest: Column) -> Column:
+    """Sums of units and of millionths as one decimal."""
+    return whole.cast("decimal(20,0)") + rest.cast("decimal(20,0)") * F.lit("0.000001").cast(
+        "decimal(6,6)"
+    )
+
+
+def exact_sum(value: Column) -> Column:
+    """Aggregate: sum of the splittable values as decimal, NULL when there are none."""
+    whole, rest = _split(value)
+    return _joined(F.sum(whole), F.sum(rest))
 
 
 def _loose_sum(value: Column) -> Column:
@@ -55,11 +64,14 @@ def _dust_sum(value: Column) -> Column:
 
 def total(value: Column, places: int = 6) -> Column:
     """Aggregate: ``round(sum(value), places)`` as double; NULL over no values."""
-    exact, dust = exact_sum(value), _dust_sum(value)
+    return _total(exact_sum(value), _dust_sum(value), _loose_sum(value), places)
+
+
+def _total(exact: Column, dust: Column, loose: Column, places: int) -> Column:
     split = F.coalesce(
         F.round(exact.cast("double") + dust, places), F.round(exact, places).cast("double")
     )
-    return F.coalesce(_loose_sum(value) + F.coalesce(split, F.lit(0.0)), split)
+    return F.coalesce(loose + F.coalesce(split, F.lit(0.0)), split)
 
 
 def mean(value: Column, rows: Column, places: int) -> Column:
@@ -68,9 +80,12 @@ def mean(value: Column, rows: Column, places: int) -> Column:
     ``rows`` is the aggregate to divide by: ``count(*)`` counts NULL values too,
     ``count(value)`` does not. NULL over no values.
     """
-    exact, dust = exact_sum(value), _dust_sum(value)
+    return _mean(exact_sum(value), _dust_sum(value), _loose_sum(value), rows, places)
+
+
+def _mean(exact: Column, dust: Column, loose: Column, rows: Column, places: int) -> Column:
     fine = exact.cast("double") + dust
-    loose = _loose_sum(value) + F.coalesce(fine, exact.cast("double"), F.lit(0.0))
+    loose = loose + F.coalesce(fine, exact.cast("double"), F.lit(0.0))
     return F.when(
         rows > 0,
         F.coalesce(
@@ -81,6 +96,47 @@ def mean(value: Column, rows: Column, places: int) -> Column:
     )
 
 
+def parts(value: Column, prefix: str) -> list[Column]:
+    """Aggregates that can be stored and merged: :func:`merged_total` and
+    :func:`merged_mean` over the rows of several groups give what :func:`total` and
+    :func:`mean` give over all their values."""
+    whole, rest = _split(value)
+    return [
+        F.sum(whole).alias(f"{prefix}_units"),
+        F.sum(rest).alias(f"{prefix}_millionths"),
+        _dust_sum(value).alias(f"{prefix}_dust"),
+        _loose_sum(value).alias(f"{prefix}_loose"),
+    ]
+
+
+def _stored(prefix: str, merge=lambda part: part) -> tuple[Column, Column, Column]:
+    """Exact sum, dust and loose sum of stored parts."""
+    units, millionths, dust, loose = (
+        merge(F.col(f"{prefix}_{part}")) for part in ("units", "millionths", "dust", "loose")
+    )
+    return _joined(units, millionths), dust, loose
+
+
+def merged_total(prefix: str, places: int = 6) -> Column:
+    """Aggregate: the total of the :func:`parts` of several groups."""
+    return _total(*_stored(prefix, F.sum), places)
+
+
+def merged_mean(prefix: str, rows: Column, places: int) -> Column:
+    """Aggregate: the mean over several groups; ``rows`` is the aggregate to divide by."""
+    return _mean(*_stored(prefix, F.sum), rows, places)
+
+
+def stored_total(prefix: str, places: int = 6) -> Column:
+    """The total of the :func:`parts` in a row."""
+    return _total(*_stored(prefix), places)
+
+
+def stored_mean(prefix: str, rows: Column, places: int) -> Column:
+    """The mean of the :func:`parts` in a row, over ``rows`` values."""
+    return _mean(*_stored(prefix), rows, places)
+
+
 def ratio(part: Column, whole: Column, places: int, scale: int = 1) -> Column:
     """``round(scale * part / whole, places)``, 0.0 when ``whole`` is 0."""
     return F.when(whole > 0, F.round(part * scale / whole, places)).otherwise(F.lit(0.0))

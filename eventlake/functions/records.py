@@ -53,3 +53,24 @@ def decode_records(records: DataFrame, keep_raw: bool = False) -> DataFrame:
             *raw,
         )
     )
+
+
+def decode_evolving(records: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """Like :func:`decode_records`, and ``other_fields``: what an event holds beyond its known
+    fields, as a map from name to VARIANT. It is NULL for a value that is no JSON object, and empty
+    where nothing is new: a producer may add fields before the schema here knows them."""
+    decoded = decode_records(records, keep_raw=True)
+    known = schemas.EVENT.fieldNames()
+    fields = F.try_variant_get(F.try_parse_json("raw_value"), "$", "map<string,variant>")
+    other = F.map_filter(fields, lambda name, _: ~name.isin(known))
+    found = decoded.withColumn("other_fields", other)
+    return found if keep_raw else found.drop("raw_value")
+
+
+def new_fields(decoded: DataFrame) -> DataFrame:
+    """(field, rows, type) of the fields that :func:`decode_evolving` does not know: in how many
+    events each stands, and the type that holds all its values."""
+    cells = decoded.select(F.explode("other_fields").alias("field", "value"))
+    return cells.groupBy("field").agg(
+        F.count(F.lit(1)).alias("rows"), F.schema_of_variant_agg("value").alias("type")
+    )

@@ -75,6 +75,15 @@ def clean(
     """
     if counts:
         bronze = counts.of_read(bronze)
+    kept = drop_duplicates(arrivals(bronze, normalize_first))
+    if counts:
+        kept = counts.of_timed(kept)
+    return silver_rows(kept.filter(F.col("event_time").isNotNull()))
+
+
+def arrivals(bronze: DataFrame, normalize_first: bool = False) -> DataFrame:
+    """Rows with a user and a known type, duplicates included: their key, price and
+    arrival, and the parsed time, NULL where it is none."""
     usable = bronze.filter(F.col("user_id").isNotNull()).filter(_known_type())
     timed = usable.select(
         *DUPLICATE_KEY,
@@ -86,10 +95,12 @@ def clean(
         timed = timed.withColumns(
             {"event_type": normalised_type(), "event_timestamp": F.col("event_time")}
         )
-    kept = drop_duplicates(timed)
-    if counts:
-        kept = counts.of_timed(kept)
-    return kept.filter(F.col("event_time").isNotNull()).select(
+    return timed
+
+
+def silver_rows(kept: DataFrame) -> DataFrame:
+    """Arrivals, of which one of each key is left, in the columns of Silver."""
+    return kept.select(
         "user_id",
         "product_id",
         normalised_type().alias("event_type"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -16,6 +16,7 @@ from eventlake.functions import exact
 
 AsOf = datetime | Column | None
 
+# Names of features, which are 0 for a user without a purchase.
 FILLED = [
     "purchases_last_24h",
     "total_purchases",
@@ -149,3 +150,127 @@ def user_features(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
     ratios = _conversion_ratios("view_count", "cart_count", "total_purchases")
     return _finished(_with_frequency(counts).withColumns(ratios), now)
+
+
+def user_days(silver: DataFrame, day: str = "event_date") -> DataFrame:
+    """What the feature table needs of each day, user and product, in a form that can
+    be merged: a late event changes its own day only."""
+    bought = _is("purchase")
+    price = F.when(bought, F.col("price"))
+    return silver.groupBy(day, "user_id", "product_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(_is("view")).alias("views"),
+        F.count_if(_is("cart")).alias("carts"),
+        F.count_if(bought).alias("purchases"),
+        F.count(price).alias("priced"),
+        *exact.parts(price, "price"),
+        F.max(price).alias("most"),
+        F.min(price).alias("least"),
+        F.min("event_timestamp").alias("first_activity"),
+        F.max("event_timestamp").alias("last_activity"),
+    )
+
+
+def since(as_of: AsOf) -> Column:
+    """The day from which on events may count as recent."""
+    return F.to_date(_as_of(as_of) - F.expr("INTERVAL 24 HOURS"))
+
+
+def features_of_days(days: DataFrame, newest: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """The feature table from :func:`user_days`, and from Silver rows of the ``newest``
+    days, of which the last 24 hours are counted: older events are not read again."""
+    now = _time_of(newest, as_of)
+    recent = newest.filter(_is("purchase")).filter(
+        F.col("event_timestamp") >= now - F.expr("INTERVAL 24 HOURS")
+    )
+    recent = recent.groupBy("user_id").agg(F.count(F.lit(1)).alias("purchases_last_24h"))
+    counts = days.groupBy("user_id").agg(
+        F.sum("purchases").alias("total_purchases"),
+        exact.merged_total("price", 2).alias("total_revenue"),
+        exact.merged_mean("price", F.sum("priced"), 2).alias("avg_order_value"),
+        F.round(F.max("most"), 2).alias("max_purchase_value"),
+        F.round(F.min("least"), 2).alias("min_purchase_value"),
+        F.sum("events").alias("total_events"),
+        F.sum("views").alias("view_count"),
+        F.sum("carts").alias("cart_count"),
+        F.countDistinct("product_id").alias("unique_products"),
+        F.min("first_activity").alias("first_activity"),
+        F.max("last_activity").alias("last_activity"),
+    )
+    joined = _with_frequency(counts).join(recent, "user_id", "left")
+    ratios = _conversion_ratios("view_count", "cart_count", "total_purchases")
+    return _finished(joined.withColumns(ratios), now)
+
+
+def features_as_of(silver: DataFrame, times: list[datetime]) -> DataFrame:
+    """The features of each user at each of ``times``, whole hours, from the events before it: what
+    a model may be trained on without looking ahead. A user has a row from their first event on.
+
+    One pass sums events up by user and hour. A window along the hours of each user then gives all
+    times at once: a running total, and a range of 24 hours. A window holds hours, not events, so
+    a user with very many events takes no more room than another; distinct products are
+    counted where each is first seen.
+    """
+    kind = silver.schema["event_timestamp"].dataType
+    bought = _is("purchase")
+    price = F.when(bought, F.col("price"))
+    hour = F.date_trunc("hour", "event_timestamp").cast(kind).alias("hour")
+    by_product = silver.groupBy("user_id", hour, "product_id").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count_if(_is("view")).alias("view_count"),
+        F.count_if(_is("cart")).alias("cart_count"),
+        F.count_if(bought).alias("total_purchases"),
+        F.count(price).alias("priced"),
+        *exact.parts(price, "price"),
+        F.max(price).alias("most"),
+        F.min(price).alias("least"),
+        F.min("event_timestamp").alias("first_activity"),
+        F.max("event_timestamp").alias("last_activity"),
+    )
+    sums = ["total_events", "view_count", "cart_count", "total_purchases", "priced"]
+    sums += [f"price_{part}" for part in ("units", "millionths", "dust", "loose")]
+    extremes = {"most": F.max, "least": F.min, "first_activity": F.min, "last_activity": F.max}
+    by_hour = by_product.groupBy("user_id", "hour").agg(
+        *[F.sum(c).alias(c) for c in sums], *[f(c).alias(c) for c, f in extremes.items()]
+    )
+    seen = by_product.filter(F.col("product_id").isNotNull()).groupBy("user_id", "product_id")
+    new = seen.agg(F.min("hour").alias("hour")).groupBy("user_id", "hour")
+    hours = by_hour.join(
+        new.agg(F.count(F.lit(1)).alias("new_products")), ["user_id", "hour"], "left"
+    ).withColumn("as_of", F.lit(None).cast(kind))
+    asked = F.array(*[F.lit(t).cast(kind) for t in sorted(set(times))])
+    firsts = by_hour.groupBy("user_id").agg(F.min("first_activity").alias("since"))
+    spine = firsts.select("user_id", "since", F.explode(asked).alias("as_of"))
+    spine = spine.filter(F.col("since") < F.col("as_of")).select("user_id", "as_of")
+    rows = hours.unionByName(
+        spine.withColumn("hour", F.col("as_of")), allowMissingColumns=True
+    ).withColumn("second", F.unix_timestamp(F.col("hour").cast("timestamp")))
+    along = Window.partitionBy("user_id").orderBy("second")
+    before = along.rangeBetween(Window.unboundedPreceding, -1)
+    day = along.rangeBetween(-24 * 3600, -1)
+    sums.append("new_products")
+    running = rows.select(
+        "user_id",
+        "as_of",
+        F.sum("total_purchases").over(day).alias("purchases_last_24h"),
+        *[F.sum(c).over(before).alias(c) for c in sums],
+        *[f(c).over(before).alias(c) for c, f in extremes.items()],
+    ).filter(F.col("as_of").isNotNull())
+    counts = running.select(
+        "user_id",
+        "as_of",
+        "purchases_last_24h",
+        "total_purchases",
+        exact.stored_total("price", 2).alias("total_revenue"),
+        exact.stored_mean("price", F.col("priced"), 2).alias("avg_order_value"),
+        F.round("most", 2).alias("max_purchase_value"),
+        F.round("least", 2).alias("min_purchase_value"),
+        "total_events",
+        "view_count",
+        "cart_count",
+        F.coalesce("new_products", F.lit(0)).alias("unique_products"),
+        "first_activity",
+        "last_activity",
+    )
+    ratios = _conversion_ratios("view_count", "cart_count", "total_purchases")
+    return _finished(_with_frequency(counts).withColumns(ratios), F.col("as_of"))

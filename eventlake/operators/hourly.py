@@ -92,6 +92,64 @@ def hourly_rollup(silver: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
+def cell_measures() -> list[Column]:
+    """What the tables need of an hour, a user and a product, in a form that can be merged."""
+    price = F.when(_is("purchase"), F.col("price"))
+    return [
+        F.count(F.lit(1)).alias("events"),
+        _count_of("view").alias("views"),
+        _count_of("cart").alias("carts"),
+        _count_of("purchase").alias("purchases"),
+        *exact.parts(price, "price"),
+    ]
+
+
+def rollup_of_cells(cells: DataFrame) -> DataFrame:
+    """The rollup from rows of (hour, user_id, product_id) and :func:`cell_measures`."""
+    return cells.groupBy("hour").agg(
+        exact.merged_total("price", 2).alias("total_revenue"),
+        F.sum("purchases").alias("purchase_count"),
+        exact.merged_mean("price", F.sum("purchases"), 2).alias("avg_order_value"),
+        F.countDistinct("user_id").alias("active_users"),
+        F.countDistinct("product_id").alias("unique_products_viewed"),
+        F.sum("events").alias("total_events"),
+        F.sum("views").alias("view_count"),
+        F.sum("carts").alias("cart_count"),
+    )
+
+
+#: Size of a distinct sketch, as a power of two; its relative error is 1.04 / sqrt(2 ** SKETCH).
+SKETCH = 12
+
+
+def distinct_sketches(silver: DataFrame) -> DataFrame:
+    """Per hour a sketch of its users and one of its products. They are stored with Gold,
+    and merge into any longer period without reading Silver again."""
+    return _by_hour(silver).agg(
+        F.hll_sketch_agg("user_id", F.lit(SKETCH)).alias("users"),
+        F.hll_sketch_agg("product_id", F.lit(SKETCH)).alias("products"),
+    )
+
+
+def distinct_by(sketches: DataFrame, unit: str) -> DataFrame:
+    """Distinct users and products per ``unit`` ("day", "week", "month"), merged from
+    :func:`distinct_sketches`: within two standard errors, 3.3 percent, in 95 of 100 periods."""
+    period = times.bucket(sketches, "hour", unit).alias("period")
+    return sketches.groupBy(period).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("distinct_users"),
+        F.hll_sketch_estimate(F.hll_union_agg("products")).alias("distinct_products"),
+    )
+
+
+def exact_distinct_by(silver: DataFrame, unit: str) -> DataFrame:
+    """The same counts exactly, from Silver."""
+    period = times.bucket(silver, "event_timestamp", unit).alias("period")
+    return silver.groupBy(period).agg(
+        F.countDistinct("user_id").alias("distinct_users"),
+        F.countDistinct("product_id").alias("distinct_products"),
+    )
+
+
 def gold_tables(rollup: DataFrame) -> dict[str, DataFrame]:
     """The three hourly tables of a rollup, by table name."""
     return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake import schemas
@@ -42,6 +42,22 @@ class LakePaths:
     def quarantine(self) -> str:
         return self.at("quarantine", "ecommerce_events")
 
+    @property
+    def batches_checkpoint(self) -> str:
+        return self.at("checkpoints", "batches")
+
+    @property
+    def arrivals(self) -> str:
+        return self.at("silver", "arrivals")
+
+    @property
+    def user_days(self) -> str:
+        return self.at("features", "user_days")
+
+    @property
+    def commits(self) -> str:
+        return self.at("commits")
+
     @property
     def features(self) -> str:
         return self.at("features", "user_features")
@@ -125,11 +141,17 @@ def run_gold(spark: SparkSession, paths: LakePaths, approx: bool = False) -> dic
 
 
 def run_features(
-    spark: SparkSession, paths: LakePaths, as_of: features.AsOf = None
+    spark: SparkSession,
+    paths: LakePaths,
+    as_of: features.AsOf = None,
+    label: Column | None = None,
 ) -> dict[str, int]:
-    """Replace the feature table; returns its row count."""
-    silver = read_table(spark, paths.silver, paths.fmt)
-    return write_table(features.user_features(silver, as_of), paths.features, paths.fmt)
+    """Replace the feature table; returns its row count. ``label`` is a rule of its own on the
+    features, true for class 1; by default a user with a purchase is."""
+    table = features.user_features(read_table(spark, paths.silver, paths.fmt), as_of)
+    if label is not None:
+        table = table.withColumn(schemas.LABEL_COLUMN, label.cast("int"))
+    return write_table(table, paths.features, paths.fmt)
 
 
 def run_training(
@@ -153,6 +175,8 @@ def run_all(
     paths: LakePaths,
     as_of: features.AsOf = None,
     on_violation: str = "fail",
+    label: Column | None = None,
+    exclude_leaky: bool = False,
 ) -> Row | None:
     """Silver, Gold, features and training, with the gate after each."""
     run_silver(spark, paths, on_violation)
@@ -160,6 +184,6 @@ def run_all(
     quality.require_rows(
         **{name: read_table(spark, paths.gold(name), paths.fmt) for name in written}
     )
-    run_features(spark, paths, as_of)
+    run_features(spark, paths, as_of, label)
     quality.require_rows(user_features=read_table(spark, paths.features, paths.fmt))
-    return run_training(spark, paths)
+    return run_training(spark, paths, exclude_leaky)

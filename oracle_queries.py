@@ -65,7 +65,8 @@ DIRTY = """dirty AS (
          CASE WHEN "offset" % 71 <> 0 THEN ts END AS ts, "offset", kafka_timestamp
   FROM bronze)"""
 UNSOLD = """unsold AS (
-  SELECT * FROM silver WHERE user_id % 5 <> 0 OR event_type <> 'purchase')"""
+  SELECT * REPLACE (CASE WHEN user_id % 5 = 0 AND event_type = 'purchase' THEN 'cart'
+                         ELSE event_type END AS event_type) FROM silver)"""
 S6 = f"sum({micros()}) FILTER ({BOUGHT})"
 BUYS = f"count(*) FILTER ({BOUGHT})"
 VIEWS = "count(*) FILTER (event_type = 'view')"
@@ -193,6 +194,20 @@ def with_(*parts: str) -> str:
     return "WITH " + ", ".join(parts) + " "
 
 
+TIMES = """times AS (
+  SELECT unnest(range(TIMESTAMP '2024-01-01 12:00:00', TIMESTAMP '2024-01-31 00:00:00',
+                      INTERVAL 1 DAY)) AS as_of)"""
+USERS_AT = (
+    USERS.replace("SELECT user_id,", "SELECT user_id, as_of,")
+    .replace(AS_OF, "as_of")
+    .replace(
+        "FROM silver GROUP BY user_id",
+        "FROM silver JOIN times ON event_timestamp < as_of GROUP BY user_id, as_of",
+    )
+)
+TOP_SPENDERS = f"""spenders AS (
+  SELECT user_id FROM ({spend('user_id', 'total_spent')}) t
+  ORDER BY total_spent DESC, t.user_id LIMIT 10)"""
 LABELLED = f"""labelled AS (
   SELECT * REPLACE (CASE WHEN avg_order_value > {SPENDER} THEN 1 ELSE 0 END AS is_purchaser)
   FROM user_features)"""
@@ -277,11 +292,15 @@ def described(name: str, types: dict[str, str], rows: str) -> str:
     )
 
 
-# The tables of the lake, in which every third user buys nothing and no unsound row stays.
+# The tables of the lake, in which no unsound row stays.
 LAKE = f"""lake AS (
   SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {r} THEN '{n}' END" for n, r in RULES.items())})
     AS rules
-  FROM bronze WHERE event_type <> 'purchase' OR user_id % 3 > 0)"""
+  FROM bronze)"""
+CLEANED = """silver AS (
+  SELECT user_id, product_id, event_type, price, ts AS event_timestamp,
+         kafka_timestamp AS ingestion_timestamp
+  FROM bronze WHERE event_type IN ('view', 'cart', 'purchase'))"""
 LAKE_SILVER = """silver AS (
   SELECT user_id, product_id, event_type, price, ts AS event_timestamp,
          kafka_timestamp AS ingestion_timestamp FROM lake WHERE rules = '')"""
@@ -293,8 +312,80 @@ CONTEXT_ROWS = {
 }
 
 
+FITTED = [c for c in FEATURES if c not in LEAKY]
+STEPS = 9
+
+
+def newton(names: list[str]) -> str:
+    """Logistic regression in SQL: common tables up to ``fit``, whose columns b0, b1, ... are the
+    coefficients of the scaled ``names`` and, last, the intercept. Each of the steps of
+    Newton's method is an aggregate over ``z`` and an elimination, a table for each pivot."""
+    n = len(names)
+    every = range(n + 1)
+    upper = [(i, j) for i in every for j in range(i, n + 1)]
+    scaling = ", ".join(
+        f"avg({c}::DOUBLE) AS m{i}, coalesce(nullif(stddev_pop({c}::DOUBLE), 0), 1) AS s{i}"
+        for i, c in enumerate(names)
+    )
+    scaled = ", ".join(f"({c}::DOUBLE - m{i}) / s{i} AS z{i}" for i, c in enumerate(names))
+    tables = [
+        f"""stats AS MATERIALIZED (SELECT {scaling}, count(*) AS n,
+              count(*) FILTER (is_purchaser = 1) AS n1 FROM parts WHERE NOT in_test)""",
+        f"""z AS MATERIALIZED (SELECT user_id, in_test, is_purchaser AS y, {scaled}, 1.0::DOUBLE AS z{n},
+              n / (2 * CASE WHEN is_purchaser = 1 THEN n1 ELSE n - n1 END) AS w FROM parts, stats)""",
+        f"b_0 AS (SELECT {', '.join(f'0.0::DOUBLE AS b{i}' for i in every)})",
+    ]
+    score = " + ".join(f"b{i} * z{i}" for i in every)
+    for step in range(STEPS):
+        slopes = ", ".join(
+            f"sum(w * (p - y) * z{i}){f' + any_value(b{i})' if i < n else ''} AS g{i}" for i in every
+        )
+        bends = ", ".join(
+            f"sum(w * p * (1 - p) * z{i} * z{j}){' + 1' if i == j < n else ''} AS h{i}_{j}"
+            for i, j in upper
+        )
+        before = ", ".join(f"any_value(b{i}) AS b{i}" for i in every)
+        tables.append(
+            f"""e_{step}_0 AS MATERIALIZED (SELECT {slopes}, {bends}, {before}
+              FROM (SELECT *, 1 / (1 + exp(-({score}))) AS p FROM z, b_{step} WHERE NOT in_test))"""
+        )
+        for t in range(n):
+            columns = [
+                f"h{i}_{j} - h{t}_{i} * h{t}_{j} / h{t}_{t} AS h{i}_{j}" if i > t else f"h{i}_{j}"
+                for i, j in upper
+            ]
+            columns += [f"g{i} - h{t}_{i} * g{t} / h{t}_{t} AS g{i}" if i > t else f"g{i}" for i in every]
+            columns += [f"b{i}" for i in every]
+            tables.append(f"e_{step}_{t + 1} AS MATERIALIZED (SELECT {', '.join(columns)} FROM e_{step}_{t})")
+        solved = f"e_{step}_{n}"
+        for i in reversed(every):
+            known = "".join(f" - h{i}_{j} * x{j}" for j in range(i + 1, n + 1))
+            solved = f"(SELECT *, (g{i}{known}) / h{i}_{i} AS x{i} FROM {solved})"
+        tables.append(
+            f"b_{step + 1} AS MATERIALIZED (SELECT {', '.join(f'b{i} - x{i} AS b{i}' for i in every)} FROM {solved})"
+        )
+    tables.append(f"fit AS (SELECT * FROM b_{STEPS})")
+    tables.append(
+        f"""scored AS (SELECT *, 1 / (1 + exp(-s)) AS p, (s > 0)::INTEGER AS predicted
+              FROM (SELECT user_id, in_test, y, {score} AS s FROM z, fit))"""
+    )
+    return ", ".join(tables)
+
+
 def oracle_sql() -> dict[str, str]:
-    lake = with_(BRONZE, LAKE, LAKE_SILVER, HOURLY, USERS, USER_FEATURES, PARTS)
+    lake = with_(BRONZE, LAKE, LAKE_SILVER, HOURLY, USERS, USER_FEATURES)
+    labelled_parts = PARTS.replace("FROM user_features", "FROM labelled")
+    trained = f"{features}, {LABELLED}, {labelled_parts}, {newton(FITTED)}"
+    tested = """cells AS (
+      SELECT count(*) FILTER (y = 1 AND predicted = 1) AS tp,
+             count(*) FILTER (y = 0 AND predicted = 1) AS fp,
+             count(*) FILTER (y = 1 AND predicted = 0) AS fn,
+             count(*) FILTER (y = 0 AND predicted = 0) AS tn, count(*) AS n
+      FROM scored WHERE in_test), ranked AS (
+      SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS r
+      FROM scored WHERE in_test), area AS (
+      SELECT (sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y)))
+        AS roc_auc FROM ranked)"""
     widths = {**{n: len(t) for n, t in GOLD_TYPES.items()}, "user_features": len(FEATURE_TYPES)}
     revenue = f"SELECT hour, {listed(REVENUE_COLUMNS)} FROM hourly WHERE buys > 0"
     active = """SELECT hour, users AS active_users, total_events,
@@ -306,9 +397,7 @@ def oracle_sql() -> dict[str, str]:
     united = with_(SILVER, UNITED)
     unsold = with_(SILVER, UNSOLD, USERS.replace("FROM silver", "FROM unsold"), USER_FEATURES)
     bronze_rows = f"{bronze} SELECT * EXCLUDE (ts) FROM bronze"
-    cleaned = f"""{bronze} SELECT user_id, product_id, event_type, price,
-        ts AS event_timestamp, kafka_timestamp AS ingestion_timestamp
-        FROM bronze WHERE event_type IN ('view', 'cart', 'purchase')"""
+    cleaned = f"{with_(BRONZE, CLEANED)} SELECT * FROM silver"
     feature_rows = f"{features} SELECT * FROM user_features"
     return {
         "decode_events": bronze_rows,
@@ -321,6 +410,14 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN odd THEN event_type END AS event_type,
             CASE WHEN odd THEN {JSON} ELSE reverse({JSON}) END AS raw_value
             FROM (SELECT *, "offset" % 2 = 1 AS odd FROM bronze)""",
+        "decode_evolved": f"""{bronze} SELECT "offset", user_id, product_id, event_type, price,
+            CASE WHEN event_type = 'purchase' THEN 'EUR' END AS currency,
+            CASE WHEN "offset" % 2 = 0 THEN product_id END AS k,
+            (event_type = 'purchase')::INTEGER + ("offset" % 2 = 0)::INTEGER AS others FROM bronze""",
+        "new_fields": f"""{bronze} SELECT 'currency' AS field, count(*) AS rows, 'STRING' AS type
+            FROM bronze WHERE event_type = 'purchase'
+            UNION ALL SELECT 'props', count(*), 'OBJECT<k: BIGINT>' FROM bronze
+            WHERE "offset" % 2 = 0""",
         "quality_report": f"""{bronze} SELECT *, greatest({', '.join(RULES)}) = 0 AS passed
             FROM ({REPORT})""",
         "quality_issues": bronze
@@ -353,6 +450,51 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL BY NAME SELECT *, 'active_users_per_hour' AS "table" FROM ({active})
             UNION ALL BY NAME SELECT *, 'conversion_rate' AS "table" FROM ({funnel})""",
         "pipeline_features": f"{lake} SELECT * FROM user_features",
+        "incremental_silver": f"{lake} SELECT *, event_timestamp::DATE AS event_date FROM silver",
+        "incremental_gold": f"""{lake} SELECT *, hour::DATE AS event_date FROM (
+            SELECT *, 'revenue_per_hour' AS "table" FROM ({revenue})
+            UNION ALL BY NAME SELECT *, 'active_users_per_hour' AS "table" FROM ({active})
+            UNION ALL BY NAME SELECT *, 'conversion_rate' AS "table" FROM ({funnel}))""",
+        "incremental_features": f"{lake} SELECT * FROM user_features",
+        "incremental_batches": f"""{lake} SELECT 2 * count(*) AS rows_read,
+            2 * count(*) FILTER (rules <> '') AS rows_quarantined, 0::BIGINT AS rows_untimed,
+            2 * count(*) FILTER (rules = '') AS rows_arrived,
+            count(DISTINCT ts::DATE) FILTER (rules = '')::INTEGER AS days,
+            2 * count(*) FILTER (rules <> '') AS quarantine FROM lake""",
+        "streamed_silver": f"{with_(BRONZE, CLEANED)} SELECT * FROM silver",
+        "streamed_gold": f"""{with_(BRONZE, CLEANED, HOURLY)}
+            SELECT *, 'revenue_per_hour' AS "table" FROM ({revenue})
+            UNION ALL BY NAME SELECT *, 'active_users_per_hour' AS "table" FROM ({active})
+            UNION ALL BY NAME SELECT *, 'conversion_rate' AS "table" FROM ({funnel})""",
+        "distinct_by_period": silver
+        + " UNION ALL ".join(
+            f"""SELECT '{unit}' AS unit, date_trunc('{unit}', event_timestamp)::TIMESTAMP AS period,
+                count(DISTINCT user_id) AS distinct_users,
+                count(DISTINCT product_id) AS distinct_products,
+                true AS distinct_users_within, true AS distinct_products_within
+                FROM silver GROUP BY 2"""
+            for unit in ("day", "week", "month")
+        ),
+        "features_as_of": f"""{with_(SILVER, TIMES, USERS_AT, USER_FEATURES.replace(AS_OF, "as_of"))}
+            SELECT * FROM user_features""",
+        "point_lookup": f"""{features}, {TOP_SPENDERS} SELECT user_features.*
+            FROM user_features JOIN spenders USING (user_id)""",
+        "saved_scores": f"""{features}, {LABELLED}, {GIVEN}, {TOP_SPENDERS}
+            SELECT user_id, predicted, round(greatest(p, 1 - p) * 100, 6) AS confidence,
+            CASE WHEN predicted = 1 THEN 'Likely Purchaser' ELSE 'Unlikely Purchaser' END AS message
+            FROM given JOIN spenders USING (user_id)""",
+        "run_all": f"""{lake} SELECT 'bronze' AS layer, count(*) AS rows FROM bronze
+            UNION ALL SELECT 'silver', count(*) FROM silver
+            UNION ALL SELECT 'revenue_per_hour', count(*) FROM hourly WHERE buys > 0
+            UNION ALL SELECT 'active_users_per_hour', count(*) FROM hourly
+            UNION ALL SELECT 'conversion_rate', count(*) FROM hourly
+            UNION ALL SELECT 'user_features', count(*) FROM users
+            UNION ALL SELECT 'trained_on', CASE WHEN count(*) >= 100 THEN count(*) ELSE 0 END
+              FROM users
+            UNION ALL SELECT 'good_models', CASE WHEN count(*) >= 100 THEN 1 ELSE 0 END FROM users""",
+        "run_all_failing": f"""{bronze} SELECT * FROM (UNPIVOT ({REPORT})
+              ON {', '.join(RULES)} INTO NAME rule VALUE rows) WHERE rows > 0
+            UNION ALL SELECT 'layers', 1""",
         "pipeline_counts": f"""{lake} SELECT 'rows_read' AS step, count(*) AS rows FROM silver
             UNION ALL SELECT 'rows_written', count(*) FROM silver
             UNION ALL SELECT 'rows_quarantined', count(*) FROM lake WHERE rules <> ''
@@ -360,14 +502,16 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'active_users_per_hour', count(*) FROM hourly
             UNION ALL SELECT 'conversion_rate', count(*) FROM hourly
             UNION ALL SELECT 'user_features', count(*) FROM users""",
-        "gate_status": f"""{lake} SELECT 'bronze_quality' AS gate, count(*) = 0 AS passed
+        "gate_status": f"""{lake}, {LABELLED}, {GIVEN}, {GIVEN_CELLS} SELECT 'bronze_quality' AS gate, count(*) = 0 AS passed
               FROM lake WHERE rules <> ''
             UNION ALL SELECT 'gold_rows', count(*) FILTER (buys > 0) > 0 FROM hourly
             UNION ALL SELECT 'feature_rows', count(*) > 0 FROM users
             UNION ALL SELECT 'no_rows', count(*) > 0 FROM users WHERE user_id < 0
             UNION ALL SELECT 'enough_to_train', count(*) >= 100 FROM users
-            UNION ALL SELECT 'model_without_metrics', false""",
-        "metrics_history": f"""{lake} SELECT count(*) FILTER (NOT in_test) AS n_train,
+            UNION ALL SELECT 'model_without_metrics', false
+            UNION ALL SELECT 'given_model', (tp + tn) / n >= 0.5 FROM cells
+            UNION ALL SELECT 'given_model_unlike_perfect', (tp + tn) / n >= 1 FROM cells""",
+        "metrics_history": f"""{lake}, {LABELLED}, {labelled_parts} SELECT count(*) FILTER (NOT in_test) AS n_train,
             count(*) FILTER (in_test) AS n_test, {len(FEATURES) - len(LEAKY)} AS n_features,
             true AS passed FROM parts, range(2) AS run(n) GROUP BY n HAVING count(*) >= 100""",
         "hourly_rollup": f"""{gold} SELECT hour, {listed(REVENUE_COLUMNS)}, users AS active_users,
@@ -487,6 +631,24 @@ def oracle_sql() -> dict[str, str]:
                 - count(*) FILTER (is_purchaser = 1) * (count(*) FILTER (is_purchaser = 1) + 1) / 2)
               / (count(*) FILTER (is_purchaser = 1) * count(*) FILTER (is_purchaser = 0)), 9) AS roc_auc
             FROM ranked""",
+        "train_metrics": f"""{trained}, {tested}
+            SELECT round((tp + tn) / n, 9) AS accuracy,
+              CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 9) ELSE 0 END AS precision,
+              CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall,
+              round(2 * tp / (2 * tp + fp + fn), 9) AS f1_score, round(roc_auc, 9) AS roc_auc,
+              (SELECT count(*) FROM z WHERE NOT in_test) AS n_train, n AS n_test,
+              {len(FITTED)} AS n_features FROM cells, area""",
+        "confusion_matrix": f"""{trained}, {tested}
+            SELECT 1 AS label, 1 AS predicted, tp AS n FROM cells
+            UNION ALL SELECT 0, 1, fp FROM cells UNION ALL SELECT 1, 0, fn FROM cells
+            UNION ALL SELECT 0, 0, tn FROM cells""",
+        "top_coefficients": f"{trained} SELECT feature, round(b, 4) AS coefficient FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS feature, b{i} AS b FROM fit" for i, c in enumerate(FITTED))
+        + ") ORDER BY abs(b) DESC LIMIT 5",
+        "score_users": f"""{trained} SELECT user_id, predicted,
+            round(greatest(p, 1 - p) * 100, 4) AS confidence,
+            CASE WHEN predicted = 1 THEN 'Likely Purchaser' ELSE 'Unlikely Purchaser' END AS message
+            FROM scored""",
         "grouped_query": f"""{features} SELECT is_purchaser, count(*) AS users,
             sum(total_events)::BIGINT AS events, max(last_activity) AS newest
             FROM user_features GROUP BY 1""",

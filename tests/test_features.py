@@ -68,3 +68,24 @@ def test_the_clock_is_the_default(make_silver):
     row = features.user_features(make_silver(EVENTS)).filter("user_id = 1").first()
     assert row.purchases_last_24h == 0
     assert row.feature_timestamp > datetime(2025, 1, 1)
+
+
+def test_features_as_of_are_those_of_the_events_before(spark, silver):
+    times = [datetime(2024, 1, day, hour) for day, hour in ((1, 0), (1, 12), (9, 23), (30, 12), (31, 0))]
+    found = features.features_as_of(silver, times)
+    assert found.columns == features.user_features(silver, times[0]).columns
+    for at in times:
+        before = silver.filter(F.col("event_timestamp") < F.lit(at).cast("timestamp_ntz"))
+        own = found.filter(F.col("feature_timestamp") == F.lit(at).cast("timestamp_ntz"))
+        assert rows(own) == rows(features.user_features(before, at))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_days_merge_into_the_features(spark, silver):
+    by_day = silver.withColumn("event_date", F.to_date("event_timestamp"))
+    days = features.user_days(by_day)
+    assert days.count() < silver.count() + 1
+    at = datetime(2024, 1, 20, 12)
+    newest = by_day.filter(F.col("event_date") >= features.since(at))
+    assert rows(features.features_of_days(days, newest, at)) == rows(features.user_features(silver, at))

@@ -50,9 +50,24 @@ def test_coefficients_are_those_of_a_direct_solution(features, trained):
     x = (x - x.mean(axis=0)) / x.std(axis=0)
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     expected = newton(x, y, weight)
-    fitted = trained.pipeline.stages[-1]
-    np.testing.assert_allclose(fitted.coefficients.toArray(), expected[:-1], rtol=1e-4)
-    np.testing.assert_allclose(fitted.intercept, expected[-1], rtol=1e-3)
+    fitted = model.fit(train, NAMES)
+    np.testing.assert_allclose(list(fitted.coefficients.values()), expected[:-1], rtol=1e-8)
+    np.testing.assert_allclose(fitted.intercept, expected[-1], rtol=1e-7)
+    assert [r.coefficient for r in trained.coefficients.collect()] == pytest.approx(expected[:-1])
+
+
+def test_separable_classes_are_fitted(spark):
+    """Without the penalty there would be no minimum; steps that overshoot are halved."""
+    data = [(i, float(i), float(i % 3) * 1e6, 0.0, int(i >= 50)) for i in range(100)]
+    columns = ", ".join(f"{c} double" for c in NAMES)
+    frame = spark.createDataFrame(data, f"user_id bigint, {columns}, is_purchaser int")
+    fitted = model.fit(frame, NAMES, c=100.0)
+    scored = model.predict(fitted.pipeline, frame)
+    assert scored.filter("predicted <> is_purchaser").isEmpty()
+    x = np.array([row[1:4] for row in data])
+    x = (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
+    expected = newton(x, np.array([row[4] for row in data]), np.ones(100), 0.01)
+    np.testing.assert_allclose(list(fitted.coefficients.values()), expected[:-1], rtol=1e-6, atol=1e-9)
 
 
 def test_metrics_follow_from_the_predictions(features, trained):
@@ -158,8 +173,7 @@ def test_one_class_cannot_be_fitted(features):
 
 def test_a_feature_without_variance_is_only_centred(features):
     constant = features.withColumn("cart_count", F.lit(7.0))
-    pipeline, _ = model.fit(constant, NAMES)
-    assert pipeline.stages[-1].coefficients[2] == 0.0
+    assert model.fit(constant, NAMES).coefficients["cart_count"] == 0.0
 
 
 def test_undefined_shares_are_zero(spark):

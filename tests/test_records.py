@@ -1,9 +1,15 @@
 import json
 
-from conftest import as_json, record
+from conftest import as_json, record, rows
+from pyspark.sql import functions as F
 
 from eventlake import schemas
-from eventlake.functions.records import decode_records, encode_records
+from eventlake.functions.records import (
+    decode_evolving,
+    decode_records,
+    encode_records,
+    new_fields,
+)
 
 
 def decode(spark, *values, **options):
@@ -60,3 +66,35 @@ def test_encoding_round_trip(spark):
         (1, 12.5, "purchase"),
         (None, None, "view"),
     ]
+
+
+def test_fields_the_schema_does_not_know_are_kept_and_reported(spark):
+    values = [
+        '{"user_id": 1, "event_type": "view", "price": 1.5, "coupon": "A", "geo": {"lat": 1.5}}',
+        '{"user_id": 2, "coupon": null, "tags": [1, 2]}',
+        '{"user_id": 3, "coupon": 7}',
+        '{"user_id": 4}',
+        "[1, 2]",
+        "not json",
+        None,
+    ]
+    records = spark.createDataFrame([record(i, v) for i, v in enumerate(values)], schemas.RECORD)
+    decoded = decode_evolving(records)
+    assert rows(decoded.drop("other_fields")) == rows(decode_records(records))
+    found = decoded.orderBy("offset").select(
+        F.map_keys("other_fields").alias("names"),
+        F.try_variant_get(F.col("other_fields")["coupon"], "$", "string").alias("coupon"),
+    )
+    assert [(r.names and sorted(r.names), r.coupon) for r in found.collect()] == [
+        (["coupon", "geo"], "A"),
+        (["coupon", "tags"], None),
+        (["coupon"], "7"),
+        ([], None),
+        (None, None),
+        (None, None),
+        (None, None),
+    ]
+    reported = {r.field: (r.rows, r.type) for r in new_fields(decoded).collect()}
+    assert reported["coupon"][0] == 3 and reported["tags"] == (1, "ARRAY<BIGINT>")
+    assert reported["geo"] == (1, "OBJECT<lat: DECIMAL(2,1)>")
+    assert decode_evolving(records, keep_raw=True).columns[-2:] == ["raw_value", "other_fields"]

@@ -89,3 +89,100 @@ def test_layer_status(spark, tmp_path):
     assert (other.rows, other.newest) == (1, None)
     nothing = tables.layer_status(spark, {"missing": str(tmp_path / "missing")}).first()
     assert nothing.exists is False
+
+
+def test_a_reader_finds_a_whole_table_between_any_two_steps(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    seen = []
+    writing, publishing = tables._file_system, tables._publish
+
+    def publish(*args):
+        seen.append(tables.read_table(spark, path).count())
+        monkeypatch.setattr(tables, "_file_system", lambda *a: seen.append(_count(spark, path, writing)) or writing(*a))
+        publishing(*args)
+        monkeypatch.setattr(tables, "_file_system", writing)
+        seen.append(tables.read_table(spark, path).count())
+
+    monkeypatch.setattr(tables, "_publish", publish)
+    held = tables.read_table(spark, path)
+    tables.write_table(spark.range(9), path)
+    assert set(seen) == {5, 9} and seen == sorted(seen)
+    assert held.count() == 5 and tables.read_table(spark, path).count() == 9
+
+
+def _count(spark, path, file_system):
+    pointer, files = file_system(spark, f"{path}/{tables.LIVE}")
+    stream = files.open(pointer)
+    version = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return spark.read.parquet(f"{path}/{tables.VERSIONS}/{version}").count()
+
+
+@pytest.mark.parametrize("step", ["write", "publish"])
+def test_a_crash_leaves_the_live_version(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    real = tables._publish
+
+    def broken(*args):
+        if step == "publish":
+            raise RuntimeError("broke off")
+        return real(*args)
+
+    monkeypatch.setattr(tables, "_publish", broken)
+    bad = spark.range(9)
+    if step == "write":
+        bad = bad.select(F.when(F.col("id") == 8, F.raise_error(F.lit("x"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises((RuntimeError, PySparkException)):
+        tables.write_table(bad, path)
+    assert rows(tables.read_table(spark, path)) == [(i,) for i in range(5)]
+    monkeypatch.setattr(tables, "_publish", real)
+    tables.write_table(spark.range(7), path)
+    assert tables.read_table(spark, path).count() == 7
+    versions = [f for f in (tmp_path / "t" / tables.VERSIONS).iterdir() if f.is_dir()]
+    assert len(versions) == 2
+
+
+def test_files_from_before_versions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    assert tables.read_table(spark, path).count() == 3
+    tables.write_table(spark.range(4), path)
+    assert tables.read_table(spark, path).count() == 4
+    assert {f.name for f in (tmp_path / "t").iterdir() if not f.name.endswith(".crc")} == {tables.LIVE, tables.VERSIONS}
+
+
+def test_status_reads_footers_and_the_newest_times(spark, tmp_path):
+    path = str(tmp_path / "t")
+    times = spark.range(1000).selectExpr("id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS ts")
+    tables.write_table(times.repartitionByRange(4, "ts"), path)
+    table = tables.read_table(spark, path)
+    row = tables.layer_status(spark, {"t": path, "none": str(tmp_path / "none")}).collect()
+    assert [(r.layer, r.exists, r.files, r.rows) for r in row] == [("none", False, None, None), ("t", True, 4, 1000)]
+    assert row[1].newest == datetime(2024, 2, 11, 15)
+    status = tables._status("t", table, tables.live_folder(spark, path))
+    text = status._jdf.queryExecution().executedPlan().toString()
+    read = {part.split(">")[0] for part in text.split("ReadSchema: struct<")[1:]}
+    assert read <= {"", "ts:timestamp_ntz", "modificationTime:timestamp"}
+    empty = tables._status("e", table.filter("false"), tables.live_folder(spark, path))
+    assert empty.first().rows == 0
+
+
+def test_lookups_read_the_buckets_of_their_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    users = spark.range(1000).selectExpr("id AS user_id", "id * 2 AS x").withColumn("key", F.lit("clash"))
+    assert tables.write_indexed(users, path, "user_id", buckets=16) == {"rows_written": 1000}
+    table = tables.read_table(spark, path)
+
+    def found(ids):
+        wanted = spark.createDataFrame([(i,) for i in ids], "user_id bigint")
+        return tables.look_up(table, "user_id", wanted, buckets=16)
+
+    one = found([77])
+    assert rows(one.select("user_id", "x")) == [(77, 154)] and one.columns == users.columns
+    read = table.filter(F.col(tables.BUCKET) == tables._bucket(F.lit(77).cast("bigint"), 16))
+    assert len(read.select("_metadata.file_path").distinct().collect()) == 1
+    assert rows(found([5, 5, None, 2000, 999]).select("user_id")) == [(5,), (999,)]
+    assert found([]).isEmpty() and found([None]).isEmpty()
+    assert found(range(1000)).count() == 1000
