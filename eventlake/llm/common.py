@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from eventlake.session import scratch_dir
 
 
+#: Parts that the texts of one id are numbered in: two to the power of this.
+PART_BITS = 8
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
@@ -46,17 +50,34 @@ def with_units(
     The number is the id itself where every id is set and has one text. Otherwise the
     texts of an id are numbered by their hash, and rows without an id come last. Rows
     that repeat both id and text share a number: they are one document.
+
+    However many rows share an id, or have none: their texts are numbered within parts by
+    their hash, and the parts one after another.
     """
     known = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash")
     ).distinct()
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("hash")) - 1
-    variants = known.select("id", "hash", rank.alias("variant"))
-    more, nulls, low, high = variants.agg(
-        F.max("variant"), F.count(F.when(F.isnull("id"), 1)), F.min("id"), F.max("id")
-    ).first()
+    most, nulls, low, high = (
+        known.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("texts"))
+        .agg(F.max("texts"), F.count(F.when(F.isnull("id"), 1)), F.min("id"), F.max("id"))
+        .first()
+    )
+    more = (most or 1) - 1
     if not more and not nulls:
         return docs.withColumn(name, F.col(id_col).cast("long"))
+    known = known.withColumn("part", F.shiftright("hash", 64 - PART_BITS))
+    parts = known.groupBy("id", "part").agg(F.count(F.lit(1)).alias("texts"))
+    earlier = F.sum("texts").over(Window.partitionBy("id").orderBy("part")) - F.col("texts")
+    parts = parts.select("id", "part", earlier.alias("before"))
+    rank = F.row_number().over(Window.partitionBy("id", "part").orderBy("hash")) - 1
+    ranked = known.select(
+        F.col("id").alias("own_id"), F.col("part").alias("own_part"), "hash", rank.alias("rank")
+    )
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("part") == F.col("own_part"))
+    variants = ranked.join(parts, same).select(
+        "id", "hash", (F.col("before") + F.col("rank")).alias("variant")
+    )
     place = F.coalesce(F.col("id"), F.lit((high or 0) + 1)) - F.lit(low or 0)
     own_id, own_hash = free_name(docs, "unit_id"), free_name(docs, "unit_hash")
     numbered = variants.select(
