@@ -35,8 +35,10 @@ from eventlake.streaming.silver import stream_silver
 
 try:
     import corpus_pipeline
-    from eventlake.llm import queries as corpus_queries
-except ImportError:
+    import eventlake.llm.queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "eventlake.llm", "eventlake.llm.queries"):
+        raise
     corpus_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -461,6 +463,7 @@ def _gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         "feature_rows": lambda: quality.require_rows(user_features=table),
         "no_rows": lambda: quality.require_rows(user_features=table.filter("user_id < 0")),
         "enough_to_train": lambda: quality.enough_to_train(table),
+        "too_few_to_train": lambda: quality.enough_to_train(table.filter("user_id < 5")),
         "model_without_metrics": lambda: artifacts.check_model(spark, paths.metrics),
         "given_model": lambda: _check_given(spark, table, paths, 0.5),
         "given_model_unlike_perfect": lambda: _check_given(spark, table, paths, 1.0),
@@ -616,10 +619,23 @@ def _distinct_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    context = _registry(spark, sf_dir).context()
-    return tables.union_tables(
-        [known["profile"].withColumn("table", F.lit(name)) for name, known in context.items()]
-    )
+    """All that is known of the tables but their first rows: sizes, columns, figures, times."""
+    registry = _registry(spark, sf_dir)
+    registry.tables = {name: checkpointed(table) for name, table in registry.tables.items()}
+    parts = []
+    for name, known in registry.context().items():
+        times = known["time_summary"]
+        figures = [c for c in times.columns if c not in ("column", "count")]
+        times = times.withColumnsRenamed({c: f"{c}_time" for c in figures})
+        found = {
+            "profile": known["profile"],
+            "columns": known["column_profile"],
+            "summary": _rounded_summary(known["summary"]),
+            "times": _without_zone(times),
+        }
+        for part, table in found.items():
+            parts.append(table.withColumns({"table": F.lit(name), "part": F.lit(part)}))
+    return tables.union_tables(parts)
 
 
 def _answer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

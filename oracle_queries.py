@@ -190,6 +190,18 @@ def summary(table: str, columns: list[str]) -> str:
     )
 
 
+def time_summary(table: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(us) AS count,
+            make_timestamp(round(avg(us))::BIGINT) AS mean, make_timestamp(min(us)) AS min,
+            make_timestamp(round(quantile_cont(us::DOUBLE, 0.25))::BIGINT) AS p25,
+            make_timestamp(round(quantile_cont(us::DOUBLE, 0.5))::BIGINT) AS p50,
+            make_timestamp(round(quantile_cont(us::DOUBLE, 0.75))::BIGINT) AS p75,
+            make_timestamp(max(us)) AS max FROM (SELECT epoch_us({c}) AS us FROM {table})"""
+        for c in columns
+    )
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ", ".join(parts) + " "
 
@@ -304,12 +316,6 @@ CLEANED = """silver AS (
 LAKE_SILVER = """silver AS (
   SELECT user_id, product_id, event_type, price, ts AS event_timestamp,
          kafka_timestamp AS ingestion_timestamp FROM lake WHERE rules = '')"""
-CONTEXT_ROWS = {
-    "revenue_per_hour": "SELECT count(*) FROM hourly WHERE buys > 0",
-    "active_users_per_hour": "SELECT count(*) FROM hourly",
-    "conversion_rate": "SELECT count(*) FROM hourly",
-    "user_features": "SELECT count(*) FROM users",
-}
 
 
 FITTED = [c for c in FEATURES if c not in LEAKY]
@@ -372,14 +378,33 @@ def newton(names: list[str]) -> str:
     return ", ".join(tables)
 
 
+def described_table(name: str, types: dict[str, str]) -> str:
+    """Every part of what is known of a table without missing cells."""
+    numbers = [c for c, kind in types.items() if kind in ("bigint", "int", "double")]
+    moments = [c for c, kind in types.items() if kind == "timestamp_ntz"]
+    figures = ("mean", "min", "p25", "p50", "p75", "max")
+    renamed = ", ".join(f"{f} AS {f}_time" for f in figures)
+    parts = {
+        "profile": f"SELECT count(*) AS rows, {len(types)} AS columns, 0.0::DOUBLE AS null_percent FROM {name}",
+        "columns": column_profile(name, types),
+        "summary": summary(name, numbers),
+        "times": f"SELECT * EXCLUDE ({', '.join(figures)}), {renamed} FROM ({time_summary(name, moments)})",
+    }
+    return " UNION ALL BY NAME ".join(
+        f"""SELECT *, '{name}' AS "table", '{part}' AS part FROM ({sql})""" for part, sql in parts.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     lake = with_(BRONZE, LAKE, LAKE_SILVER, HOURLY, USERS, USER_FEATURES)
     labelled_parts = PARTS.replace("FROM user_features", "FROM labelled")
-    widths = {**{n: len(t) for n, t in GOLD_TYPES.items()}, "user_features": len(FEATURE_TYPES)}
     revenue = f"SELECT hour, {listed(REVENUE_COLUMNS)} FROM hourly WHERE buys > 0"
     active = """SELECT hour, users AS active_users, total_events,
         products AS unique_products_viewed FROM hourly"""
     funnel = f"SELECT hour, {listed(FUNNEL_COLUMNS)} FROM hourly"
+    context = {**GOLD_TYPES, "user_features": FEATURE_TYPES}
+    gold_rows = {"revenue_per_hour": revenue, "active_users_per_hour": active, "conversion_rate": funnel}
+    gold_ctes = [f"{name} AS ({sql})" for name, sql in gold_rows.items()]
     silver, bronze = with_(SILVER), with_(BRONZE)
     gold, users = with_(SILVER, HOURLY), with_(SILVER, USERS)
     features = with_(SILVER, USERS, USER_FEATURES)
@@ -435,12 +460,8 @@ def oracle_sql() -> dict[str, str]:
             products AS unique_products_viewed FROM hourly""",
         "conversion_rate": f"{gold} {funnel}",
         "conversion_trend": f"{gold} {funnel}",
-        "table_context": with_(SILVER, HOURLY, USERS)
-        + " UNION ALL ".join(
-            f"""SELECT '{n}' AS "table", ({rows}) AS rows, {widths[n]} AS columns,
-                0.0::DOUBLE AS null_percent"""
-            for n, rows in CONTEXT_ROWS.items()
-        ),
+        "table_context": with_(SILVER, HOURLY, USERS, USER_FEATURES, *gold_ctes)
+        + " UNION ALL BY NAME ".join(described_table(n, types) for n, types in context.items()),
         "answer_summary": f"""{gold} SELECT count(*) AS rows, 2 AS columns,
             {half_up("100 * count(*) FILTER (buys = 1)", "2 * count(*)", 1)} AS null_percent
             FROM hourly WHERE buys > 0""",
@@ -508,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'feature_rows', count(*) > 0 FROM users
             UNION ALL SELECT 'no_rows', count(*) > 0 FROM users WHERE user_id < 0
             UNION ALL SELECT 'enough_to_train', count(*) >= 100 FROM users
+            UNION ALL SELECT 'too_few_to_train', count(*) >= 100 FROM users WHERE user_id < 5
             UNION ALL SELECT 'model_without_metrics', false
             UNION ALL SELECT 'given_model', (tp + tn) / n >= 0.5 FROM cells
             UNION ALL SELECT 'given_model_unlike_perfect', (tp + tn) / n >= 1 FROM cells""",
@@ -577,13 +599,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "summary_stats": features
         + summary("user_features", FEATURES + ["is_purchaser"]),
-        "time_summary": f"""{silver}, t AS (SELECT epoch_us(event_timestamp) AS us FROM silver)
-            SELECT 'event_timestamp' AS "column", count(us) AS count,
-              make_timestamp(round(avg(us))::BIGINT) AS mean, make_timestamp(min(us)) AS min,
-              make_timestamp(round(quantile_cont(us::DOUBLE, 0.25))::BIGINT) AS p25,
-              make_timestamp(round(quantile_cont(us::DOUBLE, 0.5))::BIGINT) AS p50,
-              make_timestamp(round(quantile_cont(us::DOUBLE, 0.75))::BIGINT) AS p75,
-              make_timestamp(max(us)) AS max FROM t""",
+        "time_summary": silver + time_summary("silver", ["event_timestamp"]),
         "class_distribution": f"""{features}, {LABELLED}
             SELECT is_purchaser, count(*) AS count,
               {half_up('100 * count(*)', '(SELECT count(*) FROM labelled)', 1)} AS percent
