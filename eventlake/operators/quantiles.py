@@ -169,31 +169,30 @@ def _is_double(df: DataFrame, columns: list[str], bracket: Bracket) -> bool:
     return not isinstance(df.schema[columns[bracket.column]].dataType, T.LongType)
 
 
-def _slotted(
-    df: DataFrame, columns: list[str], brackets: list[Bracket], cuts: list[list[float]] | None = None
-) -> DataFrame:
-    """(slot, value, whole) of the rows of the brackets, slot being the number of theirs, or
-    with ``cuts`` of each bracket (slot, cell). Brackets of one column may overlap: a row is given
-    once for each that holds it. All of a row's slots are made from it at once."""
+def _slotted(df: DataFrame, columns: list[str], brackets: list[Bracket]) -> DataFrame:
+    """(slot, value, whole) of the rows of the brackets, slot being the number of theirs.
+    Brackets of one column may overlap: a row is given once for each that holds it. All of a
+    row's slots are made from it at once."""
     slots = []
     for i, b in enumerate(brackets):
         column = F.col(columns[b.column])
         value = column.cast("double")
-        if cuts is None:
-            whole = isinstance(df.schema[columns[b.column]].dataType, T.IntegralType)
-            exact = column if whole else F.lit(None)
-            fields = [value.alias("value"), exact.cast("bigint").alias("whole")]
-        else:
-            fields = [_cell(value, cuts[i]).alias("cell")]
-        slots.append(F.when(b.condition(value), F.struct(F.lit(i).alias("slot"), *fields)))
+        whole = isinstance(df.schema[columns[b.column]].dataType, T.IntegralType)
+        exact = (column if whole else F.lit(None)).cast("bigint")
+        fields = [F.lit(i).alias("slot"), value.alias("value"), exact.alias("whole")]
+        slots.append(F.when(b.condition(value), F.struct(*fields)))
     return df.select(F.inline(F.array(*slots))).filter(F.col("slot").isNotNull())
 
 
-def _cell(value: Column, cuts: list[float]) -> Column:
-    """Twice the cuts below ``value``, and one more if it is a cut."""
-    cell = F.lit(0)
-    for cut in cuts:
-        cell = cell + (value > F.lit(cut)).cast("int") + (value >= F.lit(cut)).cast("int")
+def _cell(cuts: list[list[float]]) -> Column:
+    """Twice the cuts of its slot below the value, and one more if it is a cut. The cuts are
+    looked up as data: a comparison for each cut of each slot would outgrow what the JVM compiles."""
+    most = max(map(len, cuts))
+    # NaN is above every value.
+    filled = [F.array(*[F.lit(c) for c in (*of, *[math.nan] * (most - len(of)))]) for of in cuts]
+    own, value, cell = F.get(F.array(*filled), F.col("slot")), F.col("value"), F.lit(0)
+    for i in range(most):
+        cell = cell + (F.get(own, i) < value).cast("int") + (F.get(own, i) <= value).cast("int")
     return cell
 
 
@@ -246,7 +245,7 @@ def _narrowed(df, columns, wanted) -> dict[Bracket, set[int]]:
     bounds = sketch.select("slot", F.kll_sketch_get_quantile_double("sketch", asked_for).alias("at"))
     found = {row.slot: dict(zip(every, row["at"])) for row in bounds.collect()}
     cuts = [sorted({found[i][share] for share in shares}) for i, shares in enumerate(asked)]
-    cells = _slotted(df, columns, brackets, cuts).groupBy("slot", "cell").count().collect()
+    cells = _slotted(df, columns, brackets).groupBy("slot", _cell(cuts).alias("cell")).count().collect()
     counted = {(row.slot, row.cell): row["count"] for row in cells}
     result: dict[Bracket, set[int]] = {}
     for i, b in enumerate(brackets):
