@@ -60,7 +60,8 @@ KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: Paths below this part of the deviation of all blocks' values are left out.
 CUT = 0.5
 #: What an element leaves of the ratios of a path through it: if its tag or a whole name of it says
-#: that it is no main text, and if a word in a longer name does.
+#: that it is no main text, and if a word in a longer name does. The first is raised to the
+#: power of the part of the page's text that lies outside it.
 DOUBT, SOME_DOUBT = 0.02, 0.5
 #: What MAIN elements add to them.
 MAIN_COUNTS = 4
@@ -90,15 +91,30 @@ def _doubt(names: str) -> int:
     return found
 
 
-def _weight(path: tuple[str, ...]) -> float:
+def _shares(totals: dict[tuple, np.ndarray]) -> dict[tuple, float]:
+    """The part of a page's text outside links that lies below each path that casts doubt."""
+    held: dict[tuple, float] = defaultdict(float)
+    for path, sums in totals.items():
+        for depth, label in enumerate(path, 1):
+            if _is_apart(label):
+                held[path[:depth]] += sums[1]
+    every = max(sum(sums[1] for sums in totals.values()), 1)
+    return {path: text / every for path, text in held.items()}
+
+
+def _is_apart(label: str) -> bool:
+    tag, _, names = label.partition(".")
+    return tag in APART_TAGS or _doubt(names) == 2
+
+
+def _weight(path: tuple[str, ...], shares: dict[tuple, float]) -> float:
     """What the tags and names on a path make of its ratios."""
     weight, main = 1.0, 1
-    for label in path:
+    for depth, label in enumerate(path, 1):
         tag, _, names = label.partition(".")
-        doubt = _doubt(names)
-        if doubt == 2 or tag in APART_TAGS:
-            weight *= DOUBT
-        elif doubt:
+        if _is_apart(label):
+            weight *= DOUBT ** (1 - shares.get(path[:depth], 0.0))
+        elif _doubt(names):
             weight *= SOME_DOUBT
         if tag in MAIN:
             main = MAIN_COUNTS
@@ -208,8 +224,8 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
     blocks: headings and short paragraphs.
 
     Tags and names only weigh: an element that says it is no main text leaves a fiftieth of the
-    fused ratio of paths through it, such a word in a longer name a half, and ``article`` and
-    ``main`` count four times. Where all of a page is in doubt, all weighs the same.
+    fused ratio of paths through it, and the more the more of the page's text it holds; such a
+    word in a longer name leaves a half, and ``article`` and ``main`` count four times.
     """
     if not blocks:
         return []
@@ -219,7 +235,8 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
         totals[b.path] += [1, _plain(b), marks, len(b.text)]
     ratios = np.array([totals[b.path][1:3] / totals[b.path][0] for b in blocks])
     smooth = np.column_stack([_smoothed(ratios[:, 0]), _smoothed(ratios[:, 1])])
-    weights = {path: _weight(path) for path in totals}
+    shares = _shares(totals)
+    weights = {path: _weight(path, shares) for path in totals}
     fused = smooth[:, 0] * (1.0 + smooth[:, 1]) * np.array([weights[b.path] for b in blocks])
     by_path: dict[tuple, list[float]] = defaultdict(list)
     for b, value in zip(blocks, fused):
@@ -241,7 +258,7 @@ def main_blocks(blocks: list[Block]) -> list[Block]:
         b
         for b in blocks
         if b.path in chosen
-        or (inside and b.path[: len(home)] == home and weights[b.path] >= _weight(home))
+        or (inside and b.path[: len(home)] == home and weights[b.path] >= _weight(home, shares))
     ]
 
 

@@ -27,14 +27,19 @@ def plain_main(blocks):
     ratios = {
         p: (sum(map(plain, own)) / len(own), sum(map(marks, own)) / len(own)) for p, own in paths.items()
     }
-    weight = {}
-    for p in paths:
-        weight[p] = 4.0 if any(label.split(".")[0] in ("article", "main") for label in p) else 1.0
-        for label in p:
+    every = max(sum(map(plain, blocks)), 1)
+
+    def weight_of(path):
+        weight = 4.0 if any(label.split(".")[0] in ("article", "main") for label in path) else 1.0
+        for i, label in enumerate(path):
             tag, _, names = label.partition(".")
             doubt = html._doubt(names)
             strong = doubt == 2 or tag in ("nav", "header", "footer", "aside", "form", "dialog", "menu")
-            weight[p] *= 0.02 if strong else 0.5 if doubt else 1.0
+            inside = sum(plain(b) for b in blocks if b.path[: i + 1] == path[: i + 1])
+            weight *= 0.02 ** (1 - inside / every) if strong else 0.5 if doubt else 1.0
+        return weight
+
+    weight = {p: weight_of(p) for p in paths}
     fused = []
     for i, b in enumerate(blocks):
         near = [(j, math.exp(-0.5 * (j - i) ** 2)) for j in range(i - 2, i + 3) if 0 <= j < len(blocks)]
@@ -58,7 +63,7 @@ def plain_main(blocks):
         return ""
     home = max(held, key=lambda p: (held[p], p))
     inner = bool(home) and home[-1].split(".")[0] not in ("html", "body")
-    at_home = html._weight(home)
+    at_home = weight_of(home) - 1e-12
     return " ".join(
         b.text
         for b in blocks

@@ -79,13 +79,13 @@ def test_random_conversations(spark, container_turns):
 def test_long_shared_heads_take_one_burst_each(spark, monkeypatch):
     """Near copies that agree for 300 turns, prefixes of one another, and exact copies."""
     rows = [(5 * c, t, "u", f"t{t}" if t < 300 else f"{c} {t}") for c in range(12) for t in range(303)]
-    rows += [(1000 + 5 * c, t, "u", f"t{t}") for c in range(10) for t in range(295 + c)]
+    rows += [(1000 + 5 * c, t, "u", f"t{t}") for c in range(4) for t in range(297 + c)]
     rows += [(50_000 + 5 * c, t, "u", "same") for c in range(3000) for t in range(2)]
     bursts = []
     burst = trie._burst
     monkeypatch.setattr(trie, "_burst", lambda inside: bursts.append(1) or burst(inside))
     assert result(spark, rows, 700) == expected(rows)
-    assert len(bursts) < 14
+    assert 2 < len(bursts) < 8
 
 
 def test_odd_rows(spark):
