@@ -1,5 +1,4 @@
 import math
-from datetime import datetime
 
 import numpy as np
 import pandas as pd
