@@ -517,9 +517,9 @@ def _incremental(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
     events = adapters.source_events(spark, sf_dir)
     bought = F.col("event_type") == "purchase"
     deliveries = [
-        adapters.records(events.filter(~bought)),
-        adapters.records(events.filter(bought)),
-        adapters.redelivered_records(events),
+        adapters.records(adapters.spread(events.filter(~bought))),
+        adapters.records(adapters.spread(events.filter(bought))),
+        adapters.redelivered_records(adapters.spread(events)),
     ]
     for delivery in deliveries:
         delivery.write.mode("append").parquet(paths.at("records"))

@@ -24,6 +24,13 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The same rows, evenly over all cores: a file of few row groups is otherwise encoded by as
+    many tasks, and the files they write are as few for those who read them."""
+    parts = 3 * events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(parts, *events.columns)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver straight from the table: its valid rows, ids and times in their type."""
     events = source_events(spark, sf_dir)

@@ -13,6 +13,7 @@ are its commit, and are written last.
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from eventlake import schemas
 from eventlake.errors import TableNotFoundError
 from eventlake.operators import cleaning, features, hourly, quality
 from eventlake.plans.jobs import LakePaths
-from eventlake.session import checkpointed
+from eventlake.session import checkpointed, side_by_side
 from eventlake.sources.tables import exists, read_table, write_table
 from eventlake.streaming.ingest import run_until_stopped
 
@@ -89,22 +90,26 @@ def _sort_out(
     own = F.lit(batch_id).cast("long").alias("batch_id")
     tagged = quality.tag_violations(batch)
     broken = tagged.filter(F.size("violated_rules") > 0).select("*", own)
-    set_aside = write_table(
-        broken, paths.quarantine, paths.fmt, partition_by="batch_id", only_touched=True
-    )
     sound = tagged.filter(F.size("violated_rules") == 0)
     # A NULL type breaks no rule, and is no event.
     arrived = cleaning.arrivals(sound, normalize_first)
     timed = arrived.filter(F.col("event_time").isNotNull())
     timed = timed.select("*", F.to_date("event_time").alias(DAY), own)
-    written = write_table(
-        timed,
-        paths.arrivals,
-        paths.fmt,
-        partition_by=[DAY, "batch_id"],
-        only_touched=True,
+    set_aside, written, rows = side_by_side(
+        batch.sparkSession,
+        lambda: write_table(
+            broken, paths.quarantine, paths.fmt, partition_by="batch_id", only_touched=True
+        ),
+        lambda: write_table(
+            timed,
+            paths.arrivals,
+            paths.fmt,
+            partition_by=[DAY, "batch_id"],
+            only_touched=True,
+        ),
+        batch.count,
     )
-    rows, bad, good = batch.count(), set_aside["rows_written"], written["rows_written"]
+    bad, good = set_aside["rows_written"], written["rows_written"]
     return rows, bad, rows - bad - good, good
 
 
@@ -119,18 +124,31 @@ def _days(spark: SparkSession, batch_id: int, paths: LakePaths) -> list[date]:
 
 
 def rebuild_days(spark: SparkSession, paths: LakePaths, days: list[date]) -> None:
-    """Silver, Gold and the users' days of ``days``, all from the arrivals."""
+    """Silver, Gold and the users' days of ``days``, all from the arrivals. What is built from
+    Silver is built side by side."""
     touched = F.col(DAY).isin(days)
     arrivals = read_table(spark, paths.arrivals, paths.fmt).filter(touched)
     kept = cleaning.silver_rows(cleaning.drop_duplicates(arrivals.drop(DAY, "batch_id")))
     _replace_days(kept.withColumn(DAY, F.to_date("event_timestamp")), paths.silver, paths)
     silver = read_table(spark, paths.silver, paths.fmt).filter(touched)
-    rollup = checkpointed(hourly.hourly_rollup(silver))
-    for name, table in hourly.gold_tables(rollup).items():
-        _replace_days(table.withColumn(DAY, F.to_date("hour")), paths.gold(name), paths)
-    sketches = hourly.distinct_sketches(silver)
-    _replace_days(sketches.withColumn(DAY, F.to_date("hour")), paths.gold("distinct_sketches"), paths)
-    _replace_days(features.user_days(silver, DAY), paths.user_days, paths)
+
+    def replace_gold() -> None:
+        rollup = checkpointed(hourly.hourly_rollup(silver))
+        side_by_side(
+            spark,
+            *[
+                partial(_replace_days, table.withColumn(DAY, F.to_date("hour")), paths.gold(n), paths)
+                for n, table in hourly.gold_tables(rollup).items()
+            ]
+        )
+
+    sketches = hourly.distinct_sketches(silver).withColumn(DAY, F.to_date("hour"))
+    side_by_side(
+        spark,
+        replace_gold,
+        lambda: _replace_days(sketches, paths.gold("distinct_sketches"), paths),
+        lambda: _replace_days(features.user_days(silver, DAY), paths.user_days, paths),
+    )
 
 
 def _replace_days(table: DataFrame, path: str, paths: LakePaths) -> None:

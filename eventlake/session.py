@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -53,3 +57,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def side_by_side(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Run steps that do not need each other at once, so that the small stages and the last tasks of
+    one leave no cores idle. Returns their results in order once all have ended; the first error is
+    raised then. Their jobs keep the job group of the caller, so a stream that is stopped stops them."""
+    with ThreadPoolExecutor(len(steps)) as threads:
+        running = [threads.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]

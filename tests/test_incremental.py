@@ -1,6 +1,7 @@
 """Incremental jobs: equal to a rebuild, and unhurt by crashes, replays and late events."""
 
 import os
+import threading
 from datetime import date, datetime
 
 import pytest
@@ -8,10 +9,12 @@ from conftest import as_json, record, rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from eventlake import adapters, schemas
 from eventlake.functions.records import decode_records
 from eventlake.operators import cleaning, features, hourly, quality
 from eventlake.plans import incremental, jobs
+from eventlake.session import side_by_side
 from eventlake.sources.records import file_records
 from eventlake.sources.tables import read_table
 
@@ -176,3 +179,66 @@ def test_nothing_sound_leaves_no_layer(spark, tmp_path):
     incremental.apply_batch(decode_records(bad), 0, paths)
     assert read_table(spark, paths.quarantine).count() == 1
     assert incremental.batches(spark, paths).first().days == []
+
+
+@pytest.mark.parametrize(
+    "tables",
+    [
+        ("quarantine/ecommerce_events", "silver/arrivals"),
+        ("distinct_sketches", "user_days", "revenue_per_hour"),
+        ("revenue_per_hour", "active_users_per_hour", "conversion_rate"),
+    ],
+)
+def test_tables_that_do_not_need_each_other_are_written_at_once(spark, tmp_path, monkeypatch, tables):
+    """Each of ``tables`` waits until the writes of all have begun."""
+    paths = jobs.LakePaths(str(tmp_path))
+    write, begun = incremental.write_table, threading.Barrier(len(tables))
+
+    def meeting(table, path, *rest, **options):
+        if path.endswith(tables):
+            begun.wait(60)
+        return write(table, path, *rest, **options)
+
+    monkeypatch.setattr(incremental, "write_table", meeting)
+    bought = visits(0, 1, 30, kind="purchase", price=2.0)
+    records = spark.createDataFrame([*bought, *visits(9, 4, kind="refund")], schemas.RECORD)
+    batch = decode_records(records)
+    batch.write.parquet(paths.bronze)
+    incremental.apply_batch(batch, 0, paths)
+    assert_equals_rebuild(spark, paths)
+
+
+def test_steps_side_by_side_all_end_before_an_error_is_raised(spark):
+    ended, failed = [], threading.Event()
+
+    def fails():
+        failed.set()
+        raise RuntimeError("broke off")
+
+    def goes_on():
+        failed.wait(60)
+        ended.append(spark.range(10).count())
+
+    with pytest.raises(RuntimeError, match="broke off"):
+        side_by_side(spark, fails, goes_on)
+    assert ended == [10]
+    assert side_by_side(spark, lambda: 1, lambda: 2) == [1, 2]
+
+
+def test_deliveries_of_one_row_group_are_encoded_by_many_tasks(spark, tmp_path, monkeypatch):
+    """They also hold every row of the table, however often it comes."""
+    event = "{}L AS event_id, timestamp_ntz'2024-01-01 10:00:00' AS ts, {}L AS user_id, '{}' AS event_type"
+    rest = "2.5D AS value, '{\"k\": 7}' AS props"
+    texts = [event.format(i, i % 5, ("view", "purchase")[i % 2]) for i in range(200)]
+    texts += [event.format("null", "null", "view")] * 2
+    texts = [t.replace("nullL", "CAST(NULL AS BIGINT)") for t in texts]
+    table = spark.sql(" UNION ALL ".join(f"SELECT {t}, {rest}" for t in texts))
+    table.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    for module, name in ((jobs, "run_bronze"), (incremental, "run_incremental")):
+        monkeypatch.setattr(module, name, lambda *_: True)
+    records = read_table(spark, contract._incremental(spark, str(tmp_path)).at("records"))
+    per_file = records.groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(per_file) > 3 * 4 and max(r["count"] for r in per_file) < 100
+    events = adapters.source_events(spark, str(tmp_path))
+    whole = adapters.records(events).unionAll(adapters.redelivered_records(events))
+    assert rows(records) == rows(whole)
